@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldlens.functions.projection import let
+
 # Multipliers and modulus of the stable cell hash.
 HASH_SEED_FACTOR = 73856093
 HASH_I_FACTOR = 19349663
@@ -80,9 +82,38 @@ def padded_id(prefix: Column, i: Column, j: Column) -> Column:
     return F.format_string("%s-%03d-%03d", prefix, i, j)
 
 
-def half_even(value: Column, digits: int) -> Column:
-    """Text with ``digits`` decimals, halves going to the even digit."""
-    return F.format_string(f"%.{digits}f", F.bround(value.cast("double"), digits))
+def round_half_even(value: Column, digits: int) -> Column:
+    """Decimal rounding of the exact binary value, halves to even.
+
+    The scaled value is taken as product plus rounding error (Veltkamp/Dekker), so values next to a
+    half go the right way; ``bround`` would look at the shortest decimal form instead.
+    """
+    scale = 10.0**digits
+    big = 134217729.0 * scale
+    s_hi = big - (big - scale)
+    s_lo = scale - s_hi
+
+    def product(x):
+        def parts(h):
+            lo, p = x - h, x * F.lit(scale)
+            err = (h * F.lit(s_hi) - p) + h * F.lit(s_lo) + lo * F.lit(s_hi) + lo * F.lit(s_lo)
+            return F.struct(p.alias("p"), err.alias("e"))
+
+        c = x * F.lit(134217729.0)
+        return let(c - (c - x), parts)
+
+    def decide(v):
+        down = F.floor(v["p"]).cast("double")
+        over = (v["p"] - down) - F.lit(0.5)
+        up = (over > 0) | ((over == 0) & ((v["e"] > 0) | ((v["e"] == 0) & (F.pmod(down, F.lit(2.0)) == 1))))
+        return F.when(up, down + 1).otherwise(down) / F.lit(scale)
+
+    return let(let(value.cast("double"), product), decide)
+
+
+def fixed(value: Column, digits: int) -> Column:
+    """Text with ``digits`` decimals, rounded as :func:`round_half_even`."""
+    return F.format_string(f"%.{digits}f", round_half_even(value, digits))
 
 
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
