@@ -108,21 +108,18 @@ def _shift(name: str, by: int, size: str, edge: str) -> Column:
 def _with_halo_blocks(mask: DataFrame, block: int, edge: str) -> DataFrame:
     """Send each pixel to its own block and to the blocks that see it within two pixels."""
 
-    def block_of(dr: int, dc: int) -> Column:
-        r, c = _shift("row", dr, "h", edge), _shift("col", dc, "w", edge)
-        if edge != "wrap":
-            r = F.greatest(F.lit(0), F.least(r, F.col("h") - 1))
-            c = F.greatest(F.lit(0), F.least(c, F.col("w") - 1))
-        return F.struct(
-            F.floor(r / block).cast("int").alias("blk_r"), F.floor(c / block).cast("int").alias("blk_c")
-        )
+    def blocks(name: str, size: str) -> Column:
+        def block_of(by: int) -> Column:
+            at = _shift(name, by, size, edge)
+            if edge != "wrap":
+                at = F.greatest(F.lit(0), F.least(at, F.col(size) - 1))
+            return F.floor(at / block).cast("int")
+
+        inner = (F.col(name) % block).between(2, block - 3) & (F.col(name) >= 2) & (F.col(name) < F.col(size) - 2)
+        around = F.array_distinct(F.array(*[block_of(by) for by in range(-2, 3)]))
+        return F.explode(F.when(inner, F.array(block_of(0))).otherwise(around))
 
-    inner = F.lit(True)
-    for name, size in (("row", "h"), ("col", "w")):
-        inner = inner & (F.col(name) % block).between(2, block - 3)
-        inner = inner & (F.col(name) >= 2) & (F.col(name) < F.col(size) - 2)
-    around = F.array_distinct(F.array(*[block_of(r, c) for r in range(-2, 3) for c in range(-2, 3)]))
-    return mask.withColumn("__blk", F.explode(F.when(inner, F.array(block_of(0, 0))).otherwise(around)))
+    return mask.withColumn("blk_r", blocks("row", "h")).withColumn("blk_c", blocks("col", "w"))
 
 
 def binary_open(
@@ -146,7 +143,7 @@ def binary_open(
         return mask.select(*keys, "row", "col", *values)
     sized = mask.select(*keys, "row", "col", *values).join(extents, keys)
     blocked = _with_halo_blocks(sized, block, edge).select(
-        *keys, "h", "w", F.col("__blk.blk_r").alias("blk_r"), F.col("__blk.blk_c").alias("blk_c"), "row", "col",
+        *keys, "h", "w", "blk_r", "blk_c", "row", "col",
         *[F.col(v).cast("double").alias(v) for v in values],
     )
     place = [*keys, "h", "w", "blk_r", "blk_c"]
@@ -351,3 +348,26 @@ def rgb_bands(bands: Column, first_band: str) -> list[Column]:
     for n in names[1:]:
         complete = complete & F.map_contains_key(bands, n)
     return [F.when(complete, F.element_at(bands, n)).otherwise(F.element_at(bands, first_band)) for n in names]
+
+
+def composite(pixels: DataFrame, keys: list[str], bands: list[str], lo: float = 0.02, hi: float = 0.98) -> DataFrame:
+    """Stretch several band columns to 0..255, each by its own percentiles.
+
+    All bands share one pass for the limits; the limits (one row per area) are joined once.
+    """
+    pairs = ", ".join(f"'{b}', {b}" for b in bands)
+    stacked = pixels.selectExpr(*keys, f"stack({len(bands)}, {pairs}) AS (band, v)")
+    limits = exact_percentiles(stacked, [*keys, "band"], "v", {"plo": lo, "phi": hi})
+    wide = limits.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("band") == b, F.col(p))).alias(f"__{p}_{b}") for b in bands for p in ("plo", "phi")]
+    )
+
+    def level(b: str) -> Column:
+        low, high = F.col(f"__plo_{b}"), F.col(f"__phi_{b}")
+        high = F.when(high <= low, low + 1e-6).otherwise(high)
+        scaled = F.greatest(F.lit(0.0), F.least(F.lit(255.0), (F.col(b) - low) / (high - low) * 255))
+        usable = low.isNotNull() & F.col(b).isNotNull() & ~F.isnan(b)
+        return F.when(usable, scaled).otherwise(F.lit(0.0)).cast("int").alias(b)
+
+    rest = [c for c in pixels.columns if c not in bands]
+    return pixels.join(wide, keys, "left").select(*rest, *[level(b) for b in bands])
