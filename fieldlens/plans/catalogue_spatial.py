@@ -164,7 +164,7 @@ def _num(e: str) -> str:
 
 @query("wkt_roundtrip", f"""WITH {O.PARCELS}, t AS (SELECT *, {_num('minx')} AS a, {_num('miny')} AS b, {_num('maxx')} AS c, {_num('maxy')} AS e FROM pa)
 SELECT parcel_id, 'POLYGON ((' || a || ' ' || b || ', ' || c || ' ' || b || ', ' || c || ' ' || e || ', ' || a || ' ' || e || ', ' || a || ' ' || b || '))' AS wkt,
- 5 AS n_points, 1.44 AS area_e6, true AS same FROM t""")
+ 5 AS n_points, 1.44::DOUBLE AS area_e6, true AS same FROM t""")
 def wkt_roundtrip(spark, d):
     c = F.col
     ring = G.box_ring(c("minx") / 1e6, c("miny") / 1e6, c("maxx") / 1e6, c("maxy") / 1e6)

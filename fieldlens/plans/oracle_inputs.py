@@ -180,11 +180,11 @@ def inverse(src: str, out: str, points: list[tuple[str, str, str, str]], crs: st
     a, b, c, d = [], [], [], []
     k = _lit(tm.k0 * P.RECTIFYING)
     for n, (px, py, ox, oy) in enumerate(points):
-        a.append(f"(({py}) - {_lit(tm.false_northing)}) / {k} AS xi{n}, (({px}) - {_lit(tm.false_easting)}) / {k} AS et{n}")
-        x, y = f"et{n}", f"xi{n}"
+        a.append(f"(({py}) - {_lit(tm.false_northing)}) / {k} AS wi{n}, (({px}) - {_lit(tm.false_easting)}) / {k} AS we{n}")
+        x, y = f"we{n}", f"wi{n}"
         for j, be in enumerate(P.BETA, start=1):
-            x += f" - {_lit(be)} * cos({2 * j} * xi{n}) * sinh({2 * j} * et{n})"
-            y += f" - {_lit(be)} * sin({2 * j} * xi{n}) * cosh({2 * j} * et{n})"
+            x += f" - {_lit(be)} * cos({2 * j} * wi{n}) * sinh({2 * j} * we{n})"
+            y += f" - {_lit(be)} * sin({2 * j} * wi{n}) * cosh({2 * j} * we{n})"
         b.append(f"{y} AS u{n}, {x} AS v{n}")
         c.append(
             f"asin(sin(u{n}) / cosh(v{n})) AS ch{n}, {_lit(tm.lon0)} + degrees(atan2(sinh(v{n}), cos(u{n}))) AS {ox}"
