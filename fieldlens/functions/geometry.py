@@ -36,7 +36,7 @@ def signed_area(ring: Column) -> Column:
             _edges(r, lambda p, q: (p["x"] - o["x"]) * (q["y"] - o["y"]) - (q["x"] - o["x"]) * (p["y"] - o["y"]))
         ) / F.lit(2.0)
 
-    return F.when(F.size(ring) >= 4, let(ring, shoelace)).otherwise(F.lit(0.0))
+    return let(ring, lambda r: F.when(F.size(r) >= 4, shoelace(r)).otherwise(F.lit(0.0)))
 
 
 def polygon_area(rings: Column) -> Column:
@@ -150,7 +150,7 @@ def _clip_half_plane(ring: Column, side, cut) -> Column:
         )
         return let(pieces, lambda v: F.when(F.size(v) > 0, F.concat(v, F.slice(v, 1, 1))).otherwise(v))
 
-    return F.when(F.size(ring) > 0, let(ring, clipped)).otherwise(ring)
+    return let(ring, lambda r: F.when(F.size(r) > 0, clipped(r)).otherwise(r))
 
 
 def clip_ring_to_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -176,9 +176,12 @@ def clip_ring_to_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Colum
 
 def clip_polygon_to_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     parts = F.transform(rings, lambda r: clip_ring_to_box(r, x0, y0, x1, y1))
-    return F.when(F.abs(signed_area(parts[0])) > 0, F.filter(parts, lambda r: F.abs(signed_area(r)) > 0)).otherwise(
-        F.slice(parts, 1, 0)
-    )
+
+    def with_area(rs):
+        kept = F.filter(rs, lambda r: F.abs(signed_area(r)) > 0)
+        return F.when(F.abs(signed_area(rs[0])) > 0, kept).otherwise(F.slice(rs, 1, 0))
+
+    return let(parts, with_area)
 
 
 def fan_triangles(rings: Column) -> Column:
