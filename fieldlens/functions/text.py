@@ -41,22 +41,21 @@ def char_ngrams(text: Column, low: int = 2, high: int = 4) -> Column:
     """Character n-grams inside words padded with one space on both sides; a word shorter than the
     smallest n comes out whole."""
 
+    def grams(p, n):
+        return F.transform(
+            F.sequence(F.lit(1), F.char_length(p) - (n - 1)), lambda at: F.substring(p, at, F.lit(n))
+        )
+
+    def of_length(p):
+        none = F.slice(F.array(p), 1, 0)
+        parts = [
+            F.when(F.char_length(p) >= n, grams(p, n)).otherwise(F.array(p) if n == low else none)
+            for n in range(low, high + 1)
+        ]
+        return F.concat(*parts)
+
     def of_word(word):
-        padded = F.concat(F.lit(" "), word, F.lit(" "))
-
-        def of_length(p):
-            parts = [
-                F.when(
-                    F.char_length(p) >= n,
-                    F.transform(
-                        F.sequence(F.lit(1), F.char_length(p) - (n - 1)), lambda at, n=n: F.substring(p, at, F.lit(n))
-                    ),
-                ).otherwise(F.array(p) if n == low else F.slice(F.array(p), 1, 0))
-                for n in range(low, high + 1)
-            ]
-            return F.concat(*parts)
-
-        return let(padded, of_length)
+        return let(F.concat(F.lit(" "), word, F.lit(" ")), of_length)
 
     return F.flatten(F.transform(words(text), of_word))
 

@@ -136,30 +136,72 @@ class LsaModel:
         return LsaModel(tfidf, np.stack(pdf["v"].to_numpy()), dim)
 
 
-def fit_lsa(docs: DataFrame, text: str, dim: int = EMBED_DIM, max_features: int = MAX_FEATURES) -> LsaModel:
-    """Truncated SVD of the TF-IDF matrix with the distributed RowMatrix.
+def _sparse_rows(docs: DataFrame, text: str, model: TfidfModel) -> DataFrame:
+    """TF-IDF rows as (columns, weights) arrays."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    Rank is ``max(1, min(dim, terms - 1, max(1, documents - 1)))``. The matrix rows are built JVM-side
-    and stay on the executors; the driver sees the bounded vocabulary and its singular vectors only.
-    """
-    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-    from pyspark.ml.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
+    @F.pandas_udf("cols array<int>, w array<double>")
+    def vectorise(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = [shared.value.sparse(t or "") for t in texts]
+            yield pd.DataFrame({"cols": [c.astype("int32") for c, _ in rows], "w": [w for _, w in rows]})
+
+    return docs.select(vectorise(F.col(text)).alias("v")).select("v.cols", "v.w")
+
+
+_BLOCK_ROWS = 512
 
+
+def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
+    """(A^T A) q for the distributed sparse rows A: each task sums its part, the parts are added up per
+    block of matrix rows with a map-side combine."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    shared = rows.sparkSession.sparkContext.broadcast(q)
+
+    def partial(batches):
+        m = shared.value
+        z = np.zeros(m.shape)
+        for b in batches:
+            for cols, w in zip(b["cols"], b["w"]):
+                if len(cols):
+                    z[cols] += np.outer(w, w @ m[cols])
+        starts = range(0, len(m), _BLOCK_ROWS)
+        yield pd.DataFrame({"block": list(starts), "z": [z[s : s + _BLOCK_ROWS].ravel() for s in starts]})
+
+    parts = rows.mapInPandas(partial, "block int, z array<double>")
+    total = parts.groupBy("block").agg(vector_to_array(Summarizer.sum(array_to_vector("z"))).alias("z"))
+    pdf = total.orderBy("block").toPandas()
+    shared.unpersist()
+    return np.concatenate(list(pdf["z"])).reshape(q.shape)
+
+
+def fit_lsa(
+    docs: DataFrame, text: str, dim: int = EMBED_DIM, max_features: int = MAX_FEATURES, n_iter: int = 5, seed: int = 42
+) -> LsaModel:
+    """Truncated SVD of the TF-IDF matrix by randomised subspace iteration (Halko et al. 2011).
+
+    Rank is ``max(1, min(dim, terms - 1, max(1, documents - 1)))``. The documents stay on the executors;
+    the driver holds one vocabulary x rank matrix, which the vocabulary limit bounds. One job per pass.
+    """
     model = fit_tfidf(docs, text, max_features)
-    terms = sorted(model.index, key=model.index.get)
-    rank = max(1, min(dim, len(terms) - 1, max(1, docs.count() - 1)))
-    grams = docs.select(X.char_ngrams(F.col(text), NGRAM_LOW, NGRAM_HIGH).alias("grams"))
-    counted = CountVectorizerModel.from_vocabulary(terms, inputCol="grams", outputCol="tf").transform(grams)
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense(model.idf), inputCol="tf", outputCol="w").transform(counted)
-    rows = Normalizer(inputCol="w", outputCol="features", p=2.0).transform(scaled).select("features")
-    rows = MLUtils.convertVectorColumnsFromML(rows, "features").persist()
+    n_terms = len(model.index)
+    rank = max(1, min(dim, n_terms - 1, max(1, docs.count() - 1)))
+    width = min(n_terms, rank + 10)
+    rows = _sparse_rows(docs, text, model).persist()
     try:
-        svd = RowMatrix(rows, numCols=len(terms)).computeSVD(rank, computeU=False)
-        v = svd.V.toArray()
+        q = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0]
+        for _ in range(n_iter):
+            q = np.linalg.qr(_gram_times(rows, q))[0]
+        small = q.T @ _gram_times(rows, q)
     finally:
         rows.unpersist()
+    values, vectors = np.linalg.eigh((small + small.T) / 2)
+    top = np.argsort(values)[::-1][:rank]
+    v = q @ vectors[:, top]
+    # Fixed sign: the largest entry of each direction is positive.
+    v *= np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
     return LsaModel(model, np.ascontiguousarray(v), dim)
 
 

@@ -220,7 +220,7 @@ def parcels_layer(spark, d):
 SELECT pcode, law_title, doc_id, article_pos::BIGINT AS article_pos, 'Art. ' || doc_id || '-' || (article_pos + 1) AS article_no, length(line)::BIGINT AS n_chars, md5(line) AS digest FROM a""")
 def statute_articles(spark, d):
     """Documents written as statute JSON (a line is an article), read back and exploded."""
-    docs = I.table(spark, d, "documents")
+    docs = I.texts(spark, d, "documents", "doc_id", "source", "text")
     lines = F.transform(
         F.split("text", "\n"),
         lambda line, i: F.struct(
@@ -260,7 +260,7 @@ KEYWORDS = ["the", "ation", "eau", "ung", "que", "er", "http", "License", "und",
 @query("keyword_counts", "WITH k AS (SELECT unnest([" + ", ".join(f"'{k}'" for k in KEYWORDS) + """]) AS keyword)
 SELECT keyword, count(doc_id) AS n_titles FROM k LEFT JOIN documents ON contains(text, keyword) GROUP BY keyword""")
 def keyword_counts(spark, d):
-    return DM.keyword_counts(I.table(spark, d, "documents"), "text", KEYWORDS)
+    return DM.keyword_counts(I.texts(spark, d, "documents", "text"), "text", KEYWORDS)
 
 
 _YEARS = "SELECT strftime(o_orderdate, '%Y') AS year, count(*) AS n_reports FROM orders GROUP BY year"
@@ -275,7 +275,7 @@ def reports_by_year(spark, d):
 SELECT '{{"n_reports":' || (SELECT sum(n_reports)::BIGINT FROM y) || ',"reports_by_year":{{' || (SELECT string_agg('"' || year || '":' || n_reports, ',' ORDER BY year) FROM y) || '}},"total_matching_tenders":'
  || (SELECT sum(n_titles)::BIGINT FROM w) || ',"by_keyword":{{' || (SELECT string_agg('"' || keyword || '":' || n_titles, ',' ORDER BY keyword) FROM w) || '}}}}' AS summary""")
 def demand_summary(spark, d):
-    words = DM.keyword_counts(I.table(spark, d, "pages"), "html", ["error", "the", "example", "zzzzqx"])
+    words = DM.keyword_counts(I.texts(spark, d, "pages", "html"), "html", ["error", "the", "example", "zzzzqx"])
     return DM.demand_summary(reports_by_year(spark, d), words)
 
 

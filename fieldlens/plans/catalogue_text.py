@@ -32,7 +32,7 @@ _TERMS = O.term_counts("documents", "doc_id")
 
 @query("char_ngrams", f"WITH {_TERMS} SELECT doc_id, n::BIGINT AS n, sum(tf)::BIGINT AS n_grams, count(*) AS n_distinct FROM terms GROUP BY doc_id, n")
 def char_ngrams(spark, d):
-    t = RT.term_counts(I.table(spark, d, "documents"), ["doc_id"], "text")
+    t = RT.term_counts(I.texts(spark, d, "documents", "doc_id", "text"), ["doc_id"], "text")
     return t.groupBy("doc_id", F.char_length("term").cast("long").alias("n")).agg(F.sum("tf").alias("n_grams"), F.count("*").alias("n_distinct"))
 
 
@@ -41,7 +41,7 @@ _VOCAB = f"""{_TERMS}, vo AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS co
 
 
 def _fit_terms(spark, d):
-    docs = I.table(spark, d, "documents").select("doc_id", "text")
+    docs = I.texts(spark, d, "documents", "doc_id", "text")
     terms = RT.term_counts(docs, ["doc_id"], "text")
     return terms, RT.vocabulary(terms, docs.agg(F.count("*").alias("n_docs")))
 
@@ -94,12 +94,12 @@ def rag_retrieve(spark, d):
     return top.select("query_id", "item_id", F.round("similarity", 6).alias("similarity"), F.col("rank").cast("long").alias("rank"))
 
 
-LSA_DIM = 32
+LSA_DIM = 64
 
 
 @query("lsa_embed")
 def lsa_embed(spark, d):
-    docs = I.table(spark, d, "documents").select("doc_id", "text")
+    docs = I.texts(spark, d, "documents", "doc_id", "text")
     model = RT.fit_lsa(docs, "text", LSA_DIM)
     return RT.encode(docs, "text", model).select("doc_id", "embedding")
 
@@ -107,7 +107,7 @@ def lsa_embed(spark, d):
 @query("lsa_query")
 def lsa_query(spark, d):
     """Benchmark texts against all documents in the fitted space."""
-    docs = I.table(spark, d, "documents").select("doc_id", "text")
+    docs = I.texts(spark, d, "documents", "doc_id", "text")
     model = RT.fit_lsa(docs, "text", LSA_DIM)
     items = RT.encode(docs, "text", model, "vector").select(F.col("doc_id").alias("item_id"), "vector")
     asked = I.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldlens.functions.scalars import HASH_I_FACTOR, HASH_J_FACTOR, HASH_MODULUS, HASH_SEED_FACTOR
+from fieldlens.session import spread_scan
 
 # Sizes of one area in each table, chosen so that areas line up at every scale factor.
 PIXELS_PER_AOI = 4200
@@ -49,6 +50,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Text columns of a table, spread over the cores when the file is small."""
+    return spread_scan(table(spark, sf_dir, name).select(*columns))
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both dates of every area's raster, one row per pixel, bands in thousandths / 1000."""
     e = table(spark, sf_dir, "events").select("event_id")
@@ -173,7 +179,7 @@ SCENE_WINDOWS = (("t0", "1995-10-01", "1996-03-31"), ("t1", "2000-10-01", "2001-
 
 def statutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as an article of the code named by its source."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return texts(spark, sf_dir, "documents", "doc_id", "source", "text").selectExpr(
         "source AS pcode",
         "concat('Law ', source) AS law_title",
         "doc_id AS article_pos",

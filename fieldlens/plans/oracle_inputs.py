@@ -233,6 +233,6 @@ CHUNKS = f"""
 ar AS (SELECT source AS pcode, doc_id AS article_pos, 'Law ' || source AS law_title, 'Art. ' || doc_id AS article_no,
    regexp_replace(regexp_replace('Law ' || source || ' Art. ' || doc_id || '：' || text, '^{SPACES}', ''), '{SPACES}$', '') AS body
    FROM documents),
-ck AS (SELECT *, unnest(CASE WHEN length(body) <= {I.CHUNK} THEN [1] ELSE range(1, length(body) + 1, {I.CHUNK - I.OVERLAP}) END) AS at FROM ar),
-chunks AS (SELECT pcode, article_pos, law_title, article_no, (at - 1) // {I.CHUNK - I.OVERLAP} AS piece,
-   CASE WHEN length(body) <= {I.CHUNK} THEN body ELSE substr(body, at, {I.CHUNK}) END AS content FROM ck)"""
+ck AS (SELECT *, unnest(CASE WHEN length(body) <= {I.CHUNK} THEN [1] ELSE range(1, length(body) + 1, {I.CHUNK - I.OVERLAP}) END) AS pos0 FROM ar),
+chunks AS (SELECT pcode, article_pos, law_title, article_no, (pos0 - 1) // {I.CHUNK - I.OVERLAP} AS piece,
+   CASE WHEN length(body) <= {I.CHUNK} THEN body ELSE substr(body, pos0, {I.CHUNK}) END AS content FROM ck)"""

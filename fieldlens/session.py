@@ -45,3 +45,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive executor loss and the plan starts afresh."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Share a small file scan out over all cores before work that is heavy per row.
+
+    Only for plain scans (asking a shuffled plan for its partitions would run it); scans that already
+    have enough partitions, as all large ones do, stay as they are.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
