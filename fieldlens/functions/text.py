@@ -1,12 +1,10 @@
-"""Chunking and character n-grams as Column expressions."""
+"""Text chunking as Column expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldlens.functions.projection import let
-
 # The characters that count as white space.
 SPACE_CLASS = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
@@ -31,51 +29,3 @@ def chunks(body: Column, size: int, overlap: int) -> Column:
     n = F.char_length(body)
     cut = F.transform(F.sequence(F.lit(1), n, F.lit(step)), lambda at: F.substring(body, at, F.lit(size)))
     return F.when(n <= size, F.array(body)).otherwise(cut)
-
-
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), f"{SPACE_CLASS}+"), lambda w: w != "")
-
-
-def char_ngrams(text: Column, low: int = 2, high: int = 4) -> Column:
-    """Character n-grams inside words padded with one space on both sides; a word shorter than the
-    smallest n comes out whole."""
-
-    def grams(p, n):
-        return F.transform(
-            F.sequence(F.lit(1), F.char_length(p) - (n - 1)), lambda at: F.substring(p, at, F.lit(n))
-        )
-
-    def of_length(p):
-        none = F.slice(F.array(p), 1, 0)
-        parts = [
-            F.when(F.char_length(p) >= n, grams(p, n)).otherwise(F.array(p) if n == low else none)
-            for n in range(low, high + 1)
-        ]
-        return F.concat(*parts)
-
-    def of_word(word):
-        return let(F.concat(F.lit(" "), word, F.lit(" ")), of_length)
-
-    return F.flatten(F.transform(words(text), of_word))
-
-
-def run_counts(items: Column) -> Column:
-    """Distinct items of an array with their number of occurrences, without leaving the row."""
-
-    def counted(s):
-        first = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
-        )
-        return let(
-            first,
-            lambda f: F.transform(
-                f,
-                lambda at, i: F.struct(
-                    F.get(s, at).alias("term"), (F.coalesce(F.get(f, i + 1), F.size(s)) - at).alias("tf")
-                ),
-            ),
-        )
-
-    empty = F.slice(F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("tf"))), 1, 0)
-    return F.when(F.size(items) > 0, let(F.sort_array(items), counted)).otherwise(empty)

@@ -51,21 +51,75 @@ def chunk_articles(articles: DataFrame, size: int = 600, overlap: int = 80) -> D
 # ------------------------------------------------------------------ TF-IDF
 
 
-def term_counts(docs: DataFrame, key: list[str], text: str) -> DataFrame:
-    """Term frequencies per document: counted inside the row, so no shuffle."""
-    grams = X.run_counts(X.char_ngrams(F.col(text), NGRAM_LOW, NGRAM_HIGH))
-    return docs.select(*key, F.explode(grams).alias("t")).select(*key, "t.term", "t.tf")
+def gram_counts(text: str) -> dict[str, int]:
+    """Character n-grams inside words padded with one space on both sides, with their counts.
+
+    A word no longer than n gives itself once and no longer grams; padded words have at least three
+    characters, so only the upper lengths can run out.
+    """
+    out: dict[str, int] = {}
+    for word, k in Counter(text.lower().split()).items():
+        padded = f" {word} "
+        size = len(padded)
+        for n in range(NGRAM_LOW, NGRAM_HIGH + 1):
+            for i in range(size - n + 1):
+                gram = padded[i : i + n]
+                out[gram] = out.get(gram, 0) + k
+    return out
 
 
-def vocabulary(terms: DataFrame, n_docs: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """``term, df, corpus_tf, idf`` of the most frequent terms (ties by term).
+def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, term, tf`` per document: counted inside the Arrow batch, so nothing is shuffled.
 
-    ``n_docs`` is a one-row table with column ``n_docs``. Never more than ``max_features`` rows.
+    (Exploding the grams JVM-side took twice as long and shuffles ten times the text.)
     """
-    per_term = terms.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("corpus_tf"))
-    top = per_term.orderBy(F.desc("corpus_tf"), F.asc("term")).limit(max_features)
+    schema = f"{key} {docs.schema[key].dataType.simpleString()}, term string, tf long"
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keys, terms, tf = [], [], []
+            for k, t in zip(b[key], b[text]):
+                grams = gram_counts(t or "")
+                keys.append(np.full(len(grams), k))
+                terms.extend(grams.keys())
+                tf.extend(grams.values())
+            if terms:
+                yield pd.DataFrame({key: np.concatenate(keys), "term": terms, "tf": tf})
+
+    return docs.select(key, text).mapInPandas(count, schema)
+
+
+_FLUSH_TERMS = 200_000
+
+
+def term_stats(docs: DataFrame, text: str) -> DataFrame:
+    """``term, df, corpus_tf`` over all documents; each task adds up before it emits."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df: dict[str, int] = {}
+        tf: dict[str, int] = {}
+        for b in batches:
+            for t in b[text]:
+                for gram, k in gram_counts(t or "").items():
+                    df[gram] = df.get(gram, 0) + 1
+                    tf[gram] = tf.get(gram, 0) + k
+                if len(df) > _FLUSH_TERMS:
+                    yield pd.DataFrame({"term": list(df), "df": list(df.values()), "tf": list(tf.values())})
+                    df, tf = {}, {}
+        if df:
+            yield pd.DataFrame({"term": list(df), "df": list(df.values()), "tf": list(tf.values())})
+
+    part = docs.select(text).mapInPandas(count, "term string, df long, tf long")
+    return part.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("corpus_tf"))
+
+
+def vocabulary(docs: DataFrame, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
+    """``term, df, corpus_tf, idf`` of the most frequent terms (ties by term); never more than
+    ``max_features`` rows."""
+    top = term_stats(docs, text).orderBy(F.desc("corpus_tf"), F.asc("term")).limit(max_features)
     idf = F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return top.crossJoin(F.broadcast(n_docs)).withColumn("idf", idf).drop("n_docs")
+    total = docs.agg(F.count("*").alias("n_docs"))
+    return top.crossJoin(F.broadcast(total)).withColumn("idf", idf).drop("n_docs")
 
 
 def tfidf_weights(terms: DataFrame, vocab: DataFrame, key: list[str]) -> DataFrame:
@@ -75,16 +129,6 @@ def tfidf_weights(terms: DataFrame, vocab: DataFrame, key: list[str]) -> DataFra
     return raw.join(norms, key).select(*key, "term", "tf", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def gram_counts(text: str) -> Counter:
-    """Python twin of ``char_ngrams`` for use inside Arrow batches."""
-    out: Counter = Counter()
-    for word in text.lower().split():
-        padded = f" {word} "
-        for n in range(NGRAM_LOW, NGRAM_HIGH + 1):
-            out.update(padded[i : i + n] for i in range(len(padded) - n + 1))
-    return out
-
-
 @dataclass
 class TfidfModel:
     """Fitted vocabulary: term -> (column, idf); at most ``max_features`` entries."""
@@ -103,9 +147,7 @@ class TfidfModel:
 
 def fit_tfidf(docs: DataFrame, text: str, max_features: int = MAX_FEATURES) -> TfidfModel:
     """Fit on all documents; only the bounded vocabulary reaches the driver."""
-    terms = term_counts(docs, [], text)
-    vocab = vocabulary(terms, docs.agg(F.count("*").alias("n_docs")), max_features)
-    rows = vocab.select("term", "idf").orderBy("term").toPandas()
+    rows = vocabulary(docs, text, max_features).select("term", "idf").toPandas().sort_values("term")
     return TfidfModel({t: i for i, t in enumerate(rows["term"])}, rows["idf"].to_numpy(dtype="float64"))
 
 
@@ -149,14 +191,14 @@ def _sparse_rows(docs: DataFrame, text: str, model: TfidfModel) -> DataFrame:
     return docs.select(vectorise(F.col(text)).alias("v")).select("v.cols", "v.w")
 
 
-_BLOCK_ROWS = 512
+_BLOCK_ROWS = 2048
+_SLOTS = 64
 
 
 def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
-    """(A^T A) q for the distributed sparse rows A: each task sums its part, the parts are added up per
-    block of matrix rows with a map-side combine."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
+    """(A^T A) q for the distributed sparse rows A: each task sums its part, then the parts of a block of
+    matrix rows are added up in two levels, so no task receives the parts of all others."""
+    from pyspark import TaskContext
 
     shared = rows.sparkSession.sparkContext.broadcast(q)
 
@@ -167,14 +209,20 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
             for cols, w in zip(b["cols"], b["w"]):
                 if len(cols):
                     z[cols] += np.outer(w, w @ m[cols])
+        slot = TaskContext.get().partitionId() % _SLOTS
         starts = range(0, len(m), _BLOCK_ROWS)
-        yield pd.DataFrame({"block": list(starts), "z": [z[s : s + _BLOCK_ROWS].ravel() for s in starts]})
+        yield pd.DataFrame({"block": list(starts), "slot": slot, "z": [z[s : s + _BLOCK_ROWS].tobytes() for s in starts]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(z) for z in pdf["z"]], axis=0)
+        return pdf.iloc[:1].assign(z=total.tobytes())
 
-    parts = rows.mapInPandas(partial, "block int, z array<double>")
-    total = parts.groupBy("block").agg(vector_to_array(Summarizer.sum(array_to_vector("z"))).alias("z"))
-    pdf = total.orderBy("block").toPandas()
+    schema = "block int, slot int, z binary"
+    parts = rows.mapInPandas(partial, schema)
+    once = parts.groupBy("block", "slot").applyInPandas(add, schema)
+    pdf = once.groupBy("block").applyInPandas(add, schema).toPandas().sort_values("block")
     shared.unpersist()
-    return np.concatenate(list(pdf["z"])).reshape(q.shape)
+    return np.concatenate([np.frombuffer(z) for z in pdf["z"]]).reshape(q.shape)
 
 
 def fit_lsa(

@@ -32,7 +32,7 @@ _TERMS = O.term_counts("documents", "doc_id")
 
 @query("char_ngrams", f"WITH {_TERMS} SELECT doc_id, n::BIGINT AS n, sum(tf)::BIGINT AS n_grams, count(*) AS n_distinct FROM terms GROUP BY doc_id, n")
 def char_ngrams(spark, d):
-    t = RT.term_counts(I.texts(spark, d, "documents", "doc_id", "text"), ["doc_id"], "text")
+    t = RT.term_counts(I.texts(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
     return t.groupBy("doc_id", F.char_length("term").cast("long").alias("n")).agg(F.sum("tf").alias("n_grams"), F.count("*").alias("n_distinct"))
 
 
@@ -40,15 +40,9 @@ _VOCAB = f"""{_TERMS}, vo AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS co
  FROM terms GROUP BY term ORDER BY corpus_tf DESC, term LIMIT {RT.MAX_FEATURES})"""
 
 
-def _fit_terms(spark, d):
-    docs = I.texts(spark, d, "documents", "doc_id", "text")
-    terms = RT.term_counts(docs, ["doc_id"], "text")
-    return terms, RT.vocabulary(terms, docs.agg(F.count("*").alias("n_docs")))
-
-
 @query("tfidf_vocab", f"WITH {_VOCAB} SELECT term, df, corpus_tf, round(idf, 6) AS idf FROM vo")
 def tfidf_vocab(spark, d):
-    return _fit_terms(spark, d)[1].select("term", "df", "corpus_tf", F.round("idf", 6).alias("idf"))
+    return RT.vocabulary(I.texts(spark, d, "documents", "text"), "text").select("term", "df", "corpus_tf", F.round("idf", 6).alias("idf"))
 
 
 @query("tfidf_weights", f"""WITH {_VOCAB}, w AS (SELECT doc_id, term, tf * idf AS w FROM terms JOIN vo USING (term)),
@@ -57,8 +51,8 @@ SELECT doc_id, count(*) AS n_terms, round(sum(w / norm), 6) AS total, round(max(
 FROM w JOIN n USING (doc_id) GROUP BY doc_id""")
 def tfidf_weights(spark, d):
     """Weights of all documents, folded per document."""
-    terms, vocab = _fit_terms(spark, d)
-    w = RT.tfidf_weights(terms, vocab, ["doc_id"])
+    docs = I.texts(spark, d, "documents", "doc_id", "text")
+    w = RT.tfidf_weights(RT.term_counts(docs, "doc_id", "text"), RT.vocabulary(docs, "text"), ["doc_id"])
     return w.groupBy("doc_id").agg(
         F.count("*").alias("n_terms"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.max("weight"), 6).alias("heaviest"),
         F.round(F.sum(F.col("weight") * F.col("weight")), 6).alias("length_sq"),
