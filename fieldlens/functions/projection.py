@@ -144,24 +144,37 @@ def project_ring(ring: Column, src: str, dst: str) -> Column:
     return project_ring(project_ring(ring, src, WGS84), WGS84, dst)
 
 
-def project_points(df: DataFrame, x: str, y: str, src: str, dst: str, out: tuple[str, str]) -> DataFrame:
-    """Reproject point columns. Staged projections keep the whole series inside codegen."""
-    ox, oy = out
+def project_many(df: DataFrame, points: list[tuple], src: str, dst: str) -> DataFrame:
+    """Reproject several points per row: ``(x column, y column, out x name, out y name)``.
+
+    Every stage of the series is one projection for all points, so the work stays inside codegen and no
+    subexpression is repeated.
+    """
     if src == dst:
-        return df.withColumns({ox: F.col(x), oy: F.col(y)})
+        return df.withColumns({n: v for x, y, ox, oy in points for n, v in ((ox, x), (oy, y))})
     if src != WGS84 and dst != WGS84:
-        mid = project_points(df, x, y, src, WGS84, ("__lon", "__lat"))
-        return project_points(mid, "__lon", "__lat", WGS84, dst, out).drop("__lon", "__lat")
+        mid = [(x, y, f"__lon{i}", f"__lat{i}") for i, (x, y, _, _) in enumerate(points)]
+        back = [(F.col(f"__lon{i}"), F.col(f"__lat{i}"), ox, oy) for i, (_, _, ox, oy) in enumerate(points)]
+        out = project_many(project_many(df, mid, src, WGS84), back, WGS84, dst)
+        return out.drop(*[n for _, _, a, b in mid for n in (a, b)])
     if src == WGS84:
         tm = crs_parameters(dst)
-        staged = df.withColumn("__c", _conformal(F.col(x), F.col(y), tm)).withColumn("__s", _sphere(F.col("__c")))
-        last = staged.withColumn("__p", _to_plane(F.col("__s"), tm))
+        stages = [_sphere, lambda s: _to_plane(s, tm)]
+        first = [_conformal(x, y, tm) for x, y, _, _ in points]
     else:
         tm = crs_parameters(src)
-        staged = (
-            df.withColumn("__c", _from_plane(F.struct(F.col(x).alias("x"), F.col(y).alias("y")), tm))
-            .withColumn("__s", _unwind(F.col("__c")))
-            .withColumn("__l", _to_lonlat(F.col("__s"), tm))
-        )
-        last = staged.withColumn("__p", _geodetic(F.col("__l")))
-    return last.withColumns({ox: F.col("__p.x"), oy: F.col("__p.y")}).drop("__c", "__s", "__l", "__p")
+        stages = [_unwind, lambda s: _to_lonlat(s, tm), _geodetic]
+        first = [_from_plane(F.struct(x.alias("x"), y.alias("y")), tm) for x, y, _, _ in points]
+    names = [f"__s{i}" for i in range(len(points))]
+    out = df.withColumns(dict(zip(names, first)))
+    for stage in stages:
+        out = out.withColumns({n: stage(F.col(n)) for n in names})
+    placed = {}
+    for n, (_, _, ox, oy) in zip(names, points):
+        placed[ox], placed[oy] = F.col(n)["x"], F.col(n)["y"]
+    return out.withColumns(placed).drop(*names)
+
+
+def project_points(df: DataFrame, x: str, y: str, src: str, dst: str, out: tuple[str, str]) -> DataFrame:
+    """Reproject one point column pair."""
+    return project_many(df, [(F.col(x), F.col(y), *out)], src, dst)

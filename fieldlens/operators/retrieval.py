@@ -122,13 +122,6 @@ def vocabulary(docs: DataFrame, text: str, max_features: int = MAX_FEATURES) ->
     return top.crossJoin(F.broadcast(total)).withColumn("idf", idf).drop("n_docs")
 
 
-def tfidf_weights(terms: DataFrame, vocab: DataFrame, key: list[str]) -> DataFrame:
-    """L2-normalised weights. The vocabulary is bounded by its limit, hence broadcast."""
-    raw = terms.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = raw.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, key).select(*key, "term", "tf", (F.col("w") / F.col("norm")).alias("weight"))
-
-
 @dataclass
 class TfidfModel:
     """Fitted vocabulary: term -> (column, idf); at most ``max_features`` entries."""
@@ -151,6 +144,26 @@ def fit_tfidf(docs: DataFrame, text: str, max_features: int = MAX_FEATURES) -> T
     return TfidfModel({t: i for i, t in enumerate(rows["term"])}, rows["idf"].to_numpy(dtype="float64"))
 
 
+def tfidf_weights(docs: DataFrame, key: str, text: str, model: TfidfModel) -> DataFrame:
+    """``key, term, weight``: L2-normalised TF-IDF weights in one narrow pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = f"{key} {docs.schema[key].dataType.simpleString()}, term string, weight double"
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        names = np.array(sorted(m.index, key=m.index.get), dtype=object)
+        for b in batches:
+            rows = [m.sparse(t or "") for t in b[text]]
+            sizes = [len(c) for c, _ in rows]
+            if sum(sizes):
+                yield pd.DataFrame(
+                    {key: np.repeat(b[key].to_numpy(), sizes), "term": names[np.concatenate([c for c, _ in rows])],
+                     "weight": np.concatenate([w for _, w in rows])}
+                )
+
+    return docs.select(key, text).mapInPandas(weigh, schema)
+
+
 # --------------------------------------------------------------------- LSA
 
 
@@ -363,7 +376,8 @@ def topk_tfidf(items: DataFrame, queries: DataFrame, k: int, model: TfidfModel)
     sc = items.sparkSession.sparkContext
     fitted = sc.broadcast(model)
     parts = []
-    for block in _query_blocks(queries.select("query_id", "text"), 8 * len(model.index)):
+    used_terms = term_counts(queries, "query_id", "text").select("term").distinct().count()
+    for block in _query_blocks(queries.select("query_id", "text"), 8 * min(used_terms, len(model.index))):
         pdf = block.orderBy("query_id").toPandas()
         if pdf.empty:
             continue

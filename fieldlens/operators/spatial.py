@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geometry as G
-from fieldlens.functions.projection import WGS84, project_ring
+from fieldlens.functions.projection import WGS84, project_many, project_ring
 from fieldlens.session import BROADCAST_LIMIT_BYTES, cut_lineage
 
 BOX = ("minx", "miny", "maxx", "maxy")
@@ -67,26 +67,49 @@ def common_box(pairs: DataFrame) -> DataFrame:
     )
 
 
-def box_overlap_m2(unit: float, crs: str | None) -> Column:
-    """Area of the common box in m2: measured after projecting its corners, or in the local metric.
+def project_box(df: DataFrame, box: tuple[str, str, str, str], unit: float, crs: str, prefix: str = "q") -> DataFrame:
+    """Corners of a lon/lat box in the plane as columns ``{prefix}x0, {prefix}y0 .. {prefix}x3, {prefix}y3``."""
+    x0, y0, x1, y1 = (F.col(n) * F.lit(unit) for n in box)
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    return project_many(df, [(x, y, f"{prefix}x{i}", f"{prefix}y{i}") for i, (x, y) in enumerate(corners)], WGS84, crs)
 
-    ``unit`` is degrees per coordinate unit.
-    """
-    c = F.col
-    if crs is None:
-        dx, dy = c("ix1") - c("ix0"), c("iy1") - c("iy0")
-        return dx * F.lit(unit * LOCAL_M_PER_DEG_LON) * (dy * F.lit(unit * LOCAL_M_PER_DEG_LAT))
-    ring = G.box_ring(c("ix0") * unit, c("iy0") * unit, c("ix1") * unit, c("iy1") * unit)
-    return F.abs(G.signed_area(project_ring(ring, WGS84, crs)))
+
+def quad_columns(prefix: str = "q") -> list[str]:
+    return [f"{prefix}{a}{i}" for i in range(4) for a in "xy"]
+
+
+def quad_area(prefix: str = "q") -> Column:
+    """Area of a projected box, relative to its first corner."""
+
+    def rel(axis: str, i: int) -> Column:
+        return F.col(f"{prefix}{axis}{i}") - F.col(f"{prefix}{axis}0")
+
+    twice = sum((rel("x", i) * rel("y", i + 1) - rel("x", i + 1) * rel("y", i) for i in (1, 2)), F.lit(0.0))
+    return F.abs(twice) / 2
+
+
+def quad_point_distance(px: str, py: str, prefix: str = "q") -> Column:
+    """Distance of a point outside a projected box to its outline."""
+    p = {"x": F.col(px), "y": F.col(py)}
+    corner = [{a: F.col(f"{prefix}{a}{i}") for a in "xy"} for i in range(4)]
+    return F.sqrt(F.least(*[G.segment_distance_sq(p, corner[i], corner[(i + 1) % 4]) for i in range(4)]))
 
 
 def intersect_boxes(
     left: DataFrame, right: DataFrame, on: list[str], cell: float, unit: float = 1.0, crs: str | None = None,
     out: str = "overlap_area_m2",
 ) -> DataFrame:
-    """Inner join on ``on`` and touching-or-overlapping boxes, with the overlap area (0 when touching)."""
+    """Inner join on ``on`` and touching-or-overlapping boxes, with the overlap area (0 when touching).
+
+    The area is measured after projecting the common box to ``crs``, or in the local metric without one;
+    ``unit`` is degrees per coordinate unit.
+    """
     pairs = common_box(candidate_pairs(left, right, on, cell))
-    return pairs.withColumn(out, box_overlap_m2(unit, crs))
+    if crs is not None:
+        measured = project_box(pairs, ("ix0", "iy0", "ix1", "iy1"), unit, crs)
+        return measured.withColumn(out, quad_area()).drop(*quad_columns())
+    dx, dy = F.col("ix1") - F.col("ix0"), F.col("iy1") - F.col("iy0")
+    return pairs.withColumn(out, dx * F.lit(unit * LOCAL_M_PER_DEG_LON) * (dy * F.lit(unit * LOCAL_M_PER_DEG_LAT)))
 
 
 def fold_pieces(pairs: DataFrame, by: list[str], carry: list[str], out: str = "overlap_area_m2") -> DataFrame:

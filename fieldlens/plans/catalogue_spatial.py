@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import geometry as G
 from fieldlens.functions import scalars as S
-from fieldlens.functions.projection import WGS84, project_points, project_ring
+from fieldlens.functions.projection import WGS84, project_many, project_points
 from fieldlens.operators import dossiers as DO
 from fieldlens.operators import metrics as M
 from fieldlens.operators import ranking as K
@@ -111,16 +111,13 @@ def _corners(p: str = "") -> list[tuple[str, str, str, str]]:
     return [(x0, y0, "x0", "y0"), (x1, y0, "x1", "y1"), (x1, y1, "x2", "y2"), (x0, y1, "x3", "y3")]
 
 
-def _ring():
-    c = F.col
-    return G.box_ring(c("minx") * UNIT, c("miny") * UNIT, c("maxx") * UNIT, c("maxy") * UNIT)
-
-
 @query("parcel_area", f"""WITH {O.PARCELS}, {O.forward('pa', 'pj', _corners())}
 SELECT parcel_id, round({O.quad_area('')}, 1) AS area_m2 FROM pj""")
 def parcel_area(spark, d):
+    c = F.col
+    ring = G.box_ring(c("minx") * UNIT, c("miny") * UNIT, c("maxx") * UNIT, c("maxy") * UNIT)
     return I.parcels(spark, d).select(
-        "parcel_id", F.round(G.polygon_area_m2(F.array(_ring()), WGS84, CRS), 1).alias("area_m2")
+        "parcel_id", F.round(G.polygon_area_m2(F.array(ring), WGS84, CRS), 1).alias("area_m2")
     )
 
 
@@ -251,15 +248,11 @@ _SIDES = ", ".join(O.segment_distance("qx", "qy", f"x{i}", f"y{i}", f"x{(i + 1)
  round(CASE WHEN gx = 0 AND gy = 0 THEN 0 ELSE least({_SIDES}) END, 3) AS distance_m FROM pj""")
 def nearest_label(spark, d):
     """Label chosen by planar degree distance, reported by its distance in projected metres."""
-    near = project_points(
-        nearest(spark, d).withColumns({"plon": F.col("px") * UNIT, "plat": F.col("py") * UNIT}),
-        "plon", "plat", WGS84, CRS, ("qx", "qy"),
-    )
-    quad = project_ring(_ring(), WGS84, CRS)
-    dist = G.polygon_point_distance(F.array(quad), F.struct(F.col("qx").alias("x"), F.col("qy").alias("y")))
-    return near.select(
-        "detection_id", F.col("pid").alias("matched_label_id"), F.round(F.when(F.col("d2") == 0, 0.0).otherwise(dist), 3).alias("distance_m")
-    )
+    found = nearest(spark, d)
+    corners = SP.project_box(found, ("minx", "miny", "maxx", "maxy"), UNIT, CRS)
+    near = project_many(corners, [(F.col("px") * UNIT, F.col("py") * UNIT, "sx", "sy")], WGS84, CRS)
+    dist = F.when(F.col("d2") == 0, 0.0).otherwise(SP.quad_point_distance("sx", "sy"))
+    return near.select("detection_id", F.col("pid").alias("matched_label_id"), F.round(dist, 3).alias("distance_m"))
 
 
 _RECALL = f"""lr AS (SELECT DISTINCT f.run_id, s.aoi, s.pid FROM si s JOIN fl f ON

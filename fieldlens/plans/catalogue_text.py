@@ -52,7 +52,7 @@ FROM w JOIN n USING (doc_id) GROUP BY doc_id""")
 def tfidf_weights(spark, d):
     """Weights of all documents, folded per document."""
     docs = I.texts(spark, d, "documents", "doc_id", "text")
-    w = RT.tfidf_weights(RT.term_counts(docs, "doc_id", "text"), RT.vocabulary(docs, "text"), ["doc_id"])
+    w = RT.tfidf_weights(docs, "doc_id", "text", RT.fit_tfidf(docs, "text"))
     return w.groupBy("doc_id").agg(
         F.count("*").alias("n_terms"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.max("weight"), 6).alias("heaviest"),
         F.round(F.sum(F.col("weight") * F.col("weight")), 6).alias("length_sq"),

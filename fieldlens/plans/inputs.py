@@ -57,7 +57,7 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both dates of every area's raster, one row per pixel, bands in thousandths / 1000."""
-    e = table(spark, sf_dir, "events").select("event_id")
+    e = spread_scan(table(spark, sf_dir, "events").select("event_id"))
     df = e.selectExpr(
         f"concat('a', event_id div {PIXELS_PER_AOI}) AS aoi",
         "event_id",
@@ -81,7 +81,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = spread_scan(table(spark, sf_dir, "part"))
     unit = (
         f"pmod(({PARCEL_SEED}L * {HASH_SEED_FACTOR}L) ^ (i * {HASH_I_FACTOR}L) ^ ((p_partkey div 10) * {HASH_J_FACTOR}L),"
         f" {HASH_MODULUS}L)"
@@ -111,7 +111,7 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread_scan(table(spark, sf_dir, "orders"))
     k = f"(o_orderkey div {DETECTIONS_PER_AOI})"
     return o.selectExpr(
         "o_orderkey AS detection_id",
@@ -147,7 +147,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw label records as a service would answer them (untrimmed names, null positions)."""
     k = f"(c_custkey div {RECORDS_PER_AOI})"
-    return table(spark, sf_dir, "customer").selectExpr(
+    return spread_scan(table(spark, sf_dir, "customer")).selectExpr(
         "c_custkey AS id",
         f"{k} AS k",
         f"concat('a', c_custkey div {RECORDS_PER_AOI}) AS aoi",
@@ -163,7 +163,7 @@ def site_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue of scenes: one per order, an area per customer group."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread_scan(table(spark, sf_dir, "orders")).selectExpr(
         "concat('scene-', o_orderkey) AS item_id",
         "o_orderkey",
         "concat('c', o_custkey % 25) AS aoi",
