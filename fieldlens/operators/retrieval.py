@@ -51,21 +51,58 @@ def chunk_articles(articles: DataFrame, size: int = 600, overlap: int = 80) -> D
 # ------------------------------------------------------------------ TF-IDF
 
 
-def gram_counts(text: str) -> dict[str, int]:
-    """Character n-grams inside words padded with one space on both sides, with their counts.
+_WORD_MEMO = 200_000
+_FLUSH_TERMS = 200_000
+_NO_IDS = np.empty(0, dtype=np.int64)
+
 
-    A word no longer than n gives itself once and no longer grams; padded words have at least three
-    characters, so only the upper lengths can run out.
+class GramTable:
+    """Character n-grams as numbers, remembered per word because texts repeat their words.
+
+    N-grams are taken inside words padded with one space on both sides; a word no longer than n gives
+    itself once and no longer grams (padded words have at least three characters). With a given index
+    unknown grams are ignored, otherwise every new gram gets the next number.
     """
-    out: dict[str, int] = {}
-    for word, k in Counter(text.lower().split()).items():
+
+    def __init__(self, index: dict[str, int] | None = None):
+        self.open = index is None
+        self.index = {} if index is None else index
+        self.memo: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _word(self, word: str) -> tuple[np.ndarray, np.ndarray]:
         padded = f" {word} "
         size = len(padded)
+        counts: dict[int, int] = {}
         for n in range(NGRAM_LOW, NGRAM_HIGH + 1):
             for i in range(size - n + 1):
                 gram = padded[i : i + n]
-                out[gram] = out.get(gram, 0) + k
-    return out
+                at = self.index.setdefault(gram, len(self.index)) if self.open else self.index.get(gram)
+                if at is not None:
+                    counts[at] = counts.get(at, 0) + 1
+        return np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts))
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct gram numbers of a text, ascending, and their counts."""
+        ids, times = [], []
+        for word, k in Counter(text.lower().split()).items():
+            hit = self.memo.get(word)
+            if hit is None:
+                if len(self.memo) >= _WORD_MEMO:
+                    self.memo.clear()
+                hit = self.memo[word] = self._word(word)
+            ids.append(hit[0])
+            times.append(hit[1] * k if k > 1 else hit[1])
+        if not ids:
+            return _NO_IDS, _NO_IDS
+        found, place = np.unique(np.concatenate(ids), return_inverse=True)
+        return found, np.bincount(place, weights=np.concatenate(times), minlength=len(found)).astype(np.int64)
+
+
+def gram_counts(text: str) -> dict[str, int]:
+    table = GramTable()
+    ids, tf = table.counts(text)
+    names = list(table.index)
+    return {names[i]: int(k) for i, k in zip(ids, tf)}
 
 
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -77,37 +114,38 @@ def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            keys, terms, tf = [], [], []
-            for k, t in zip(b[key], b[text]):
-                grams = gram_counts(t or "")
-                keys.append(np.full(len(grams), k))
-                terms.extend(grams.keys())
-                tf.extend(grams.values())
-            if terms:
-                yield pd.DataFrame({key: np.concatenate(keys), "term": terms, "tf": tf})
+            table = GramTable()
+            rows = [table.counts(t or "") for t in b[text]]
+            names = np.array(list(table.index), dtype=object)
+            sizes = [len(i) for i, _ in rows]
+            if sum(sizes):
+                yield pd.DataFrame(
+                    {key: np.repeat(b[key].to_numpy(), sizes), "term": names[np.concatenate([i for i, _ in rows])],
+                     "tf": np.concatenate([k for _, k in rows])}
+                )
 
     return docs.select(key, text).mapInPandas(count, schema)
 
 
-_FLUSH_TERMS = 200_000
-
-
 def term_stats(docs: DataFrame, text: str) -> DataFrame:
     """``term, df, corpus_tf`` over all documents; each task adds up before it emits."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df: dict[str, int] = {}
-        tf: dict[str, int] = {}
+        table, total = GramTable(), np.zeros((2, 1 << 16), dtype=np.int64)
         for b in batches:
             for t in b[text]:
-                for gram, k in gram_counts(t or "").items():
-                    df[gram] = df.get(gram, 0) + 1
-                    tf[gram] = tf.get(gram, 0) + k
-                if len(df) > _FLUSH_TERMS:
-                    yield pd.DataFrame({"term": list(df), "df": list(df.values()), "tf": list(tf.values())})
-                    df, tf = {}, {}
-        if df:
-            yield pd.DataFrame({"term": list(df), "df": list(df.values()), "tf": list(tf.values())})
+                ids, tf = table.counts(t or "")
+                if len(table.index) > total.shape[1]:
+                    total = np.pad(total, ((0, 0), (0, len(table.index))))
+                total[0, ids] += 1
+                total[1, ids] += tf
+                if len(table.index) > _FLUSH_TERMS:
+                    n = len(table.index)
+                    yield pd.DataFrame({"term": list(table.index), "df": total[0, :n], "tf": total[1, :n]})
+                    table, total = GramTable(), np.zeros((2, 1 << 16), dtype=np.int64)
+        n = len(table.index)
+        if n:
+            yield pd.DataFrame({"term": list(table.index), "df": total[0, :n], "tf": total[1, :n]})
 
     part = docs.select(text).mapInPandas(count, "term string, df long, tf long")
     return part.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("corpus_tf"))
@@ -129,13 +167,19 @@ class TfidfModel:
     index: dict[str, int] = field(repr=False)
     idf: np.ndarray = field(repr=False)
 
+    table: GramTable | None = field(default=None, repr=False)
+
+    def __getstate__(self):
+        return {"index": self.index, "idf": self.idf, "table": None}
+
     def sparse(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        found = [(self.index[t], c) for t, c in gram_counts(text).items() if t in self.index]
-        if not found:
-            return np.empty(0, dtype=np.int64), np.empty(0)
-        cols, tf = np.array(found, dtype=np.int64).T
+        """Columns and unit-length weights of a text; terms outside the vocabulary are ignored."""
+        if self.table is None:
+            self.table = GramTable(self.index)
+        cols, tf = self.table.counts(text)
         w = tf * self.idf[cols]
-        return cols, w / np.sqrt(w @ w)
+        size = np.sqrt(w @ w)
+        return cols, w / size if size > 0 else w
 
 
 def fit_tfidf(docs: DataFrame, text: str, max_features: int = MAX_FEATURES) -> TfidfModel:

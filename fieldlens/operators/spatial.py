@@ -250,20 +250,36 @@ def nearest_point(
 # ------------------------------------------------------------ within radius
 
 
-def points_within(points: DataFrame, shapes: DataFrame, radius: float, on: list[str]) -> DataFrame:
+HOT_CELL_ROWS = 100_000
+
+
+def points_within(
+    points: DataFrame, shapes: DataFrame, radius: float, on: list[str], hot_rows: int = HOT_CELL_ROWS
+) -> DataFrame:
     """Points of ``px, py`` with at least one shape within ``radius`` (inclusive), as a semi-join.
 
-    Shapes carry a bounding box and, when they are not boxes, a ``ring`` in the same metric plane.
-    Shapes are spread over cells of the radius; a point looks into its own cell only.
+    Shapes carry a bounding box and, when they are not boxes, a ``ring`` in the same metric plane. They are
+    spread over cells of the radius; a point looks into its own cell only. Equal shapes count once. A
+    semi-join cannot split its right side, so a cell with more than ``hot_rows`` shapes is cut into parts
+    and its points look into each part; the list of such cells has at most rows / ``hot_rows`` entries.
+    Rows of ``points`` are distinct (they carry an id).
     """
-    near = cover(shapes.dropDuplicates([*on, *[c for c in shapes.columns if c not in on and c != "ring"]]), radius, radius)
+    plain = [c for c in shapes.columns if c != "ring"]
+    near = cover(shapes.dropDuplicates(plain), radius, radius)
+    cell = [*on, "cx", "cy"]
+    hot = near.groupBy(*cell).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
+    hot = F.broadcast(hot.select(*cell, F.ceil(F.col("n") / hot_rows).cast("int").alias("parts")))
+    near = near.join(hot, cell, "left").withColumn(
+        "part", F.pmod(F.xxhash64(*plain), F.coalesce("parts", F.lit(1))).cast("int")
+    )
     at = points.withColumns(
         {"cx": F.floor(F.col("px") / radius).cast("long"), "cy": F.floor(F.col("py") / radius).cast("long")}
-    ).alias("p")
-    near = near.alias("s")
+    ).join(hot, cell, "left")
+    at = at.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    at, near = at.alias("p"), near.alias("s")
     c = F.col
-    cond = (c("p.cx") == c("s.cx")) & (c("p.cy") == c("s.cy"))
-    for k in on:
+    cond = c("p.part") == c("s.part")
+    for k in cell:
         cond = cond & (c(f"p.{k}") == c(f"s.{k}"))
     dx = F.greatest(F.lit(0.0), c("p.px") - c("s.maxx"), c("s.minx") - c("p.px"))
     dy = F.greatest(F.lit(0.0), c("p.py") - c("s.maxy"), c("s.miny") - c("p.py"))
@@ -271,4 +287,5 @@ def points_within(points: DataFrame, shapes: DataFrame, radius: float, on: list[
     if "ring" in shapes.columns:
         p = F.struct(c("p.px").alias("x"), c("p.py").alias("y"))
         cond = cond & (G.polygon_point_distance(F.array(c("s.ring")), p) <= F.lit(radius))
-    return at.join(near, cond, "left_semi").drop("cx", "cy")
+    found = at.join(near, cond, "left_semi")
+    return found.select(*points.columns).dropDuplicates()

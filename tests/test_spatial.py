@@ -111,11 +111,14 @@ def test_degree_nearest_need_not_be_metre_nearest(spark):
     assert SP.nearest_point(det, spark.createDataFrame(scaled, "aoi string, pid long, px double, py double"), ["aoi"], ["lid"]).first().pid == 2
 
 
-def test_points_within_equals_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [5, 100_000])
+def test_points_within_equals_brute_force(spark, hot_rows):
     rng = np.random.default_rng(9)
     shapes = random_boxes(rng, 150, 6)
     pts = [(f"a{i % 2}", int(i), float(x), float(y)) for i, (x, y) in enumerate(rng.random((400, 2)) * 110 - 5)]
-    got = {r.pid for r in SP.points_within(spark.createDataFrame(pts, "aoi string, pid long, px double, py double"), boxes(spark, shapes, "sid").drop("sid"), 4.0, ["aoi"]).collect()}
+    rows = SP.points_within(spark.createDataFrame(pts, "aoi string, pid long, px double, py double"), boxes(spark, shapes, "sid").drop("sid"), 4.0, ["aoi"], hot_rows).collect()
+    got = {r.pid for r in rows}
+    assert len(got) == len(rows)
     want = {p for a, p, x, y in pts if any(a == b and max(0, x - x1, x0 - x) ** 2 + max(0, y - y1, y0 - y) ** 2 <= 16 for b, _, x0, y0, x1, y1 in shapes)}
     assert got == want
 
