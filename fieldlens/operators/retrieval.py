@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -66,36 +66,33 @@ class GramTable:
 
     def __init__(self, index: dict[str, int] | None = None):
         self.open = index is None
-        self.index = {} if index is None else index
-        self.memo: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.index = defaultdict() if index is None else index
+        if self.open:
+            self.index.default_factory = self.index.__len__
+        self.memo: dict[str, np.ndarray] = {}
 
-    def _word(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        padded = f" {word} "
+    def _word(self, word: str) -> np.ndarray:
+        padded, index = f" {word} ", self.index
         size = len(padded)
-        counts: dict[int, int] = {}
-        for n in range(NGRAM_LOW, NGRAM_HIGH + 1):
-            for i in range(size - n + 1):
-                gram = padded[i : i + n]
-                at = self.index.setdefault(gram, len(self.index)) if self.open else self.index.get(gram)
-                if at is not None:
-                    counts[at] = counts.get(at, 0) + 1
-        return np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts))
+        grams = [padded[i : i + n] for n in range(NGRAM_LOW, NGRAM_HIGH + 1) for i in range(size - n + 1)]
+        ids = [index[g] for g in grams] if self.open else [index[g] for g in grams if g in index]
+        return np.array(ids, dtype=np.int64)
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct gram numbers of a text, ascending, and their counts."""
-        ids, times = [], []
-        for word, k in Counter(text.lower().split()).items():
-            hit = self.memo.get(word)
+        memo, ids = self.memo, []
+        for word in text.lower().split():
+            hit = memo.get(word)
             if hit is None:
-                if len(self.memo) >= _WORD_MEMO:
-                    self.memo.clear()
-                hit = self.memo[word] = self._word(word)
-            ids.append(hit[0])
-            times.append(hit[1] * k if k > 1 else hit[1])
+                if len(memo) >= _WORD_MEMO:
+                    memo.clear()
+                hit = memo[word] = self._word(word)
+            ids.append(hit)
         if not ids:
             return _NO_IDS, _NO_IDS
-        found, place = np.unique(np.concatenate(ids), return_inverse=True)
-        return found, np.bincount(place, weights=np.concatenate(times), minlength=len(found)).astype(np.int64)
+        per_gram = np.bincount(np.concatenate(ids))
+        found = np.flatnonzero(per_gram)
+        return found, per_gram[found]
 
 
 def gram_counts(text: str) -> dict[str, int]:
