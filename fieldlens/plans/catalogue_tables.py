@@ -191,7 +191,7 @@ def geojson_parcels(spark, d):
     areas = p.groupBy("aoi").agg(
         (F.min("minx") + 500).alias("minx"), (F.min("miny") + 500).alias("miny"), (F.max("maxx") - 700).alias("maxx"), (F.max("maxy") - 700).alias("maxy")
     ).withColumn("provider", F.lit("geojson"))
-    out = parcels.features_to_parcels(parcels.parse_collections(text, "fc"), areas)
+    out = parcels.features_to_parcels(parcels.parse_collections(text, "fc"), areas, cell=5000.0)
     return out.select(
         "parcel_id", "aoi", "landcode", "sectname", "landuse_code", "is_farmland", "source", F.round(G.polygon_area(c("geom")), 0).alias("area")
     )

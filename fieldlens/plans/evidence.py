@@ -21,7 +21,7 @@ from fieldlens.operators import spatial as SP
 from fieldlens.operators import tables as TB
 from fieldlens.operators.ranking import latest_by, rank_rows
 from fieldlens.plans import detect as D
-from fieldlens.sources.sinks import as_stored, emit_events, replace_runs
+from fieldlens.sources.sinks import as_stored, emit_events, replace_runs, write_run_json
 from fieldlens.streaming.events import COMPLETED, event_rows
 
 KEY = ["run_id", "aoi"]
@@ -169,7 +169,7 @@ class Store:
     """Locations of the stage tables below one root."""
 
     root: str
-    names: list[str] = field(default_factory=lambda: ["detections", "pieces", "flagged", "dossiers", "metrics", "events"])
+    names: list[str] = field(default_factory=lambda: ["detections", "pieces", "flagged", "dossiers", "metrics", "metrics_json", "events"])
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -216,6 +216,8 @@ def run_evidence(spark: SparkSession, store: Store, runs: list[str], inp: Inputs
     replace_runs(flag(det, pieces, inp.parcels, inp.labels, inp.cell, inp.crs), store.path("flagged"))
     flagged = stored("flagged")
     replace_runs(score(det, pieces, flagged, inp.labels, inp.radius_m, inp.crs), store.path("metrics"))
+    metrics = stored("metrics")
+    write_run_json(M.metrics_payload(metrics), store.path("metrics_json"))
     docs = document(flagged, det, pieces, inp.areas, inp.chunks, inp.embedder, inp.top_k, inp.radius_m, inp.limit)
     replace_runs(docs, store.path("dossiers"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlens.operators.tables import replace_partitions
 from fieldlens.schemas import STATUTE
 
 
@@ -30,3 +31,8 @@ def read_statutes(spark: SparkSession, path: str) -> DataFrame:
 def missing_codes(configured: DataFrame, statutes: DataFrame) -> DataFrame:
     """Configured codes without a corpus; they are skipped."""
     return configured.join(statutes.select("pcode").distinct(), "pcode", "left_anti")
+
+
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """Embedded chunks of a code replace what was stored for it."""
+    replace_partitions(chunks, path, ["pcode"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import geometry as G
 from fieldlens.functions import scalars as S
 from fieldlens.functions.projection import WGS84, project_ring
+from fieldlens.operators.spatial import candidate_pairs
 from fieldlens.schemas import FEATURE, FEATURE_COLLECTION
 from fieldlens.sources.rasters import grid_from_bbox
 
@@ -70,19 +71,22 @@ def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.monotonically_increasing_id().alias("pos"), F.from_json("value", FEATURE).alias("feature"))
 
 
-def features_to_parcels(features: DataFrame, areas: DataFrame, strict_flag: bool = False) -> DataFrame:
+def features_to_parcels(
+    features: DataFrame, areas: DataFrame, strict_flag: bool = False, cell: float = 0.05
+) -> DataFrame:
     """Clip features to their area box and map their properties to parcel columns.
 
     ``features`` has ``pos`` and ``feature`` (and ``aoi`` when collections belong to areas); ``areas`` has
-    ``aoi, minx..maxy, provider``. Parts without area are dropped.
+    ``aoi, minx..maxy, provider``. Features meet areas by grid cells of ``cell`` coordinate units. Parts
+    without area are dropped.
     """
     c = F.col
-    joined = features.join(areas, "aoi") if "aoi" in features.columns else features.crossJoin(F.broadcast(areas))
     rings = G.from_geojson_coordinates(c("feature.geometry.coordinates"))
-    boxed = joined.withColumn("__rings", rings).withColumn("__b", G.bounds(c("__rings")))
-    near = boxed.where("__b.minx <= maxx AND minx <= __b.maxx AND __b.miny <= maxy AND miny <= __b.maxy")
+    boxed = features.withColumn("__rings", rings).withColumn("__b", G.bounds(c("__rings"))).select("*", "__b.*").drop("__b")
+    on = ["aoi"] if "aoi" in features.columns else []
+    near = candidate_pairs(boxed, areas.select("aoi", "minx", "miny", "maxx", "maxy", "provider"), on, cell)
     clipped = near.withColumn(
-        "geom", G.clip_polygon_to_box(c("__rings"), c("minx"), c("miny"), c("maxx"), c("maxy"))
+        "geom", G.clip_polygon_to_box(c("__rings"), c("r_minx"), c("r_miny"), c("r_maxx"), c("r_maxy"))
     ).where(F.size("geom") > 0)
 
     def prop(name: str):

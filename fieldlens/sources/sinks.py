@@ -28,9 +28,12 @@ def replace_runs(df: DataFrame, path: str) -> None:
     replace_partitions(as_stored(df), path, ["run_id"])
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """One JSON document per row of a single string column."""
-    df.write.mode("overwrite").text(path)
+def write_run_json(payloads: DataFrame, path: str) -> None:
+    """JSON documents (``run_id, payload``) as text files per run; a run replaces its own."""
+    (
+        payloads.select("run_id", "payload").write.mode("overwrite").partitionBy("run_id")
+        .option("partitionOverwriteMode", "dynamic").text(path)
+    )
 
 
 def export_csv(df: DataFrame, path: str) -> None:

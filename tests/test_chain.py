@@ -77,6 +77,7 @@ def test_known_answer(spark, world, store):
     m = m[0]
     assert (m.n_detections, m.n_flagged_detections, m.n_true_positive_detections, m.n_labels, m.n_labels_matched) == (6, 6, 4, 5, 4)
     assert (m.precision, m.recall, m.f1) == (0.6667, 0.8, 0.7273)
+    assert json.loads(spark.read.text(store.path("metrics_json")).first().value)["f1"] == 0.7273
     det = read(spark, store, "detections").collect()
     assert all(3000 <= d.area_m2 <= 3600 and d.confidence > 0.9 and d.t1_date == "2024-12-15" for d in det)
     flagged = read(spark, store, "flagged")

@@ -142,6 +142,10 @@ def test_statutes_and_tenders(spark, tmp_path):
     assert [(a.pcode, a.article_no) for a in arts] == [("J1", "第28-1條"), ("J1", None)]
     codes = spark.createDataFrame([("J1",), ("D2",)], "pcode string")
     assert [r.pcode for r in laws.missing_codes(codes, statutes).collect()] == ["D2"]
+    chunks = spark.createDataFrame([("J1", 0, "x"), ("J1", 1, "y"), ("D2", 0, "z")], "pcode string, chunk_index long, content string")
+    for df in (chunks, chunks.where("pcode = 'J1' AND chunk_index = 0")):
+        laws.write_chunks(df, str(tmp_path / "chunks"))
+    assert {(r.pcode, r.content) for r in spark.read.parquet(str(tmp_path / "chunks")).collect()} == {("J1", "x"), ("D2", "z")}
     page = json.dumps({"records": [{"date": "1", "unit_name": "u", "brief": None}, {"brief": {"title": "t", "type": "y"}}], "total_pages": 2})
     pages = spark.createDataFrame([("k", 1, page), ("k", 2, page), ("k", 3, page)], "keyword string, page int, body string")
     rows = tenders.flatten_pages(pages, "body", 5).collect()
