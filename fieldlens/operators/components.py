@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.session import cut_lineage
+from fieldlens.session import cut_lineage, ship_package
 
 DEFAULT_BLOCK = 128
 
@@ -100,6 +100,7 @@ def block_strips(
     of :func:`fieldlens.operators.raster.binary_open`, ``blk_r``/``blk_c`` whose partitioning is reused).
     The region code is ``row * 2^32 + col`` of its first pixel.
     """
+    ship_package(mask.sparkSession)
     if "blk_r" not in mask.columns:
         mask = mask.withColumns({"blk_r": F.expr(f"row div {block}"), "blk_c": F.expr(f"col div {block}")})
     mask = mask.select(*keys, "blk_r", "blk_c", F.col("row").cast("long"), F.col("col").cast("long"), *values)

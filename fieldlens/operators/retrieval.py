@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import text as X
 from fieldlens.operators.ranking import running_total, top_per_group
-from fieldlens.session import BROADCAST_LIMIT_BYTES
+from fieldlens.session import BROADCAST_LIMIT_BYTES, ship_package
 
 # N-gram lengths, vocabulary limit, vector length.
 NGRAM_LOW, NGRAM_HIGH = 2, 4
@@ -107,6 +107,7 @@ def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     (Exploding the grams JVM-side took twice as long and shuffles ten times the text.)
     """
+    ship_package(docs.sparkSession)
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, term string, tf long"
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,6 +127,7 @@ def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def term_stats(docs: DataFrame, text: str) -> DataFrame:
     """``term, df, corpus_tf`` over all documents; each task adds up before it emits."""
+    ship_package(docs.sparkSession)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, total = GramTable(), np.zeros((2, 1 << 16), dtype=np.int64)
@@ -187,6 +189,7 @@ def fit_tfidf(docs: DataFrame, text: str, max_features: int = MAX_FEATURES) -> T
 
 def tfidf_weights(docs: DataFrame, key: str, text: str, model: TfidfModel) -> DataFrame:
     """``key, term, weight``: L2-normalised TF-IDF weights in one narrow pass."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, term string, weight double"
 
@@ -234,6 +237,7 @@ class LsaModel:
 
 def _sparse_rows(docs: DataFrame, text: str, model: TfidfModel) -> DataFrame:
     """TF-IDF rows as (columns, weights) arrays."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("cols array<int>, w array<double>")
@@ -254,6 +258,7 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     matrix rows are added up in two levels, so no task receives the parts of all others."""
     from pyspark import TaskContext
 
+    ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(q)
 
     def partial(batches):
@@ -309,6 +314,7 @@ def fit_lsa(
 
 def encode(docs: DataFrame, text: str, model: LsaModel, out: str = "embedding") -> DataFrame:
     """Project texts with the fitted model: one narrow pass, unit float vectors padded to ``dim``."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("array<float>")
@@ -383,6 +389,7 @@ def topk_cosine(items: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     Items are read once per query block and never shuffled; each task keeps ``k`` items per query.
     """
+    ship_package(items.sparkSession)
     width = queries.agg(F.max(F.size("vector")).alias("d")).first().d or 1
     sc = items.sparkSession.sparkContext
     parts = []
@@ -414,6 +421,7 @@ def topk_tfidf(items: DataFrame, queries: DataFrame, k: int, model: TfidfModel)
 
     Same plan as :func:`topk_cosine`; the query matrix covers only the terms the queries use.
     """
+    ship_package(items.sparkSession)
     sc = items.sparkSession.sparkContext
     fitted = sc.broadcast(model)
     parts = []

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,20 @@ def spread_scan(df: DataFrame) -> DataFrame:
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever the job was started from.
+
+    Spark itself carries the archive to the executors; once per context.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_fieldlens_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="fieldlens-pkg-")) / "fieldlens.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._fieldlens_shipped = True

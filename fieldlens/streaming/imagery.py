@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fieldlens.schemas import MANIFEST
+from fieldlens.session import ship_package
 
 PAIRS = "aoi STRING, t0_item STRING, t1_item STRING"
 _STATE = "t0 STRING, t1 STRING, done STRING"
@@ -37,6 +38,7 @@ def _pair_up(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
 
 def complete_pairs(manifests: DataFrame) -> DataFrame:
     """Each newly completed pair of dates once."""
+    ship_package(manifests.sparkSession)
     return (
         manifests.select("aoi", "t_label", "stac_item_id").groupBy("aoi")
         .applyInPandasWithState(_pair_up, PAIRS, _STATE, "append", GroupStateTimeout.NoTimeout)
