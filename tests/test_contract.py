@@ -42,3 +42,21 @@ def test_lsa_queries_have_unit_rows(spark, sf):
     rows = entry_module.queries()["lsa_embed"](spark, sf).collect()
     assert len(rows) == 200
     assert all(abs(math.sqrt(sum(v * v for v in r.embedding)) - 1) < 1e-4 or not any(r.embedding) for r in rows)
+
+
+def test_workers_find_the_package_from_any_folder(sf, tmp_path):
+    """Python workers start in the job's folder, which need not be this repository."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "import __spark_entry__ as e\n"
+        "from fieldlens.session import build_session\n"
+        "s = build_session('away', 'local[2]', {'spark.ui.enabled': 'false', 'spark.sql.shuffle.partitions': '2'})\n"
+        f"print('rows', e.queries()['tfidf_weights'](s, {sf!r}).count(), e.queries()['components'](s, {sf!r}).count())\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows 200 " in done.stdout, done.stderr[-2000:]
