@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from fieldlens.plans.catalogue import ORACLES, QUERIES
 from tools.check import TABLES, rows_of
 
 # A cross-section of all catalogues; tools/check.py runs every query.
@@ -22,8 +23,8 @@ def test_entry(spark):
 
 def test_every_check_has_a_query():
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
-    assert set(oracles) <= set(queries) and len(queries) >= 80
-    assert set(queries) - set(oracles) == {"lake_inventory", "lsa_embed", "lsa_query"}
+    assert set(oracles) <= set(queries) and len(QUERIES) >= 80
+    assert set(QUERIES) - set(ORACLES) == {"lake_inventory", "lsa_embed", "lsa_query"}
 
 
 @pytest.mark.parametrize("name", SAMPLE)
