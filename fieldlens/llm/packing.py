@@ -5,7 +5,7 @@
    solves the configuration linear program over it: multiplicative weights set a price per length, a knapsack
    dynamic program finds the configuration of the highest price, and configurations are added in fractions
    until every length is covered. The fractions are rounded down; what is left is packed best fit decreasing
-   on the histogram. The plan's size depends on ``capacity`` and the number of rounds only.
+   on the histogram. The size of the plan depends on ``capacity`` and the number of rounds only.
 3. Every piece gets its rank among the pieces of its length (spread over buckets, so a common length is no
    single group) and reads its sequence and offset from the plan.
 
@@ -28,8 +28,9 @@ from fieldlens.llm.tables import stored
 from fieldlens.session import ship_package
 
 CAPACITY = 2048
-ROUNDS = 400
-STEP = 0.25
+ROUNDS = 3000
+RATE = 0.5
+FULL = 0.998  # configurations with more waste are left to the best-fit step
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -73,17 +74,18 @@ class Bins:
 
 
 def best_configuration(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Copies of every length in the fill of at most ``capacity`` with the highest total price (knapsack)."""
+    """Copies of every length in the fill of at most ``capacity`` with the highest total price (knapsack).
+
+    ``lengths`` ascend.
+    """
     best = np.zeros(capacity + 1)
     took = np.full(capacity + 1, -1)
-    order = np.argsort(lengths)
-    sizes, worth = lengths[order], price[order]
-    for room in range(1, capacity + 1):
-        k = np.searchsorted(sizes, room, "right")
-        if k:
-            total = best[room - sizes[:k]] + worth[:k]
-            pick = int(total.argmax())
-            best[room], took[room] = total[pick], order[pick]
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
+    for room in range(int(lengths[0]), capacity + 1):
+        k = fits[room]
+        total = best[room - lengths[:k]] + price[:k]
+        took[room] = pick = int(total.argmax())
+        best[room] = total[pick]
     copies = np.zeros(len(lengths), dtype=np.int64)
     room = capacity
     while room > 0 and took[room] >= 0:
@@ -92,19 +94,26 @@ def best_configuration(price: np.ndarray, lengths: np.ndarray, capacity: int) ->
     return copies
 
 
-def fractional_plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, step: float = STEP):
-    """Multiplicative weights for the covering program; (copies, fraction of sequences) per configuration."""
+def fractional_plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = RATE):
+    """Multiplicative weights for the covering program; (copies, fraction of sequences) per configuration.
+
+    The weights start at the tokens a length has, so that a price is the share of a sequence the length fills,
+    and fall by ``exp(-rate * covered)``. A round adds the configuration of the highest price until one of its
+    lengths is covered, so there are about as many rounds as lengths.
+    """
     covered = np.zeros(len(lengths))
     chosen: dict[bytes, list] = {}
     for _ in range(rounds):
-        if covered.min() >= 1:
+        open_ = covered < 1
+        if not open_.any():
             break
-        weight = np.where(covered < 1, np.exp(-covered / step), 0.0) / counts
-        # Any worth beats none, and more tokens beat fewer, so that covered lengths may still fill gaps.
-        copies = best_configuration(weight / weight.max() + 1e-9 * lengths, lengths, capacity)
+        price = lengths / capacity * np.exp(-rate * covered)
+        copies = np.zeros(len(lengths), dtype=np.int64)
+        copies[open_] = best_configuration(price[open_], lengths[open_], capacity)
         used = copies > 0
-        share = step * float((counts[used] / copies[used]).min())
+        share = float(((1 - covered[used]) * counts[used] / copies[used]).min())
         covered[used] += copies[used] * share / counts[used]
+        covered[covered > 1 - 1e-9] = 1
         chosen.setdefault(copies.tobytes(), [copies, 0.0])[1] += share
     return [tuple(c) for c in chosen.values()]
 
@@ -136,18 +145,15 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     counts = np.array([histogram[int(n)] for n in lengths], dtype=np.int64)
     if not len(lengths):
         return []
-    left, rounded = counts.copy(), []
+    left, bins = counts.copy(), []
     for copies, share in sorted(fractional_plan(lengths, counts, capacity, rounds), key=lambda c: -int(c[0] @ lengths)):
         used = copies > 0
-        n = min(math.floor(share), int((left[used] // copies[used]).min()))
-        if n > 0 and int(copies @ lengths) >= 0.998 * capacity:
+        n = min(math.floor(share + 1e-9), int((left[used] // copies[used]).min()))
+        if n > 0 and int(copies @ lengths) >= FULL * capacity:
             left -= n * copies
-            order = np.flatnonzero(used)[::-1]
-            rounded.append(Bins(n, [(int(lengths[i]), int(copies[i])) for i in order]))
+            bins.append(Bins(n, [(int(lengths[i]), int(copies[i])) for i in np.flatnonzero(used)[::-1]]))
     rest = left > 0
-    rounded += best_fit(lengths[rest], left[rest], capacity)
-    plain = best_fit(lengths, counts, capacity)
-    return min(rounded, plain, key=lambda bins: sum(b.count for b in bins))
+    return bins + best_fit(lengths[rest], left[rest], capacity)
 
 
 def seats(bins: list[Bins]) -> np.ndarray:
