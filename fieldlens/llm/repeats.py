@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from fieldlens.session import ship_package
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 ROWS = "bucket int, block int, phase int, payload binary"
 
 
@@ -136,9 +136,8 @@ def first_payloads(q: Question, ids: np.ndarray, bits: int, buckets: int):
             yield b, struct.pack("<II", len(keys), len(first)) + keys + first + q.second[part].astype("<u8").tobytes()
 
 
-def answer_first(payloads: list[bytes], groups: bool = False) -> list[bytes]:
-    """One bit per entry: a smaller id holds it elsewhere. With ``groups`` a second run of bits tells
-    whether other entries share the entry's key."""
+def read_first(payloads: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Entries per payload, and keys, second hashes and ids of all."""
     keys, ids, seconds = [], [], []
     for p in payloads:
         n_keys, n_ids = struct.unpack_from("<II", p)
@@ -146,45 +145,52 @@ def answer_first(payloads: list[bytes], groups: bool = False) -> list[bytes]:
         keys.append(k)
         ids.append(unpack_ids(p[8 + n_keys : 8 + n_keys + n_ids]))
         seconds.append(np.frombuffer(p, "<u8", len(k), 8 + n_keys + n_ids))
-    k, i, s = np.concatenate(keys), np.concatenate(ids), np.concatenate(seconds)
+    return list(map(len, keys)), np.concatenate(keys), np.concatenate(seconds), np.concatenate(ids)
+
+
+def split_bits(bits: np.ndarray, sizes: list[int]) -> list[bytes]:
+    cuts = np.cumsum([0, *sizes])
+    return [np.packbits(bits[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
+def answer_first(payloads: list[bytes]) -> list[bytes]:
+    """One bit per entry: a smaller id holds it elsewhere."""
+    sizes, k, s, i = read_first(payloads)
     order = np.lexsort((i, s, k))
     k, s = k[order], s[order]
     fresh = np.ones(len(k), bool)
-    new_key = np.ones(len(k), bool)
-    new_key[1:] = k[1:] != k[:-1]
-    fresh[1:] = new_key[1:] | (s[1:] != s[:-1])
-    entry = np.cumsum(fresh) - 1
+    fresh[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
     low = i[order][fresh]
     later = np.empty(len(k), bool)
-    later[order] = low[entry] < i[order]
-    shared = None
-    if groups:
-        of_key = np.cumsum(new_key) - 1
-        n = np.bincount(of_key, weights=fresh)
-        shared = np.empty(len(k), bool)
-        shared[order] = n[of_key] > 1
-    out, at = [], 0
-    for part in keys:
-        piece = slice(at, at + len(part))
-        out.append(np.packbits(later[piece]).tobytes() + (np.packbits(shared[piece]).tobytes() if groups else b""))
-        at += len(part)
-    return out
+    later[order] = low[np.cumsum(fresh) - 1] < i[order]
+    return split_bits(later, sizes)
 
 
-def read_bits(q: Question, answers: dict[int, bytes], bits: int, buckets: int, runs: int = 1) -> list[np.ndarray]:
+def read_bits(q: Question, answers: dict[int, bytes], bits: int, buckets: int) -> np.ndarray:
     """Answers of all ranges put back in the order of the question's entries."""
     cuts = q.cuts(bits, buckets)
-    out = [np.zeros(len(q.keys), bool) for _ in range(runs)]
+    out = np.zeros(len(q.keys), bool)
     for b in range(buckets):
-        n = int(cuts[b + 1] - cuts[b])
-        if n:
-            size = (n + 7) // 8
-            for r in range(runs):
-                got = np.frombuffer(answers[b], np.uint8, size, r * size)
-                out[r][cuts[b] : cuts[b + 1]] = np.unpackbits(got, count=n)
+        if n := int(cuts[b + 1] - cuts[b]):
+            out[cuts[b] : cuts[b + 1]] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=n)
     return out
 
 
+def cover(at: np.ndarray, n: int, window: int) -> np.ndarray:
+    """Mask of the ``n`` positions under windows that start at ``at``."""
+    steps = np.zeros(n + 1, np.int32)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, np.minimum(at + window, n), -1)
+    return np.cumsum(steps[:-1], dtype=np.int32) > 0
+
+
+def parts_of(docs: DataFrame, text: str, block_bytes: int) -> tuple[int, int]:
+    """Number of blocks and key width for these texts (one scan of their lengths)."""
+    total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-total // block_bytes)), key_bits(total)
+
+
 class Texts:
     """Rows of a block by ascending id, with all texts in one buffer."""
 

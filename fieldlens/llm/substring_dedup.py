@@ -100,19 +100,13 @@ class WordWindows:
         return R.Question(self.keys[some], self.row[at], second), at
 
 
-def _cover(at: np.ndarray, n: int, window: int) -> np.ndarray:
-    """Mask of the positions under windows that start at ``at``."""
-    steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, at, 1)
-    np.add.at(steps, np.minimum(at + window, n), -1)
-    return np.cumsum(steps[:-1]) > 0
-
-
-def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, block_bytes: int = R.BLOCK_BYTES) -> DataFrame:
-    """Input columns but the text, n_words, n_removed, n_spans, kept_sha256 and kept (the words left, joined by spaces)."""
-    total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
-    blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
-    bits = R.key_bits(total)
+def dedup(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, texts_too: bool = False,
+    block_bytes: int = R.BLOCK_BYTES,
+) -> DataFrame:
+    """Input columns but the text, n_words, n_removed, n_spans and kept_sha256; with ``texts_too`` also kept, the
+    words left joined by spaces."""
+    blocks, bits = R.parts_of(docs, text, block_bytes)
     docs = docs.withColumn(text, F.col(text).cast("string"))
 
     def ask_presence(texts, answers):
@@ -122,7 +116,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: i
     def shared(texts, answers):
         w = WordWindows(texts, window, bits)
         q = w.present()
-        flags = R.read_bits(q, answers.get(0, {}), bits, blocks)[0]
+        flags = R.read_bits(q, answers.get(0, {}), bits, blocks)
         return w, *w.shared(flags[q.entry])
 
     def ask_first(texts, answers):
@@ -131,13 +125,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: i
 
     rest = [f for f in docs.schema.fields if f.name != text]
     schema = T.StructType([*rest, *T.StructType.fromDDL(
-        "n_words long, n_removed long, n_spans long, kept_sha256 string, kept string").fields])
+        "n_words long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * texts_too).fields])
 
     def finish(texts, answers):
         w, q, at = shared(texts, answers)
-        later = R.read_bits(q, answers.get(1, {}), bits, blocks)[0]
+        later = R.read_bits(q, answers.get(1, {}), bits, blocks)
         gone = later[q.entry] | (texts.ids[w.row[at]] > texts.ids[q.first][q.entry])
-        removed = _cover(at[gone], len(w.row), window)
+        removed = R.cover(at[gone], len(w.row), window)
         first = np.searchsorted(w.row, np.arange(len(texts) + 1))
         edge = removed.copy()
         edge[1:] &= ~removed[:-1] | (w.row[1:] != w.row[:-1])
@@ -150,12 +144,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: i
             if n_removed[k + 1] > n_removed[k]:
                 own = [x for x, r in zip(own, removed[first[k] : first[k + 1]].tolist()) if not r]
             joined = b" ".join(own)
-            kept.append(joined.decode())
+            if texts_too:
+                kept.append(joined.decode())
             sha.append(hashlib.sha256(joined).hexdigest())
         out = texts.table
         for name, values in (("n_words", np.diff(first)), ("n_removed", np.diff(n_removed)), ("n_spans", np.diff(n_spans))):
             out = out.append_column(name, pa.array(values, pa.int64()))
-        return out.append_column("kept_sha256", pa.array(sha, pa.string())).append_column("kept", pa.array(kept, pa.string()))
+        out = out.append_column("kept_sha256", pa.array(sha, pa.string()))
+        return out.append_column("kept", pa.array(kept, pa.string())) if texts_too else out
 
     return R.run_rounds(
         docs, id_col, text, blocks, [ask_presence, ask_first], [R.answer_presence, R.answer_first], finish, schema
