@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from fieldlens.session import ship_package
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20  # a worker needs about 30 times as much memory; raise it with the memory of the executors
 ROWS = "bucket int, block int, phase int, payload binary"
 
 
