@@ -1,4 +1,6 @@
 """All training-data queries."""
 
-from fieldlens.llm import query_classifiers, query_decontaminate, query_repeats, query_rules, query_simhash, query_tokens  # noqa: F401
+from fieldlens.llm import (  # noqa: F401
+    query_classifiers, query_decontaminate, query_licenses, query_repeats, query_rules, query_simhash, query_tokens,
+)
 from fieldlens.llm.registry import ORACLES, QUERIES  # noqa: F401
