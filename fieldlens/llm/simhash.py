@@ -13,7 +13,8 @@ fingerprints. A cell of more than ``cell_limit`` fingerprints is not searched in
 meet through their fingerprints with every ``distance`` bits blanked, which is exact too and splits freely.
 
 Defined cases: a null or empty text has fingerprint zero and links like any other; repeated rows get the same
-class; an empty table gives an empty result; other columns pass by unread.
+class; an empty table gives an empty result; other columns pass by unread, and those with the names of result
+columns are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.llm.tables import stored
+from fieldlens.llm.tables import stored, without
 from fieldlens.operators.components import connected_components
 from fieldlens.session import ship_package
 
@@ -63,7 +64,7 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 def with_fingerprints(docs: DataFrame, text: str = "text", out: str = "fp") -> DataFrame:
     """All columns of the input but the text, and the fingerprint as a signed long."""
     ship_package(docs.sparkSession)
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, out)]
     rows = docs.select(*rest, F.col(text).cast("string").alias(text))
 
     def hash_texts(batches):
@@ -197,7 +198,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, cell_limit: int = CELL_LIMIT
 def classes(docs: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """``docs`` (with ``fp``) and component_id, the smallest id reachable over links."""
     spark = docs.sparkSession
-    docs = stored(docs, "fingerprints")
+    docs = stored(without(docs, ["component_id"]), "fingerprints")
     fps = docs.groupBy("fp").agg(F.min(id_col).alias("__low"))
     found = stored(links(fps, distance, cell_limit).distinct(), "links")
     if not found.limit(1).count():

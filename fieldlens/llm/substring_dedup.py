@@ -6,7 +6,8 @@ each. A word goes if some window over it also starts in a document with a smalle
 into maximal intervals. Windows are judged on the input.
 
 Defined cases: a null text has no words; equal ids are one document for the comparison (rows with the same id do
-not remove each other); an empty table gives an empty result; other columns pass by unread.
+not remove each other); an empty table gives an empty result; other columns pass by unread, and those with
+the names of result columns are replaced.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlens.llm import repeats as R
+from fieldlens.llm.tables import without
 
 WINDOW = 50
+RESULT = ["n_words", "n_removed", "n_spans", "kept_sha256", "kept"]
 LONG_WORD = 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -107,7 +110,7 @@ def dedup(
     """Input columns but the text, n_words, n_removed, n_spans and kept_sha256; with ``texts_too`` also kept, the
     words left joined by spaces."""
     blocks, bits = R.parts_of(docs, text, block_bytes)
-    docs = docs.withColumn(text, F.col(text).cast("string"))
+    docs = without(docs, RESULT).withColumn(text, F.col(text).cast("string"))
 
     def ask_presence(texts, answers):
         w = WordWindows(texts, window, bits)

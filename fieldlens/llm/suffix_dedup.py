@@ -19,7 +19,8 @@ more, not byte by byte.
 
 Defined cases: a null text is empty; rows with one id are one document for the comparison; texts shorter than 50
 bytes stay; a cut may split a character, and then the broken bytes stay in the byte results and are dropped from
-``kept``; an empty table gives an empty result; other columns pass by unread.
+``kept``; an empty table gives an empty result; other columns pass by unread, and
+those with the names of result columns are replaced.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ from pyspark.sql import types as T
 
 from fieldlens.llm import repeats as R
 from fieldlens.llm.anchors import span_hashes, strips
+from fieldlens.llm.tables import without
 
 WINDOW = 50
+RESULT = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
 
 def nearest_smaller(owner: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +145,7 @@ def dedup(
 ) -> DataFrame:
     """Input columns but the text, n_bytes, n_removed, n_spans and kept_sha256; with ``texts_too`` also kept."""
     blocks, bits = R.parts_of(docs, text, block_bytes)
-    docs = docs.withColumn(text, F.col(text).cast("string"))
+    docs = without(docs, RESULT).withColumn(text, F.col(text).cast("string"))
 
     def state(texts, answers):
         return StripState(texts, answers, window, bits, blocks)

@@ -27,3 +27,8 @@ def parts_for(df: DataFrame, text: str, bytes_per_part: int, least: int | None =
     total = df.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     floor = least or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, floor, math.ceil(total / bytes_per_part))
+
+
+def without(docs: DataFrame, names: list[str]) -> DataFrame:
+    """Input columns that an operator's result columns replace."""
+    return docs.drop(*[c for c in docs.columns if c in names])
