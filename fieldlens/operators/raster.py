@@ -9,10 +9,20 @@ from fieldlens.functions.spectral import change_predicate, ndbi, ndvi
 from fieldlens.operators.components import DEFAULT_BLOCK
 
 
+def _zipped(arrays: list[Column]) -> Column:
+    """``arrays_zip`` that refuses arrays of different lengths instead of padding them."""
+    unequal = F.lit(False)
+    for a in arrays[1:]:
+        unequal = unequal | F.coalesce(F.size(a) != F.size(arrays[0]), F.lit(False))
+    size = F.when(unequal, F.raise_error(F.lit("band arrays of a tile differ in length")).cast("int")).otherwise(F.size(arrays[0]))
+    return F.slice(F.arrays_zip(*arrays), 1, size)
+
+
 def tiles_to_pixels(tiles: DataFrame, bands: list[str], keys: list[str], needed: Column | None = None) -> DataFrame:
     """One row per pixel from tile rows holding a band array map (row-major arrays)."""
     arrays = [F.element_at("bands", b).alias(b) for b in bands]
-    df = tiles.select(*keys, "r0", "c0", "w", F.arrays_zip(*arrays).alias("px"))
+    df = tiles.select(*keys, "r0", "c0", "w", *arrays)
+    df = df.select(*keys, "r0", "c0", "w", _zipped([F.col(b) for b in bands]).alias("px"))
     df = df.select(*keys, "r0", "c0", "w", F.posexplode("px").alias("pos", "v"))
     out = df.select(
         *keys,
@@ -65,7 +75,9 @@ def paired_tiles_to_pixels(pairs: DataFrame, keys: list[str]) -> DataFrame:
         for band in ("B04", "B08", "B11")
     ]
     names = [f"{b}_{t}" for t in ("t0", "t1") for b in ("b04", "b08", "b11")]
-    df = pairs.select(*keys, "r0", "c0", "w", F.posexplode(F.arrays_zip(*cols)).alias("pos", "v"))
+    pairs = pairs.select(*keys, "r0", "c0", "w", *[c.alias(n) for c, n in zip(cols, names)])
+    pairs = pairs.select(*keys, "r0", "c0", "w", _zipped([F.col(n) for n in names]).alias("px"))
+    df = pairs.select(*keys, "r0", "c0", "w", F.posexplode("px").alias("pos", "v"))
     return df.select(
         *keys,
         (F.col("r0") + F.expr("pos div w")).cast("int").alias("row"),

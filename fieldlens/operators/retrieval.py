@@ -375,8 +375,10 @@ class _Best:
 _RESULT = "query_id long, item_id long, similarity double"
 
 
-def _top(parts: list[DataFrame], k: int) -> DataFrame:
-    """Final ranking of the per-task winners; a NaN similarity (no length) comes last."""
+def _top(parts: list[DataFrame], k: int, empty: DataFrame) -> DataFrame:
+    """Final ranking of the per-task winners; a NaN similarity (no length) comes last. Without queries there are no rows."""
+    if not parts:
+        return empty.sparkSession.createDataFrame([], f"{_RESULT}, rank int")
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
@@ -385,11 +387,12 @@ def _top(parts: list[DataFrame], k: int) -> DataFrame:
 
 
 def topk_cosine(items: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Exact cosine top-k of dense vectors: ``item_id, vector`` against ``query_id, vector``.
+    """Exact cosine top-k of dense vectors: ``item_id, vector`` against ``query_id, vector``; null vectors take no part.
 
     Items are read once per query block and never shuffled; each task keeps ``k`` items per query.
     """
     ship_package(items.sparkSession)
+    items, queries = items.where("vector IS NOT NULL"), queries.where("vector IS NOT NULL")
     width = queries.agg(F.max(F.size("vector")).alias("d")).first().d or 1
     sc = items.sparkSession.sparkContext
     parts = []
@@ -413,7 +416,7 @@ def topk_cosine(items: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             yield best.frame(ids)
 
         parts.append(items.select("item_id", "vector").mapInPandas(scan, _RESULT))
-    return _top(parts, k)
+    return _top(parts, k, items)
 
 
 def topk_tfidf(items: DataFrame, queries: DataFrame, k: int, model: TfidfModel) -> DataFrame:
@@ -430,7 +433,7 @@ def topk_tfidf(items: DataFrame, queries: DataFrame, k: int, model: TfidfModel)
         pdf = block.orderBy("query_id").toPandas()
         if pdf.empty:
             continue
-        shared = sc.broadcast((pdf["query_id"].to_numpy(), list(pdf["text"])))
+        shared = sc.broadcast((pdf["query_id"].to_numpy(), [t or "" for t in pdf["text"]]))
 
         def scan(batches, shared=shared):
             ids, texts = shared.value
@@ -446,11 +449,11 @@ def topk_tfidf(items: DataFrame, queries: DataFrame, k: int, model: TfidfModel)
             for b in batches:
                 scores = np.zeros((len(b), len(ids)))
                 for i, t in enumerate(b["text"]):
-                    cols, w = m.sparse(t)
+                    cols, w = m.sparse(t or "")
                     at = place[cols]
                     scores[i] = w[at >= 0] @ q[at[at >= 0]]
                 best.add(b["item_id"].to_numpy(), np.round(scores, 12))
             yield best.frame(ids)
 
         parts.append(items.select("item_id", "text").mapInPandas(scan, _RESULT))
-    return _top(parts, k)
+    return _top(parts, k, items)

@@ -264,13 +264,12 @@ def points_within(
     and its points look into each part; the list of such cells has at most rows / ``hot_rows`` entries.
     Rows of ``points`` are distinct (they carry an id).
     """
-    plain = [c for c in shapes.columns if c != "ring"]
-    near = cover(shapes.dropDuplicates(plain), radius, radius)
+    near = cover(shapes.dropDuplicates(), radius, radius)
     cell = [*on, "cx", "cy"]
     hot = near.groupBy(*cell).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
     hot = F.broadcast(hot.select(*cell, F.ceil(F.col("n") / hot_rows).cast("int").alias("parts")))
     near = near.join(hot, cell, "left").withColumn(
-        "part", F.pmod(F.xxhash64(*plain), F.coalesce("parts", F.lit(1))).cast("int")
+        "part", F.pmod(F.xxhash64(*shapes.columns), F.coalesce("parts", F.lit(1))).cast("int")
     )
     at = points.withColumns(
         {"cx": F.floor(F.col("px") / radius).cast("long"), "cy": F.floor(F.col("py") / radius).cast("long")}

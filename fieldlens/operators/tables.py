@@ -76,6 +76,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a partitioned table holds any data file (an empty one has no schema to read)."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(path, "*/*.parquet")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return found is not None and len(found) > 0
+
+
 def row_count(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     """``table_name, n`` of a table; 0 when it does not exist."""
     if path is not None and table_exists(spark, path):

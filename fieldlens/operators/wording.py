@@ -8,12 +8,6 @@ ACTION = (
     "unregistered factory built after 2016-05-20, proceed under 工廠管理輔導法 第28-1條 "
     "(stop water/electricity and demolish) and 區域計畫法 第21條 (penalty + restoration)."
 )
-CAVEATS = (
-    "Generated WITHOUT an LLM (no ANTHROPIC_API_KEY). Sentinel-2 (10 m) is coarse for small "
-    "buildings; confirm with high-resolution NLSC orthophotos and a site visit. Disfactory "
-    "labels are incomplete."
-)
-TEMPLATE_MODEL = "template (no ANTHROPIC_API_KEY)"
 NO_STATUTES = "(no statute excerpts retrieved)"
 REPORT_SOURCE = "Disfactory"
 QUERY_HEAD = "農地（"
@@ -24,6 +18,13 @@ QUERY_TAIL = (
 )
 MAX_STATUTES = 3
 
+# Own wording.
+CAVEATS = (
+    "This text was filled in from a template. Ten-metre pixels blur small buildings: compare with detailed aerial photos and "
+    "visit the place before acting. The list of known sites has gaps."
+)
+TEMPLATE_MODEL = "template"
+
 # Name printed as the producer of a document.
 GENERATOR = "fieldlens"
 

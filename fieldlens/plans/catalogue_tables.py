@@ -17,7 +17,7 @@ from fieldlens.plans import inputs as I
 from fieldlens.plans import oracle_inputs as O
 from fieldlens.plans.registry import query
 from fieldlens.sources import labels as L
-from fieldlens.sources import lake, laws, parcels, scenes, tenders
+from fieldlens.sources import laws, parcels, scenes, tenders
 from fieldlens.streaming.events import completed_runs
 
 TABLES = (
@@ -64,11 +64,6 @@ def manifest_dates(spark, d):
     )
 
 
-@query("lake_inventory")
-def lake_inventory(spark, d):
-    return lake.inventory(spark, d, "*.parquet").select("name", "length")
-
-
 @query("table_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES) + " UNION ALL SELECT 'absent', 0")
 def table_counts(spark, d):
     parts = [TB.row_count(spark, t, f"{d}/{t}.parquet") for t in TABLES] + [TB.row_count(spark, "absent", f"{d}/absent.parquet")]
@@ -207,9 +202,14 @@ def geojson_export(spark, d):
     return p.select("parcel_id", feature_json(G.to_geojson_geometry(F.array("ring")), ["parcel_id", "landcode", "is_farmland"]).alias("feature"))
 
 
-@query("parcels_layer", f"WITH {O.PARCELS} SELECT parcel_id, landcode, sectname, is_farmland FROM pa WHERE is_farmland ORDER BY parcel_id LIMIT 8000")
+LAYER_ROWS = 8000  # of one area
+
+
+@query("parcels_layer", f"""WITH {O.PARCELS} SELECT aoi, parcel_id, landcode, sectname, is_farmland FROM pa WHERE is_farmland
+QUALIFY row_number() OVER (PARTITION BY aoi ORDER BY parcel_id) <= {LAYER_ROWS}""")
 def parcels_layer(spark, d):
-    return I.parcels(spark, d).where("is_farmland").select("parcel_id", "landcode", "sectname", "is_farmland").orderBy("parcel_id").limit(8000)
+    layer = I.parcels(spark, d).where("is_farmland").select("aoi", "parcel_id", "landcode", "sectname", "is_farmland")
+    return K.top_per_group(layer, ["aoi"], [F.asc("parcel_id")], LAYER_ROWS)
 
 
 # -------------------------------------------------------- documents, pages

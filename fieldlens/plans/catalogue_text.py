@@ -64,10 +64,10 @@ def _chunk_items(spark, d):
     body = X.strip(X.chunk_body(F.col("law_title"), F.col("article_no"), F.col("text")))
     arts = I.statutes(spark, d).select("article_pos", body.alias("body"))
     pieces = arts.select("article_pos", F.posexplode(X.chunks(F.col("body"), I.CHUNK, I.OVERLAP)).alias("piece", "text"))
-    return pieces.select((F.col("article_pos") * 1000 + F.col("piece")).alias("item_id"), "text")
+    return pieces.select((F.col("article_pos").cast("long") * (1 << 32) + F.col("piece")).alias("item_id"), "text")
 
 
-_CHUNK_ITEMS = f"{O.CHUNKS}, items AS (SELECT article_pos * 1000 + piece AS item_id, content AS text FROM chunks)"
+_CHUNK_ITEMS = f"{O.CHUNKS}, items AS (SELECT article_pos::BIGINT * 4294967296 + piece AS item_id, content AS text FROM chunks)"
 
 
 @query("rag_retrieve", f"""WITH {_CHUNK_ITEMS}, {O.term_counts('items', 'item_id')},

@@ -51,10 +51,12 @@ def strip_area(a: Column, c: Column, e: Column, f: Column, crs: str, working_crs
     return F.abs(signed_area(ring))
 
 
-def _rank(strips: DataFrame, keys: list[str], s: Settings, area: Column | None) -> Detected:
+def _rank(strips: DataFrame, keys: list[str], s: Settings, area: Column | None, placed: DataFrame | None) -> Detected:
+    """``placed`` (one row per area: keys, a, c, e, f) gives :func:`strip_area` the grid of every area."""
+    measured = strips if placed is None else strips.join(placed, keys)
     if area is None:
         area = F.col("n_px") * F.lit(float(s.pixel_area if s.pixel_area is not None else 100.0))
-    stats = component_stats(strips, keys, VALUES, area).where(F.col("area_m2") >= F.lit(s.min_area_m2))
+    stats = component_stats(measured, keys, VALUES, area).where(F.col("area_m2") >= F.lit(s.min_area_m2))
     scored = stats.withColumn("confidence", confidence(F.col("ndbi_delta"), F.col("ndvi_drop")))
     # Many regions share the confidence ceiling: ties go to the larger, then to the first in scan order.
     order = [F.desc(F.round("confidence", 9)), F.desc("area_m2"), F.asc("component")]
@@ -62,7 +64,8 @@ def _rank(strips: DataFrame, keys: list[str], s: Settings, area: Column | None)
 
 
 def detect_spectral(
-    pixels: DataFrame, keys: list[str], s: Settings = Settings(), extents: DataFrame | None = None, area: Column | None = None
+    pixels: DataFrame, keys: list[str], s: Settings = Settings(), extents: DataFrame | None = None, area: Column | None = None,
+    placed: DataFrame | None = None,
 ) -> Detected:
     """Whole-area detector: mask, opening, regions, zonal means, score, cap."""
     changed = R.index_change(pixels, mask_nodata=s.mask_nodata)
@@ -70,16 +73,17 @@ def detect_spectral(
     if s.morph_open_iter > 0:
         grid = extents if extents is not None else R.grid_extents(pixels, keys)
         mask = R.binary_open(mask, grid, keys, VALUES, s.morph_open_iter, s.edge, s.block)
-    return _rank(label_strips(mask, keys, VALUES, s.block), keys, s, area)
+    return _rank(label_strips(mask, keys, VALUES, s.block), keys, s, area, placed)
 
 
 def detect_tiled(
-    pixels: DataFrame, keys: list[str], s: Settings = Settings(), extents: DataFrame | None = None, area: Column | None = None
+    pixels: DataFrame, keys: list[str], s: Settings = Settings(), extents: DataFrame | None = None, area: Column | None = None,
+    placed: DataFrame | None = None,
 ) -> Detected:
     """Tiled detector: no opening, regions end at tile borders and are measured per fragment."""
     changed = R.index_change(pixels, mask_nodata=s.mask_nodata)
     mask = R.change_mask(changed, s.ndbi_delta_min, s.ndvi_drop_min).select(*keys, "row", "col", *VALUES)
-    return _rank(label_strips(mask, keys, VALUES, s.tile_px, merge=False), keys, s, area)
+    return _rank(label_strips(mask, keys, VALUES, s.tile_px, merge=False), keys, s, area, placed)
 
 
 # Requested detector name -> (function, name of what runs).

@@ -21,6 +21,7 @@ from fieldlens.operators import spatial as SP
 from fieldlens.operators import tables as TB
 from fieldlens.operators.ranking import latest_by, rank_rows
 from fieldlens.plans import detect as D
+from fieldlens.session import cut_lineage
 from fieldlens.sources.sinks import as_stored, emit_events, replace_runs, write_run_json
 from fieldlens.streaming.events import COMPLETED, event_rows
 
@@ -52,7 +53,10 @@ def detect(
     ``grids`` has ``aoi, h, w, a, c, e, f, t0_date, t1_date``: one row per area.
     """
     c = F.col
-    found = D.run_detector(detector, pixels, ["aoi"], settings, extents=grids.select("aoi", "h", "w"))
+    area = D.strip_area(c("a"), c("c"), c("e"), c("f"), crs, working_crs)
+    found = D.run_detector(
+        detector, pixels, ["aoi"], settings, extents=grids.select("aoi", "h", "w"), area=area, placed=grids.select("aoi", "a", "c", "e", "f")
+    )
     placed = found.detections.join(grids.select("aoi", "a", "c", "e", "f", "t0_date", "t1_date"), "aoi")
     # Component codes are unique per area; the run and the area make the key.
     rows = placed.select(
@@ -68,10 +72,6 @@ def detect(
         F.lit(run_id).alias("run_id"), "aoi", c("component").alias("detection_id"), ring.alias("ring")
     ).withColumn("b", G.bounds(F.array("ring")))
     pieces = pieces.select("run_id", "aoi", "detection_id", "ring", "b.minx", "b.miny", "b.maxx", "b.maxy")
-    if crs != working_crs:
-        area = pieces.select(*KEY, "detection_id", F.abs(G.signed_area(project_ring(c("ring"), WGS84, working_crs))).alias("a"))
-        area = area.groupBy(*KEY, "detection_id").agg(F.sum("a").alias("area_m2"))
-        rows = rows.drop("area_m2").join(area, [*KEY, "detection_id"])
     return as_stored(rows), pieces
 
 
@@ -197,7 +197,7 @@ def run_detection(spark: SparkSession, store: Store, pixels: DataFrame, grids: D
     stamped = detections.withColumn("created_at", F.current_timestamp())
     replace_runs(stamped, store.path("detections"))
     replace_runs(pieces, store.path("pieces"))
-    stored = spark.read.parquet(store.path("detections")).where(F.col("run_id") == run_id)
+    stored = spark.read.schema(as_stored(stamped).schema).parquet(store.path("detections")).where(F.col("run_id") == run_id)
     done = stored.groupBy("run_id").agg(F.count("*").alias("n_detections"), F.first("detector_used").alias("detector"))
     emit_events(spark, event_rows(done, COMPLETED), store.path("events"))
 
@@ -210,15 +210,18 @@ def run_evidence(spark: SparkSession, store: Store, runs: list[str], inp: Inputs
     def stored(name: str) -> DataFrame:
         return spark.read.parquet(store.path(name)).where(F.col("run_id").isin(runs))
 
+    if not TB.has_rows(spark, store.path("detections")):  # no run has found anything yet
+        return
     det, pieces = stored("detections"), stored("pieces")
-    for name in ("flagged", "dossiers"):  # documents go with the flagged rows they belong to
+    # All results are computed and kept aside first: a failure leaves the stored rows of the runs as they were.
+    flagged = cut_lineage(as_stored(flag(det, pieces, inp.parcels, inp.labels, inp.cell, inp.crs)))
+    metrics = cut_lineage(as_stored(score(det, pieces, flagged, inp.labels, inp.radius_m, inp.crs)))
+    docs = cut_lineage(document(flagged, det, pieces, inp.areas, inp.chunks, inp.embedder, inp.top_k, inp.radius_m, inp.limit))
+    for name in ("flagged", "dossiers"):  # a run without results drops its old ones
         TB.clear_partitions(spark, store.path(name), "run_id", runs)
-    replace_runs(flag(det, pieces, inp.parcels, inp.labels, inp.cell, inp.crs), store.path("flagged"))
-    flagged = stored("flagged")
-    replace_runs(score(det, pieces, flagged, inp.labels, inp.radius_m, inp.crs), store.path("metrics"))
-    metrics = stored("metrics")
+    replace_runs(flagged, store.path("flagged"))
+    replace_runs(metrics, store.path("metrics"))
     write_run_json(M.metrics_payload(metrics), store.path("metrics_json"))
-    docs = document(flagged, det, pieces, inp.areas, inp.chunks, inp.embedder, inp.top_k, inp.radius_m, inp.limit)
     replace_runs(docs, store.path("dossiers"))
 
 

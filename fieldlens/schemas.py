@@ -46,7 +46,7 @@ EVENTS = (
     "type STRING, ts TIMESTAMP, run_id STRING, aoi STRING, n_detections LONG, detector STRING"
 )
 FEATURE = (
-    "STRUCT<type: STRING, geometry: STRUCT<type: STRING, coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>, "
+    "STRUCT<type: STRING, geometry: STRUCT<type: STRING, coordinates: STRING>, "
     "properties: MAP<STRING, STRING>>"
 )
 FEATURE_COLLECTION = f"type STRING, features ARRAY<{FEATURE}>"

@@ -78,11 +78,14 @@ def features_to_parcels(
 
     ``features`` has ``pos`` and ``feature`` (and ``aoi`` when collections belong to areas); ``areas`` has
     ``aoi, minx..maxy, provider``. Features meet areas by grid cells of ``cell`` coordinate units. Parts
-    without area are dropped.
+    without area are dropped; polygons of one MultiPolygon share their parcel id.
     """
     c = F.col
-    rings = G.from_geojson_coordinates(c("feature.geometry.coordinates"))
-    boxed = features.withColumn("__rings", rings).withColumn("__b", G.bounds(c("__rings"))).select("*", "__b.*").drop("__b")
+    # Coordinates come as text, since their depth follows the type; a MultiPolygon gives one row per polygon.
+    text, one, many = c("feature.geometry.coordinates"), "array<array<array<double>>>", "array<array<array<array<double>>>>"
+    polygons = F.when(c("feature.geometry.type") == "MultiPolygon", F.from_json(text, many)).otherwise(F.array(F.from_json(text, one)))
+    rings = G.from_geojson_coordinates(c("__polygon"))
+    boxed = features.withColumn("__polygon", F.explode(polygons)).withColumn("__rings", rings).withColumn("__b", G.bounds(c("__rings"))).select("*", "__b.*").drop("__b")
     on = ["aoi"] if "aoi" in features.columns else []
     near = candidate_pairs(boxed, areas.select("aoi", "minx", "miny", "maxx", "maxy", "provider"), on, cell)
     clipped = near.withColumn(

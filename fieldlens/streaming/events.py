@@ -12,12 +12,13 @@ READY = "dossiers.ready"
 
 
 def read_topic(spark: SparkSession, path: str, starting_offsets: str = "earliest", max_files: int = 100) -> DataFrame:
-    """Events of a topic folder. ``latest`` reads only what arrives from now on."""
+    """Events of a topic folder. ``latest`` reads only files that arrive from now on, whatever their events' times."""
     reader = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", str(max_files))
     df = reader.json(path)
     if starting_offsets == "latest":
         now = spark.sql("SELECT current_timestamp() AS t").first().t
-        df = df.where(F.col("ts") >= F.lit(now))
+        arrived = F.col("_metadata.file_modification_time")
+        df = df.withColumn("__arrived", arrived).where(F.col("__arrived") >= F.lit(now)).drop("__arrived")
     return df
 
 

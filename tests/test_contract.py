@@ -23,8 +23,8 @@ def test_entry(spark):
 
 def test_every_check_has_a_query():
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
-    assert set(oracles) <= set(queries) and len(QUERIES) >= 80
-    assert set(QUERIES) - set(ORACLES) == {"lake_inventory", "lsa_embed", "lsa_query"}
+    assert set(oracles) <= set(queries) and len(QUERIES) >= 79
+    assert set(QUERIES) - set(ORACLES) == {"lsa_embed", "lsa_query"}
 
 
 @pytest.mark.parametrize("name", SAMPLE)
