@@ -12,7 +12,7 @@ import numpy as np
 
 from fieldlens.llm import repeats as R
 
-GRAM = 16  # a power of two
+GRAM = 32  # a power of two; long enough that texts rarely share one by chance
 CHUNK = 1 << 17
 _RANDOM = np.random.default_rng(16).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E6C63D0676A9A99
@@ -43,7 +43,7 @@ def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int)
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """Hash of the 16 bytes from every position (the last 15 positions have none)."""
+    """Hash of the GRAM bytes from every position (the last GRAM - 1 positions have none)."""
     h, base, size = _RANDOM[raw], _BASE, 1
     while size < GRAM:
         h = h[:-size] * np.uint64(base) + h[size:]
