@@ -26,6 +26,7 @@ from fieldlens.session import ship_package
 
 BLOCK_BYTES = 6 << 20  # a worker needs about 30 times as much memory; raise it with the memory of the executors
 ROWS = "bucket int, block int, phase int, payload binary"
+CARRIED = -1  # phase of the row that carries a block's earlier answers
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -212,6 +213,19 @@ class Texts:
         return len(self.ids)
 
 
+def pack_answers(answers: dict[int, dict[int, bytes]]) -> bytes:
+    """All answers a block has so far, in one row."""
+    return b"".join(struct.pack("<III", phase, b, len(p)) + p for phase, by in answers.items() for b, p in by.items())
+
+
+def unpack_answers(data: bytes):
+    at = 0
+    while at < len(data):
+        phase, bucket, n = struct.unpack_from("<III", data, at)
+        yield phase, bucket, data[at + 12 : at + 12 + n]
+        at += 12 + n
+
+
 def run_rounds(
     docs: DataFrame, id_col: str, text: str, blocks: int,
     ask: list[Callable], answer: list[Callable], finish: Callable, schema: T.StructType,
@@ -227,7 +241,8 @@ def run_rounds(
     def sorted_answers(table: pa.Table) -> dict[int, dict[int, bytes]]:
         out: dict[int, dict[int, bytes]] = {}
         for phase, bucket, payload in zip(*(table.column(c).to_pylist() for c in ("phase", "bucket", "payload"))):
-            out.setdefault(phase, {})[bucket] = payload
+            for ph, bu, pay in unpack_answers(payload) if phase == CARRIED else [(phase, bucket, payload)]:
+                out.setdefault(ph, {})[bu] = pay
         return out
 
     def asking(r: int):
@@ -235,7 +250,8 @@ def run_rounds(
             got = sorted_answers(right) if right is not None else {}
             block = key[0].as_py()
             rows = [(b, block, r, p) for b, p in (ask[r](Texts(left, id_col, text), got) if left.num_rows else [])]
-            rows += [(b, block, phase, p) for phase, by in got.items() for b, p in by.items()]
+            if got:
+                rows.append((block, block, CARRIED, pack_answers(got)))
             cols = list(zip(*rows)) if rows else [(), (), (), ()]
             return pa.table({
                 "bucket": pa.array(cols[0], pa.int32()), "block": pa.array(cols[1], pa.int32()),
