@@ -14,8 +14,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-BATCH_CHARS = 1 << 20
-CACHE_UNITS = 500_000
+BATCH_CHARS = 1 << 18
+CACHE_UNITS = 100_000
 LONGEST_CACHED = 64
 SAFE = re.compile(" (?=[!-~\u00a1-\u0fff])")
 UNSAFE = re.compile(" (?![!-~\u00a1-\u0fff])")
