@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldlens.llm.tables import memory_returned
 from fieldlens.session import ship_package
 
 BLOCK_BYTES = 6 << 20  # a worker needs about 30 times as much memory; raise it with the memory of the executors
@@ -258,7 +259,9 @@ def run_rounds(
                 "phase": pa.array(cols[2], pa.int32()), "payload": pa.array(cols[3], pa.binary()),
             })
 
-        return (lambda key, left: run(key, left)) if r == 0 else (lambda key, left, right: run(key, left, right))
+        if r == 0:
+            return lambda key, left: memory_returned(run(key, left))
+        return lambda key, left, right: memory_returned(run(key, left, right))
 
     def answering(r: int):
         def run(key, table: pa.Table) -> pa.Table:
@@ -270,7 +273,7 @@ def run_rounds(
                     payloads[at] = a
             return table.set_column(table.schema.get_field_index("payload"), "payload", pa.array(payloads, pa.binary()))
 
-        return lambda key, table: run(key, table)
+        return lambda key, table: memory_returned(run(key, table))
 
     answers = None
     for r in range(len(ask)):
@@ -281,7 +284,8 @@ def run_rounds(
         answers = asked.groupBy("bucket").applyInArrow(answering(r), ROWS)
 
     def finishing(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        return finish(Texts(left, id_col, text), sorted_answers(right)).select([f.name for f in schema.fields])
+        out = finish(Texts(left, id_col, text), sorted_answers(right))
+        return memory_returned(out).select([f.name for f in schema.fields])
 
     return spread.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(finishing, schema)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,12 @@ def parts_for(df: DataFrame, text: str, bytes_per_part: int, least: int | None =
 def without(docs: DataFrame, names: list[str]) -> DataFrame:
     """Input columns that an operator's result columns replace."""
     return docs.drop(*[c for c in docs.columns if c in names])
+
+
+def memory_returned(result):
+    """Hands what a worker process has freed back to the system; an idle worker keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    return result
