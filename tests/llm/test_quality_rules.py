@@ -43,6 +43,14 @@ def test_clean_takes_common_lines_out(spark):
     assert clean(docs.limit(0)).count() == 0 and judge(docs.limit(0)).count() == 0
 
 
+def test_hot_and_other_lines_count_alike(spark, monkeypatch):
+    rows = [(k, f"hot line\n{'rare' if k % 3 else 'seldom'} line\nonly {k} here", "h") for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for share in (1, 3, 2000):  # no line is hot; only the first one; all common ones
+        monkeypatch.setattr("fieldlens.llm.quality_rules.HOT_SHARE", share)
+        assert {r.removed_words for r in judge(docs).collect()} == {4}
+
+
 @pytest.mark.parametrize("name", ["op1_quality_rules"])
 def test_query_plan_is_native(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
