@@ -4,8 +4,9 @@
 2. The histogram of piece lengths (at most ``capacity`` numbers, whatever the input) goes to the driver, which
    solves the configuration linear program over it: multiplicative weights set a price per length, a knapsack
    dynamic program finds the configuration of the highest price, and configurations are added in fractions
-   until every length is covered. The fractions are rounded down; what is left is packed best fit decreasing
-   on the histogram. The size of the plan depends on ``capacity`` and the number of rounds only.
+   until every length is covered. The fractions are rounded down, for all configurations and for the full ones;
+   what is left is packed best fit decreasing on the histogram, and the plan of the fewest sequences is kept, pure
+   best fit included. The size of the plan depends on ``capacity`` and the number of rounds only.
 3. Every piece gets its rank among the pieces of its length (spread over buckets, so a common length is no
    single group) and reads its sequence and offset from the plan.
 
@@ -30,7 +31,7 @@ from fieldlens.session import ship_package
 CAPACITY = 2048
 ROUNDS = 3000
 RATE = 0.5
-FULL = 0.998  # configurations with more waste are left to the best-fit step
+FULL = 0.998  # one of the plans compared leaves configurations with more waste to the best-fit step
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -139,23 +140,34 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[Bin
     return [g for groups in room for g in groups]
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Bins]:
-    """Sequences for a histogram of lengths, every piece placed exactly once."""
-    lengths = np.array(sorted(histogram), dtype=np.int64)
-    counts = np.array([histogram[int(n)] for n in lengths], dtype=np.int64)
-    if not len(lengths):
-        return []
+def rounded(chosen: list[tuple], lengths: np.ndarray, counts: np.ndarray, capacity: int, least: int) -> list[Bins]:
+    """Configurations of ``least`` tokens or more, rounded down, the fullest first; best fit for what is left."""
     left, bins = counts.copy(), []
-    for copies, share in sorted(fractional_plan(lengths, counts, capacity, rounds), key=lambda c: -int(c[0] @ lengths)):
+    for copies, share in chosen:
         used = copies > 0
         n = min(math.floor(share + 1e-9), int((left[used] // copies[used]).min()))
-        if n > 0 and int(copies @ lengths) >= FULL * capacity:
+        if n > 0 and int(copies @ lengths) >= least:
             left -= n * copies
             bins.append(Bins(n, [(int(lengths[i]), int(copies[i])) for i in np.flatnonzero(used)[::-1]]))
     rest = left > 0
     return bins + best_fit(lengths[rest], left[rest], capacity)
 
 
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Bins]:
+    """Sequences for a histogram of lengths, every piece placed exactly once.
+
+    Of the plan with all configurations, the one with the full configurations and best fit alone, the plan of the fewest
+    sequences is taken: which is best depends on the histogram.
+    """
+    lengths = np.array(sorted(histogram), dtype=np.int64)
+    counts = np.array([histogram[int(n)] for n in lengths], dtype=np.int64)
+    if not len(lengths):
+        return []
+    chosen = sorted(fractional_plan(lengths, counts, capacity, rounds), key=lambda c: -int(c[0] @ lengths))
+    plans = [rounded(chosen, lengths, counts, capacity, least) for least in (0, math.ceil(FULL * capacity), capacity + 1)]
+    return min(plans, key=lambda bins: sum(b.count for b in bins))
+
+
 def seats(bins: list[Bins]) -> np.ndarray:
     """Rows (length, first rank, first sequence, copies, first offset) that tell where a ranked piece goes."""
     taken: dict[int, int] = {}

@@ -53,6 +53,16 @@ def test_solver_places_every_piece_once(seed):
     assert solve({}) == []
 
 
+def test_configurations_that_fill_less_are_used():
+    histogram = {1036: 600, 542: 600, 526: 600, 478: 1200}  # no fill lies above 2040 of 2048
+    assert sum(b.count for b in solve(histogram)) == 900
+    # Nor is a plan worse than best fit alone.
+    sizes = np.minimum(2048, np.random.default_rng(2).geometric(0.0005, 20_000))
+    lengths, counts = np.unique(sizes, return_counts=True)
+    plan = solve(dict(zip(lengths.tolist(), counts.tolist())), rounds=200)
+    assert sum(b.count for b in plan) <= sum(b.count for b in best_fit(lengths, counts, 2048))
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choices(["alpha", "beta", "gamma"], k=rng.choice([0, 3, 700, 5000]))), 0) for i in range(60)]
