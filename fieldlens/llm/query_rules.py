@@ -53,4 +53,5 @@ FROM counted
 
 @query("op1_quality_rules", rules_sql())
 def quality_rules(spark, sf_dir):
-    return judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return judge(docs, max_line_words=MAX_LINE_WORDS).drop("source")

@@ -1,6 +1,8 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fieldlens.llm.queries import QUERIES
 from fieldlens.llm.query_rules import rules_sql
 from fieldlens.llm.quality_rules import clean, judge
@@ -51,6 +53,18 @@ def test_hot_and_other_lines_count_alike(spark, monkeypatch):
         assert {r.removed_words for r in judge(docs).collect()} == {4}
 
 
+def test_long_lines_are_counted(spark):
+    notice = " ".join(f"cookie{i}" for i in range(35))  # too long for the SQL's limit, too short for 50-word windows
+    rows = [(k, f"{notice}\nown word{k}", "h") for k in range(25)]
+    rows += [(100 + k, notice + "\n" + " ".join(f"text{k}x{i}" for i in range(60)), "h") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in judge(docs).collect()}
+    assert all(r.removed_words == 35 and r.kept == (r.doc_id >= 100) for r in got.values())
+    kept = corpus_pipeline.quality_stage(spark, docs.withColumn("n_chars", F.length("text").cast("long")), "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(100, 105)) and all("cookie" not in r.text for r in kept)
+    assert {r.removed_words for r in judge(docs, max_line_words=30).collect()} == {0}
+
+
 @pytest.mark.parametrize("name", ["op1_quality_rules"])
 def test_query_plan_is_native(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
