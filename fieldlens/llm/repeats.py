@@ -197,9 +197,11 @@ class Texts:
     """Rows of a block by ascending id, with all texts in one buffer."""
 
     def __init__(self, table: pa.Table, id_col: str, text: str):
-        order = np.argsort(table.column(id_col).to_numpy(), kind="stable")
+        # Filled in Arrow: numpy would turn ids beside a null into floats. Rows with a null id are one document, the last.
+        ids = table.column(id_col).cast(pa.int64()).fill_null(np.iinfo(np.int64).max).to_numpy()
+        order = np.argsort(ids, kind="stable")
         self.table = table.take(pa.array(order))
-        self.ids = self.table.column(id_col).to_numpy().astype(np.int64)
+        self.ids = ids[order]
         col = self.table.column(text).cast(pa.large_string()).fill_null("")
         arr = col.combine_chunks()
         if isinstance(arr, pa.ChunkedArray):

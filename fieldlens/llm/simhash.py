@@ -13,8 +13,8 @@ fingerprints. A cell of more than ``cell_limit`` fingerprints is not searched in
 meet through their fingerprints with every ``distance`` bits blanked, which is exact too and splits freely.
 
 Defined cases: a null or empty text has fingerprint zero and links like any other; repeated rows get the same
-class; an empty table gives an empty result; other columns pass by unread, and those with the names of result
-columns are replaced.
+class; a null id is no smallest id unless all ids of its class are null; an empty table gives an empty result; other
+columns pass by unread (:func:`keep_one` hashes them), and those with the names of result columns are replaced.
 """
 
 from __future__ import annotations
@@ -195,27 +195,40 @@ def links(fps: DataFrame, distance: int = DISTANCE, cell_limit: int = CELL_LIMIT
     return found if hot is None else found.unionByName(_blanked(hot, distance))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """``docs`` (with ``fp``) and component_id, the smallest id reachable over links."""
+def _classed(docs: DataFrame, id_col: str, distance: int, cell_limit: int) -> DataFrame:
+    """``docs`` (with ``fp``), component_id and __component, a fingerprint of the class (never null)."""
     spark = docs.sparkSession
     docs = stored(without(docs, ["component_id"]), "fingerprints")
     fps = docs.groupBy("fp").agg(F.min(id_col).alias("__low"))
     found = stored(links(fps, distance, cell_limit).distinct(), "links")
     if not found.limit(1).count():
-        return docs.join(fps.select("fp", F.col("__low").alias("component_id")), "fp")
+        return docs.join(fps.select("fp", F.col("fp").alias("__component"), F.col("__low").alias("component_id")), "fp")
     members = connected_components(found, [])
     low = fps.join(members.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
     smallest = low.groupBy("component").agg(F.min("__low").alias("component_id"))
-    named = low.join(smallest, "component").select("fp", "component_id")
+    named = low.join(smallest, "component").select("fp", F.col("component").alias("__component"), "component_id")
     return docs.join(named, "fp")
 
 
+def classes(docs: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """``docs`` (with ``fp``) and component_id, the smallest id reachable over links."""
+    return _classed(docs, id_col, distance, cell_limit).drop("__component")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """One row per near-duplicate class, the one with the smallest id, with all its columns."""
-    found = classes(with_fingerprints(docs.select(id_col, text), text), id_col, distance)
-    leaders = found.select(F.col("component_id").alias(id_col)).distinct()
-    first = docs.join(leaders, id_col, "left_semi")
-    again = [c for c in docs.columns if c != id_col]
-    return first.groupBy(id_col).agg(F.min(F.struct(*again)).alias("__row")).select(id_col, "__row.*").select(docs.columns)
+    """One row per near-duplicate class with all its columns: the smallest id, nulls last, then the smallest hash of the row.
+
+    Rows are told apart by two hashes of all their columns, not by the id, so null and repeated ids lose no class.
+    """
+    columns = docs.columns
+    every = [*[F.col(c).isNull() for c in columns], *[F.col(c) for c in columns]]  # hashes skip nulls
+    key = ["__h1", "__h2"]
+    rows = docs.withColumns({"__h1": F.xxhash64(*every), "__h2": F.xxhash64(F.lit(1), *every)})
+    found = _classed(with_fingerprints(rows.select(*dict.fromkeys([id_col, text, *key])), text), id_col, distance, CELL_LIMIT)
+    lowest = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    leaders = lowest.groupBy("__component").agg(F.min(F.struct(*key)).alias("__low")).select("__low.*")
+    return (
+        rows.join(leaders, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
+    )

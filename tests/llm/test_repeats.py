@@ -2,10 +2,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fieldlens.llm import substring_dedup, suffix_dedup
-from fieldlens.llm.repeats import pack_ids, pack_keys, unpack_ids, unpack_keys
+from fieldlens.llm.repeats import Texts, pack_ids, pack_keys, unpack_ids, unpack_keys
 from fieldlens.llm.suffix_dedup import nearest_smaller
 
 
@@ -29,6 +30,13 @@ def brute(rows, split, join, size):
     return out
 
 
+def test_ids_beside_a_null_stay_exact():
+    big = 2**53
+    texts = Texts(pa.table({"i": pa.array([None, big + 1, big, -1], pa.int64()), "t": ["n", "b", "a", "z"]}), "i", "t")
+    assert texts.ids.tolist() == [-1, big, big + 1, 2**63 - 1]
+    assert texts.table.column("t").to_pylist() == ["z", "a", "b", "n"]
+
+
 def sample(seed):
     rng = random.Random(seed)
     words = ["a", "bb", "the", "é", "日本", "long" * 30, "x\x00y", "of"]

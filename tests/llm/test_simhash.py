@@ -75,6 +75,15 @@ def test_edges_and_keep_one(spark):
     assert classes(with_fingerprints(docs.select("doc_id", "text").limit(0))).count() == 0
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(300)) for w in "abcd")
+    rows = [(None, a, "x"), (None, a, "y"), (None, b, None), (1, c, "x"), (1, d, "x"), (1, d, None), (None, d, "x"), (2, c, "x"), (1, c, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = keep_one(docs).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, a), (0, b), (1, c), (1, d)])
+    assert all(tuple(r) in rows for r in kept)
+
+
 def test_query(spark, sf):
     rows = QUERIES["op8_simhash_near_dedup"](spark, sf).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
