@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,3 +38,9 @@ def confidence(mean_delta: Column, mean_drop: Column) -> Column:
     return F.greatest(
         F.lit(CONFIDENCE_FLOOR), F.least(F.lit(CONFIDENCE_CEIL), F.lit(0.5) * rise + F.lit(0.5) * loss)
     )
+
+
+def normalized_difference_array(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """:func:`normalized_difference` on arrays; NaN where either side is NaN."""
+    total = a + b
+    return np.divide(a - b, total, out=np.zeros(len(total)), where=total != 0)

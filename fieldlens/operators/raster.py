@@ -136,7 +136,7 @@ def _with_halo_blocks(mask: DataFrame, block: int, edge: str) -> DataFrame:
 
 def binary_open(
     mask: DataFrame,
-    extents: DataFrame,
+    extents: DataFrame | None,
     keys: list[str],
     values: list[str] = (),
     iters: int = 1,
@@ -148,12 +148,16 @@ def binary_open(
     A pixel survives the erosion when it receives all five contributions of its cross; ``edge='wrap'``
     lets the grid wrap around, ``'clip'`` treats the outside as unset. Opening is idempotent, so one pass
     equals any number of ``iters >= 1``. The mask is shuffled once, by block with a halo of two pixels:
-    both groupings below group by finer keys and stay inside their block.
+    both groupings below group by finer keys and stay inside their block. A mask that carries the size of its
+    grid (``h``, ``w``), as those from tiles do, needs no ``extents``.
     """
     values = list(values)
     if iters <= 0:
         return mask.select(*keys, "row", "col", *values)
-    sized = mask.select(*keys, "row", "col", *values).join(extents, keys)
+    if extents is None:
+        sized = mask.select(*keys, "row", "col", *values, "h", "w")
+    else:
+        sized = mask.select(*keys, "row", "col", *values).join(extents, keys)
     blocked = _with_halo_blocks(sized, block, edge).select(
         *keys, "h", "w", "blk_r", "blk_c", "row", "col",
         *[F.col(v).cast("double").alias(v) for v in values],

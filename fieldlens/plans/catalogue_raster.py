@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from fieldlens.functions import spectral as X
 from fieldlens.operators import components as C
 from fieldlens.operators import raster as R
+from fieldlens.operators import tiles as TL
 from fieldlens.operators.outlines import outline_stats
 from fieldlens.plans import detect as D
+from fieldlens.plans import imagery as IM
 from fieldlens.plans import inputs as I
 from fieldlens.plans import oracle_inputs as O
 from fieldlens.plans.registry import query
@@ -52,10 +54,11 @@ def nd_index(spark, d):
 SELECT aoi, count(*) AS n_pixels, count(*) FILTER (dn >= 0.06 AND dv >= 0.12) AS n_flagged,
  round(sum(CASE WHEN dn >= 0.06 AND dv >= 0.12 THEN dn END), 6) AS sum_delta FROM idx GROUP BY aoi""")
 def change_mask(spark, d):
-    hit = X.change_predicate(F.col("ndbi_delta"), F.col("ndvi_drop"), I.NDBI_MIN, I.NDVI_MIN)
-    return changed(spark, d).groupBy("aoi").agg(
-        F.count("*").alias("n_pixels"), F.count_if(hit).alias("n_flagged"),
-        F.round(F.sum(F.when(hit, F.col("ndbi_delta"))), 6).alias("sum_delta"),
+    """On stored tile pairs: three arrays a date, no row per pixel."""
+    counts = TL.change_counts(IM.pairs(spark, d), AOI, I.NDBI_MIN, I.NDVI_MIN)
+    return counts.groupBy("aoi").agg(
+        F.sum("n_pixels").alias("n_pixels"), F.sum("n_flagged").alias("n_flagged"),
+        F.round(F.sum(F.when(F.col("n_flagged") > 0, F.col("sum_delta"))), 6).alias("sum_delta"),
     )
 
 
@@ -65,15 +68,20 @@ def confidence_score(spark, d):
     return masked(spark, d).select("aoi", *rc(), F.round(X.confidence(F.col("ndbi_delta"), F.col("ndvi_drop")), 6).alias("confidence"))
 
 
-@query("raster_scan", f"""WITH {O.PX},
-st AS (SELECT aoi, 't0' AS t_label, unnest([b04_t0, b08_t0, b11_t0]) AS v, unnest(['B04', 'B08', 'B11']) AS band FROM px
- UNION ALL SELECT aoi, 't1', unnest([b04_t1, b08_t1, b11_t1]), unnest(['B04', 'B08', 'B11']) FROM px)
+_STORED = f"""{O.PX},
+st AS (SELECT aoi, r, c, 't0' AS t_label, unnest([b04_t0, b08_t0, b11_t0]) AS v, unnest(['B04', 'B08', 'B11']) AS band FROM px
+ UNION ALL SELECT aoi, r, c, 't1', unnest([b04_t1, b08_t1, b11_t1, b04_t1 + 0.01::DOUBLE]), unnest(['B04', 'B08', 'B11', 'B03']) FROM px
+ UNION ALL SELECT aoi, r, c, 't1', b04_t1 - 0.02::DOUBLE, 'B02' FROM px WHERE k % 2 = 0)"""
+
+
+@query("raster_scan", f"""WITH {_STORED}
 SELECT aoi, t_label, band, count(*) AS n_px, min(v) AS low, max(v) AS high, round(avg(v), 6) AS mean FROM st GROUP BY ALL""")
 def raster_scan(spark, d):
-    bands = ", ".join(f"'{t}', '{b}', {b.lower()}_{t}" for t in ("t0", "t1") for b in ("B04", "B08", "B11"))
-    return (
-        I.pixels(spark, d).selectExpr("aoi", f"stack(6, {bands}) AS (t_label, band, v)").groupBy("aoi", "t_label", "band")
-        .agg(F.count("*").alias("n_px"), F.min("v").alias("low"), F.max("v").alias("high"), F.round(F.avg("v"), 6).alias("mean"))
+    """All bands of all stored windows."""
+    by = ["aoi", "t_label", "band"]
+    return TL.band_stats(IM.tiles(spark, d), by[:2], IM.BANDS).groupBy(*by).agg(
+        F.sum("n_px").alias("n_px"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.round(F.sum("total") / F.sum("n_px"), 6).alias("mean"),
     )
 
 
@@ -163,14 +171,13 @@ def _shown(found):
 
 @query("detect_spectral", f"WITH RECURSIVE {O.OPEN}, {O.components('op')}, {_ranked('')}")
 def detect_spectral(spark, d):
-    px = I.pixels(spark, d)
-    return _shown(D.detect_spectral(px, AOI, D.Settings(pixel_area=I.PIXEL_AREA_M2)).detections)
+    return _shown(D.detect_tile_pairs(IM.pairs(spark, d), AOI, D.Settings(pixel_area=I.PIXEL_AREA_M2)).detections)
 
 
 @query("detect_tiled", f"WITH RECURSIVE {O.MASK}, {O.components('mask', I.TILE_PX)}, {_ranked('')}")
 def detect_tiled(spark, d):
-    px = I.pixels(spark, d)
-    return _shown(D.detect_tiled(px, AOI, D.Settings(pixel_area=I.PIXEL_AREA_M2, tile_px=I.TILE_PX)).detections)
+    settings = D.Settings(pixel_area=I.PIXEL_AREA_M2, tile_px=I.TILE_PX)
+    return _shown(D.detect_tile_pairs(IM.pairs(spark, d), AOI, settings, tiled=True).detections)
 
 
 _POINTS = f"{O.RECORDS}, pts AS (SELECT id, aoi, lng, lat FROM re WHERE lng IS NOT NULL)"
@@ -219,8 +226,8 @@ w2 AS (SELECT *, bx IS NOT NULL AND r1 > r0 AND c1 > c0 AS ok FROM (SELECT wi.*,
 SELECT p.aoi, p.r AS px_row, p.c AS px_col, p.b04_t1 AS value FROM px p JOIN w2 USING (aoi)
 WHERE NOT coalesce(ok, false) OR (p.r >= r0 AND p.r < r1 AND p.c >= c0 AND p.c < c1)""")
 def raster_crop(spark, d):
-    px = I.pixels(spark, d)
-    ext = R.grid_extents(px, AOI).withColumn("k", F.substring("aoi", 2, 9).cast("long"))
+    """Parts of stored tiles inside the window of their area."""
+    ext = IM.extents(spark, d).withColumn("k", F.substring("aoi", 2, 9).cast("long"))
     bound = I.sites(spark, d).groupBy("aoi").agg(
         F.struct(
             (F.min("px") + 1000).alias("minx"), (F.max("py") - 2000).alias("miny"),
@@ -230,8 +237,10 @@ def raster_crop(spark, d):
     x, y = (F.expr(e).cast("double") for e in _raster_origin("k", "div"))
     side = F.lit(float(I.PIXEL_SIDE))
     win = R.window_of_bounds(side, x, -side, y, F.col("h"), F.col("w"), F.col("b"))
-    windows = ext.join(bound, "aoi", "left").withColumn("win", win).select("aoi", "win.*")
-    return R.crop(px, windows, AOI).select("aoi", *rc(), F.col("b04_t1").alias("value"))
+    windows = ext.join(bound, "aoi", "left").withColumn("win", win).select("aoi", "h", "w", "win.*")
+    later = IM.tiles(spark, d).where("t_label = 't1'").select("aoi", *TL.TILE, *TL.PLACE, "b04")
+    parts = TL.crop_tiles(later, windows, ["b04"], I.TILE_PX)
+    return TL.pixel_rows(parts, AOI, ["b04"]).select("aoi", *rc(), F.col("b04").alias("value"))
 
 
 @query("bilinear_regrid", f"""WITH {O.PX}, ext AS (SELECT aoi, max(r) + 1 AS hh, max(c) + 1 AS ww FROM px GROUP BY aoi),
@@ -241,9 +250,41 @@ nb AS (SELECT aoi, tr, tc, x, y, CAST(floor(y) AS BIGINT) + dr AS r, CAST(floor(
 SELECT nb.aoi, tr AS px_row, tc AS px_col, round(coalesce(sum(b11_t1 * (1 - abs(y - nb.r)) * (1 - abs(x - nb.c))), 0), 9) AS value
 FROM nb LEFT JOIN px USING (aoi, r, c) GROUP BY nb.aoi, tr, tc""")
 def bilinear_regrid(spark, d):
-    px = I.pixels(spark, d)
-    fine = R.bilinear_upsample(px, AOI, "b11_t1", 2, R.grid_extents(px, AOI))
-    return fine.select("aoi", *rc(), F.round("b11_t1", 9).alias("value"))
+    return _resampled(spark, d, "2 * h", "2 * w", 0.5, 0.5, 0.0, 0.0)
+
+
+def _resampled(spark, d, th, tw, sy, sx, oy, ox):
+    areas = IM.extents(spark, d).selectExpr(
+        "aoi", "h", "w", f"cast({th} AS int) AS th", f"cast({tw} AS int) AS tw", f"{sy}D AS sy", f"{sx}D AS sx", f"{oy}D AS oy", f"{ox}D AS ox")
+    later = IM.tiles(spark, d).where("t_label = 't1'")
+    fine = TL.resample_tiles(later, areas, ["b11"], I.TILE_PX)
+    return TL.pixel_rows(fine, AOI, ["b11"]).select("aoi", *rc(), F.round("b11", 9).alias("value"))
+
+
+# Steps and offsets of a grid that is finer in one direction, coarser in the other, shifted, and reaches beyond the source.
+_RESAMPLE = {"th": "h * 3 div 2 + 1", "tw": "w div 2 + 1", "sy": 0.7, "sx": 2.6, "oy": -1.35, "ox": 4.2}
+
+
+def _taps(axis: str, size: str) -> str:
+    step, off = (f"{_RESAMPLE[n + axis]}::DOUBLE" for n in ("s", "o"))
+    reach = f"greatest(1.0::DOUBLE, {step})"
+    centre = f"((i + 0.5::DOUBLE) * {step} + {off})"
+    n = _RESAMPLE["th" if axis == "y" else "tw"].replace("h *", "hh *").replace("w div", "ww div").replace("div", "//")
+    return f"""t{axis}0 AS (SELECT aoi, hh, ww, unnest(range(CAST({n} AS BIGINT))) AS i FROM ext),
+t{axis}1 AS (SELECT *, unnest(range(CAST(floor({centre} - 0.5 - {reach}) AS BIGINT), CAST(ceil({centre} - 0.5 + {reach}) AS BIGINT) + 1)) AS u FROM t{axis}0),
+t{axis}2 AS (SELECT aoi, {size}, i, u, greatest(0.0::DOUBLE, 1 - abs(u + 0.5::DOUBLE - {centre}) / {reach}) AS wt FROM t{axis}1),
+t{axis} AS (SELECT aoi, i, u, wt / sum(wt) OVER (PARTITION BY aoi, i) AS wt FROM t{axis}2)"""
+
+
+@query("resample_grid", f"""WITH {O.PX}, ext AS (SELECT aoi, max(r) + 1 AS hh, max(c) + 1 AS ww FROM px GROUP BY aoi),
+{_taps('y', 'hh')}, {_taps('x', 'ww')},
+along AS (SELECT p.aoi, ty.i, p.c, sum(ty.wt * p.b11_t1) AS v FROM px p JOIN ty ON ty.aoi = p.aoi AND ty.u = p.r GROUP BY p.aoi, ty.i, p.c),
+hit AS (SELECT l.aoi, l.i, tx.i AS j, sum(tx.wt * l.v) AS v FROM along l JOIN tx ON tx.aoi = l.aoi AND tx.u = l.c GROUP BY l.aoi, l.i, tx.i),
+cells AS (SELECT a.aoi, a.i, b.i AS j FROM (SELECT DISTINCT aoi, i FROM ty) a JOIN (SELECT DISTINCT aoi, i FROM tx) b USING (aoi))
+SELECT aoi, i AS px_row, j AS px_col, round(coalesce(v, 0), 9) AS value FROM cells LEFT JOIN hit USING (aoi, i, j)""")
+def resample_grid(spark, d):
+    """Any target grid: shifted, finer along columns, coarser along rows (widened kernel), partly outside the source."""
+    return _resampled(spark, d, **_RESAMPLE)
 
 
 def _stretch(v: str) -> str:
@@ -255,20 +296,28 @@ def _stretch(v: str) -> str:
 li AS (SELECT aoi, quantile_cont(b04_t1, 0.02) AS lo, quantile_cont(b04_t1, 0.98) AS hi FROM px GROUP BY aoi)
 SELECT aoi, {_stretch('b04_t1')} AS level, count(*) AS n FROM px JOIN li USING (aoi) GROUP BY ALL""")
 def percentile_stretch(spark, d):
-    out = R.percentile_stretch(I.pixels(spark, d), AOI, "b04_t1", "level")
-    return out.groupBy("aoi", F.col("level").cast("long").alias("level")).agg(F.count("*").alias("n"))
+    later, ext = IM.tiles(spark, d).where("t_label = 't1'"), IM.extents(spark, d)
+    limits = TL.tile_percentiles(later, ext, AOI, ["b04"], {"lo": 0.02, "hi": 0.98}, I.TILE_PX)
+    levels = TL.stretch_tiles(later, ext, limits, AOI, ["b04"], I.TILE_PX)
+    # Cells without data are 0 in the picture; only pixels with data are counted here.
+    both = levels.join(later.select("aoi", *TL.TILE, F.col("b04").alias("v")), ["aoi", *TL.TILE])
+    cells = both.select("aoi", F.explode(F.arrays_zip("b04", "v")).alias("x")).where("x.v IS NOT NULL")
+    return cells.groupBy("aoi", F.col("x.b04").cast("long").alias("level")).agg(F.count("*").alias("n"))
 
 
 @query("rgb_composite", f"""WITH {O.PX},
-bs AS (SELECT aoi, r, c, unnest([b04_t1, b04_t1 + 0.01::DOUBLE, b04_t1 - 0.02::DOUBLE]) AS v, unnest(['red', 'green', 'blue']) AS band FROM px),
+bs AS (SELECT aoi, r, c, unnest(CASE WHEN k % 2 = 0 THEN [b04_t1, b04_t1 + 0.01::DOUBLE, b04_t1 - 0.02::DOUBLE] ELSE [b04_t1, b04_t1, b04_t1] END) AS v,
+ unnest(['red', 'green', 'blue']) AS band FROM px),
 li AS (SELECT aoi, band, quantile_cont(v, 0.02) AS lo, quantile_cont(v, 0.98) AS hi FROM bs GROUP BY ALL),
 sv AS (SELECT aoi, r, c, band, {_stretch('v')} AS level FROM bs JOIN li USING (aoi, band))
 SELECT aoi, r AS px_row, c AS px_col, max(level) FILTER (band = 'red') AS red, max(level) FILTER (band = 'green') AS green,
  max(level) FILTER (band = 'blue') AS blue FROM sv GROUP BY aoi, r, c""")
 def rgb_composite(spark, d):
-    px = I.pixels(spark, d).select(
-        "aoi", "row", "col", F.col("b04_t1").alias("red"), (F.col("b04_t1") + F.lit(0.01)).alias("green"),
-        (F.col("b04_t1") - F.lit(0.02)).alias("blue"),
-    )
-    out = R.composite(px, AOI, ["red", "green", "blue"])
-    return out.select("aoi", *rc(), *[F.col(b).cast("long").alias(b) for b in ("red", "green", "blue")])
+    """Stored bands of the later date; windows without a blue band show their first band three times."""
+    rgb, ext = TL.rgb_tiles(IM.tiles(spark, d).where("t_label = 't1'")), IM.extents(spark, d)
+    bands = ["red", "green", "blue"]
+    limits = TL.tile_percentiles(rgb, ext, AOI, bands, {"lo": 0.02, "hi": 0.98}, I.TILE_PX)
+    levels = TL.stretch_tiles(rgb, ext, limits, AOI, bands, I.TILE_PX)
+    seen = rgb.select("aoi", *TL.TILE, F.col("red").alias("seen"))
+    shown = TL.pixel_rows(levels.join(seen, ["aoi", *TL.TILE]), AOI, [*bands, "seen"]).where("seen IS NOT NULL")
+    return shown.select("aoi", *rc(), *[F.col(b).cast("long").alias(b) for b in bands])

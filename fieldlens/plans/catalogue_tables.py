@@ -12,12 +12,14 @@ from fieldlens.functions import scalars as S
 from fieldlens.operators import demand as DM
 from fieldlens.operators import ranking as K
 from fieldlens.operators import tables as TB
+from fieldlens.operators import tiles as TL
 from fieldlens.operators.dossiers import feature_json
+from fieldlens.plans import imagery as IM
 from fieldlens.plans import inputs as I
 from fieldlens.plans import oracle_inputs as O
 from fieldlens.plans.registry import query
 from fieldlens.sources import labels as L
-from fieldlens.sources import laws, parcels, scenes, tenders
+from fieldlens.sources import laws, parcels, rasters, scenes, tenders
 from fieldlens.streaming.events import completed_runs
 
 TABLES = (
@@ -53,9 +55,9 @@ def best_scene(spark, d):
     return scenes.best_scene(tagged, "o_orderkey").select("aoi", "t_label", "item_id", "cloud_cover")
 
 
-@query("manifest_dates", f"""WITH {O.SCENES} SELECT item_id, left(coalesce(CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE strftime(dt, '%Y-%m-%dT%H:%M:%SZ') END, ''), 10) AS day,
+@query("scene_days", f"""WITH {O.SCENES} SELECT item_id, left(coalesce(CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE strftime(dt, '%Y-%m-%dT%H:%M:%SZ') END, ''), 10) AS day,
  t_label IS NOT NULL AS in_window FROM sc""")
-def manifest_dates(spark, d):
+def scene_days(spark, d):
     sc = I.scenes(spark, d)
     text = F.when(F.col("o_orderkey") % 19 != 0, F.date_format("dt", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     inside = scenes.tag_windows(sc, I.SCENE_WINDOWS).select("item_id", F.lit(True).alias("hit"))
@@ -64,6 +66,18 @@ def manifest_dates(spark, d):
     )
 
 
+_DAY = "strftime({}(ts), '%Y-%m-%d')"
+
+
+@query("manifest_dates", f"""SELECT 'a' || k AS aoi, {_DAY.format('min')} AS t0_date, CASE WHEN k % 3 = 2 THEN '' ELSE {_DAY.format('max')} END AS t1_date,
+ count(*) AS n_pixels FROM (SELECT event_id // {I.PIXELS_PER_AOI} AS k, ts FROM events) GROUP BY k""")
+def manifest_dates(spark, d):
+    """Dates of all stored windows from the manifest, and the pixels with data of their earlier date."""
+    tiles, manifest = IM.stored(spark, d)
+    seen = TL.band_stats(tiles.where("t_label = 't0'"), ["aoi"], ["b04"]).groupBy("aoi").agg(F.sum("n_px").alias("n_pixels"))
+    return rasters.window_dates(manifest).join(seen, "aoi")
+
+
 @query("table_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES) + " UNION ALL SELECT 'absent', 0")
 def table_counts(spark, d):
     parts = [TB.row_count(spark, t, f"{d}/{t}.parquet") for t in TABLES] + [TB.row_count(spark, "absent", f"{d}/absent.parquet")]

@@ -12,6 +12,7 @@ from fieldlens.functions.geometry import box_ring, signed_area
 from fieldlens.functions.projection import WGS84, project_ring
 from fieldlens.functions.spectral import confidence
 from fieldlens.operators import raster as R
+from fieldlens.operators import tiles as TL
 from fieldlens.operators.components import DEFAULT_BLOCK, component_stats, label_strips
 from fieldlens.operators.ranking import top_per_group
 
@@ -86,6 +87,19 @@ def detect_tiled(
     return _rank(label_strips(mask, keys, VALUES, s.tile_px, merge=False), keys, s, area, placed)
 
 
+def detect_tile_pairs(
+    pairs: DataFrame, keys: list[str], s: Settings = Settings(), tiled: bool = False, area: Column | None = None,
+) -> Detected:
+    """Both detectors on tile pairs (:func:`fieldlens.operators.tiles.pair_dates`): the mask is computed on the arrays and carries
+    the size of its grid. Columns of the grid that ``area`` uses travel as further ``keys``, so no table of areas is joined."""
+    mask = TL.change_pixels(pairs, keys, s.ndbi_delta_min, s.ndvi_drop_min, s.mask_nodata)
+    if tiled:
+        return _rank(label_strips(mask.select(*keys, "row", "col", *VALUES), keys, VALUES, s.tile_px, merge=False), keys, s, area, None)
+    if s.morph_open_iter > 0:
+        mask = R.binary_open(mask, None, keys, VALUES, s.morph_open_iter, s.edge, s.block)
+    return _rank(label_strips(mask, keys, VALUES, s.block), keys, s, area, None)
+
+
 # Requested detector name -> (function, name of what runs).
 DETECTORS: dict[str, tuple[Callable, str]] = {
     "spectral": (detect_spectral, "spectral"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions.geometry import box_ring
 from fieldlens.functions.projection import WGS84, project_ring
 from fieldlens.functions.scalars import date_prefix
+from fieldlens.operators.raster import check_same_grid
 from fieldlens.operators.tables import replace_partitions
 from fieldlens.schemas import MANIFEST, RASTER_TILES
 
@@ -39,6 +40,14 @@ def window_dates(manifest: DataFrame) -> DataFrame:
     )
 
 
+def area_grids(manifest: DataFrame) -> DataFrame:
+    """Grid of every area with both dates: ``aoi, h, w, a, c, e, f, t0_date, t1_date``; differing grids raise."""
+    place = manifest.groupBy("aoi").agg(F.first("transform").alias("t"))
+    at = lambda k, name: F.element_at("t", k).alias(name)
+    same = check_same_grid(manifest).join(place, "aoi").join(window_dates(manifest), "aoi")
+    return same.select("aoi", "h", "w", at(1, "a"), at(3, "c"), at(5, "e"), at(6, "f"), "t0_date", "t1_date")
+
+
 def windows_present(areas: DataFrame, manifest: DataFrame) -> DataFrame:
     """Areas and dates that have a stored window."""
     return areas.join(manifest.select("aoi", "t_label").distinct(), "aoi", "left_semi")
