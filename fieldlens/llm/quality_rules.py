@@ -8,8 +8,7 @@ rejected, as is one that fails the base limits.
 Two points of the definition:
 
 * exact copies of a text count once, so a copied document does not turn its own lines into boilerplate;
-* every line is counted, whatever its length. ``max_line_words`` leaves longer lines out, as the SQL of
-  ``op1_quality_rules`` does with ``MAX_LINE_WORDS``; nothing else sets it.
+* every line is counted, whatever its length; a very long text is split within one row, so a task needs memory for its longest text.
 
 Defined cases: a null text has no words and no lines; a null host is a host of its own; repeated rows give
 repeated result rows; an empty table gives an empty result; other columns of the input are not read, and
@@ -21,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.tables import without
+from fieldlens.llm.tables import stored, without
 
 # Separators and symbols of the contract.
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -31,7 +30,6 @@ WINDOW = 8
 
 RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed", "kept"]
 MIN_TEXTS = 20
-MAX_LINE_WORDS = 30  # of the SQL of op1_quality_rules
 MAX_REMOVED_PCT = 70
 HOT_SHARE = 2000
 
@@ -105,26 +103,24 @@ def _text_key(docs: DataFrame, text: str, host: str) -> DataFrame:
 
 def common_lines(
     docs: DataFrame, text: str = "text", host: str = "source", min_texts: int = MIN_TEXTS,
-    max_line_words: int | None = None,
 ) -> DataFrame:
     """Per distinct text of a host: number of words in common lines and the hashes of those lines.
 
-    Counts are pre-aggregated before each shuffle. A line with more than one in ``HOT_SHARE`` of all holdings of
+    Texts are split and hashed once; what a text holds of each line is written and read by the count and the join. Counts are pre-aggregated before each shuffle. A line with more than one in ``HOT_SHARE`` of all holdings of
     common lines is hot; there are fewer than ``HOT_SHARE`` of them whatever the input, so they are broadcast, and no
     line of the shuffled join is a large group.
     """
-    counted = lambda x: (x["words"] > 0) & (F.lit(True) if max_line_words is None else x["words"] <= max_line_words)
     worded = F.filter(
         F.transform(
             F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1),
             lambda x: F.struct(F.xxhash64(_normal(x)).alias("line"), F.size(words_of(x)).alias("words")),
         ),
-        counted,
+        lambda x: x["words"] > 0,
     )
     key = ["__host", "__text", "__size"]
     lines = _text_key(docs, text, host).select(*key, F.posexplode(worded).alias("at", "x"))
     held = lines.select(*key, "at", F.col("x.line").alias("line"), F.col("x.words").alias("words")).distinct()
-    held = held.groupBy(*key, "line").agg(F.sum("words").alias("words"))
+    held = stored(held.groupBy(*key, "line").agg(F.sum("words").alias("words")), "held_lines")
     counts = held.groupBy("__host", "line").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") >= min_texts)
     total = counts.agg(F.sum("n_texts")).scalar()
     counts = counts.withColumn("hot", F.col("n_texts") * HOT_SHARE > total)
@@ -144,11 +140,11 @@ def common_lines(
 
 def judge(
     docs: DataFrame, text: str = "text", host: str = "source", min_texts: int = MIN_TEXTS,
-    max_line_words: int | None = None, max_removed_pct: int = MAX_REMOVED_PCT,
+    max_removed_pct: int = MAX_REMOVED_PCT,
 ) -> DataFrame:
     """The counts, ``removed_words``, ``base_failed`` and ``kept`` of every row, with the input's columns but the text."""
     docs = without(docs, RESULT)
-    removed = common_lines(docs, text, host, min_texts, max_line_words).drop("__common")
+    removed = common_lines(docs, text, host, min_texts).drop("__common")
     counted = base_counts(_text_key(docs, text, host), text).drop(text)
     n = F.col("n_words")
     return (
@@ -164,10 +160,10 @@ def judge(
 
 def clean(
     docs: DataFrame, text: str = "text", host: str = "source", min_texts: int = MIN_TEXTS,
-    max_line_words: int | None = None, max_removed_pct: int = MAX_REMOVED_PCT,
+    max_removed_pct: int = MAX_REMOVED_PCT,
 ) -> DataFrame:
     """The kept rows with all their columns; common lines are gone from the text."""
-    removed = common_lines(docs, text, host, min_texts, max_line_words)
+    removed = common_lines(docs, text, host, min_texts)
     # Input columns with the names of the counts travel under other names meanwhile.
     columns = docs.columns
     moved = {c: f"__in_{c}" for c in columns if c in RESULT}

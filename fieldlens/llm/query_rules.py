@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldlens.llm.quality_rules import MAX_LINE_WORDS, MAX_REMOVED_PCT, MIN_TEXTS, judge
+from fieldlens.llm.quality_rules import MAX_REMOVED_PCT, MIN_TEXTS, judge
 from fieldlens.llm.registry import query, table
 
 _W = r"[\x20\x09-\x0D]+"
@@ -29,13 +29,13 @@ WITH d AS (
   SELECT source, text, l, len(list_filter(regexp_split_to_array(l, '{_W}'), lambda x: x <> '')) AS n,
          lower(array_to_string(list_filter(regexp_split_to_array(l, '{_W}'), lambda x: x <> ''), ' ')) AS norm
   FROM (SELECT source, text, unnest(ls) AS l FROM (SELECT DISTINCT source, text, ls FROM w))
-), short AS (
-  SELECT source, text, norm, sum(n) AS n FROM lines WHERE n <= {MAX_LINE_WORDS} GROUP BY ALL
+), held AS (
+  SELECT source, text, norm, sum(n) AS n FROM lines GROUP BY ALL
 ), common AS (
-  SELECT source, norm FROM short GROUP BY ALL HAVING count(*) >= {MIN_TEXTS}
+  SELECT source, norm FROM held GROUP BY ALL HAVING count(*) >= {MIN_TEXTS}
 ), removed AS (
   SELECT s.source, s.text, sum(s.n) AS n
-  FROM short s JOIN common c ON s.source IS NOT DISTINCT FROM c.source AND s.norm = c.norm GROUP BY ALL
+  FROM held s JOIN common c ON s.source IS NOT DISTINCT FROM c.source AND s.norm = c.norm GROUP BY ALL
 ), counted AS (
   SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, length(array_to_string(w.ws, ''))::BIGINT AS word_chars,
          length(regexp_replace(w.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
@@ -54,4 +54,4 @@ FROM counted
 @query("op1_quality_rules", rules_sql())
 def quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return judge(docs, max_line_words=MAX_LINE_WORDS).drop("source")
+    return judge(docs).drop("source")
