@@ -10,9 +10,12 @@ The benchmark side is indexed in blocks of at most ``block_windows`` windows, so
 whatever the size of the benchmark; every block passes over all documents. Documents are read by narrow scans;
 only hits are shuffled.
 
-Defined cases: null texts have no words, and items without words have no windows; equal items with different ids are separate items;
-repeated document rows give repeated result rows; an empty benchmark leaves all documents clean; other columns
-pass through unread (the name ``__found`` is taken).
+Equal windows are one entry whoever holds them, candidates are compared in parts of bounded size, and hits are kept as masks, so texts of
+equal words and passages that many items share cost no more than others.
+
+Defined cases: null texts have no words, and items without words have no windows; equal items with different ids are separate items, items
+with one id (or without an id: their name is empty) count once; a very long text is compared as a whole, so a task needs memory for its longest
+text; repeated document rows give repeated result rows; an empty benchmark leaves all documents clean; other columns pass through unread.
 """
 
 from __future__ import annotations
@@ -26,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldlens.llm.tables import without
 from fieldlens.session import ship_package
 
 WINDOW = 13
 SHINGLE = 3
 BLOCK_WINDOWS = 1_000_000
+CANDIDATES = 1 << 18
 
 # Lower-cases A-Z and blanks every ASCII byte that is no letter or digit; other bytes stay.
 _TABLE = bytes(
@@ -43,82 +48,116 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 class WindowIndex:
-    """Windows of one block of items, keyed by a shingle of each window."""
+    """Distinct windows of one block of items, keyed by a shingle of each window.
+
+    A window that many items share is one window with a list of items.
+    """
 
     def __init__(self, items: list[tuple[str, list[bytes]]]):
         self.ids = [i for i, _ in items]
         vocabulary = sorted({w for _, ws in items for w in ws})
         self.code = {w: k for k, w in enumerate(vocabulary)}
         self.base = len(vocabulary) + 1
-        texts = [np.array([self.code[w] for w in ws], dtype=np.int64) for _, ws in items]
-        self.texts = texts
-        self.windows = [
-            (k, at, min(WINDOW, len(t))) for k, t in enumerate(texts) for at in range(max(1, len(t) - WINDOW + 1)) if len(t)
-        ]
-        self.sizes = sorted({min(SHINGLE, n) for _, _, n in self.windows})
-        self.keys: dict[int, np.ndarray] = {}
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for k, (_, ws) in enumerate(items):
+            if ws:
+                codes, n = self.encode(ws), min(WINDOW, len(ws))
+                rows = np.lib.stride_tricks.sliding_window_view(codes, n)
+                held.setdefault(n, []).append((rows, np.full(len(rows), k)))
+        self.groups: dict[int, WindowGroup] = {}
+        for n, parts in sorted(held.items()):
+            self.groups[n] = WindowGroup(np.concatenate([r for r, _ in parts]), np.concatenate([k for _, k in parts]))
+        self.sizes = sorted({min(SHINGLE, n) for n in self.groups})
 
     def shingles(self, codes: np.ndarray, size: int) -> np.ndarray:
-        """One number per run of ``size`` codes; -1 where a word is in no item."""
-        n = len(codes) - size + 1
+        """One number per run of ``size`` codes along the last axis; -1 where a word is in no item."""
+        n = codes.shape[-1] - size + 1
         if n <= 0:
-            return np.empty(0, dtype=np.int64)
+            return np.empty((*codes.shape[:-1], 0), dtype=np.int64)
+        part = lambda j: codes[..., j : j + n]
         if self.base ** size >= 1 << 62:  # too many words to number all runs: mix instead, the comparison decides
-            out = codes[:n].astype(np.uint64)
+            out = part(0).astype(np.uint64)
             for j in range(1, size):
-                out = (out * np.uint64(0x9E3779B97F4A7C15)) ^ codes[j : j + n].astype(np.uint64)
+                out = (out * np.uint64(0x9E3779B97F4A7C15)) ^ part(j).astype(np.uint64)
             out = (out >> np.uint64(2)).astype(np.int64)
         else:
-            out = codes[:n].copy()
+            out = part(0).copy()
             for j in range(1, size):
-                out = out * self.base + codes[j : j + n]
-        known = codes[:n] >= 0
+                out = out * self.base + part(j)
+        known = part(0) >= 0
         for j in range(1, size):
-            known &= codes[j : j + n] >= 0
+            known &= part(j) >= 0
         return np.where(known, out, -1)
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.code.get, words, _MINUS), dtype=np.int64, count=len(words))
 
     def all_shingles(self) -> dict[int, np.ndarray]:
-        return {
-            s: np.unique(np.concatenate([self.shingles(t, s) for t in self.texts if len(t) >= s])) for s in self.sizes
-        }
+        found: dict[int, list] = {s: [] for s in self.sizes}
+        for n, g in self.groups.items():
+            found[min(SHINGLE, n)].append(np.unique(self.shingles(g.codes, min(SHINGLE, n))))
+        return {s: np.unique(np.concatenate(v)) for s, v in found.items()}
 
     def order(self, counts: dict[tuple[int, int], int]) -> None:
         """Index every window under its rarest shingle."""
-        chosen: dict[int, list] = {s: [] for s in self.sizes}
-        numbers = {s: [self.shingles(t, s) for t in self.texts] for s in self.sizes}
-        for w, (k, at, n) in enumerate(self.windows):
+        for n, g in self.groups.items():
             s = min(SHINGLE, n)
-            own = numbers[s][k][at : at + n - s + 1]
-            off = min(range(len(own)), key=lambda j: (counts.get((s, int(own[j])), 0), j))
-            chosen[s].append((int(own[off]), w, off))
-        self.entries = {}
-        for s, rows in chosen.items():
-            rows = np.array(sorted(rows), dtype=np.int64).reshape(-1, 3)
-            self.keys[s], first = np.unique(rows[:, 0], return_index=True)
-            self.entries[s] = (rows, np.append(first, len(rows)))
-
-    def match(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-        """Hit intervals of a document and the items whose windows occur."""
-        codes, hits, found = self.encode(words), [], set()
-        for s in self.sizes:
-            own = self.shingles(codes, s)
-            if not len(own) or not len(self.keys[s]):
-                continue
-            at = np.minimum(np.searchsorted(self.keys[s], own), len(self.keys[s]) - 1)
-            rows, first = self.entries[s]
-            for p in np.flatnonzero(self.keys[s][at] == own).tolist():
-                for _, w, off in rows[first[at[p]] : first[at[p] + 1]].tolist():
-                    k, begin, n = self.windows[w]
-                    lo = p - off
-                    if lo < 0 or lo + n > len(codes):
-                        continue
-                    if np.array_equal(codes[lo : lo + n], self.texts[k][begin : begin + n]):
-                        hits.append((lo, lo + n))
-                        found.add(k)
-        return hits, found
+            own = self.shingles(g.codes, s)
+            names, at = np.unique(own, return_inverse=True)
+            often = np.array([counts.get((s, int(x)), 0) for x in names])[at].reshape(own.shape)
+            g.index(own, often.argmin(axis=1))
+
+    def match(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Mask of the hit words of a document, and the items whose windows occur."""
+        codes = self.encode(words)
+        steps, found = np.zeros(len(codes) + 1, np.int32), []
+        shingles = {s: self.shingles(codes, s) for s in self.sizes}
+        for n, g in self.groups.items():
+            if n <= len(codes):
+                at, windows = g.occurrences(codes, shingles[min(SHINGLE, n)])
+                np.add.at(steps, at, 1)
+                np.add.at(steps, at + n, -1)
+                found += [g.items_of(w) for w in windows.tolist()]
+        return np.cumsum(steps[:-1]) > 0, np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+class WindowGroup:
+    """Distinct windows of one length with the items that hold them, in the order of their keys."""
+
+    def __init__(self, codes: np.ndarray, item: np.ndarray):
+        self.codes, which = np.unique(codes, axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([which.reshape(-1), item], axis=1), axis=0)
+        self.items, self.first_item = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.codes) + 1))
+
+    def items_of(self, window: int) -> np.ndarray:
+        return self.items[self.first_item[window] : self.first_item[window + 1]]
+
+    def index(self, shingles: np.ndarray, offset: np.ndarray) -> None:
+        key = shingles[np.arange(len(offset)), offset]
+        self.by_key = np.lexsort((offset, key))
+        self.offset = offset[self.by_key]
+        self.keys, first = np.unique(key[self.by_key], return_index=True)
+        self.first = np.append(first, len(key))
+
+    def occurrences(self, codes: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places where windows occur, and the distinct windows that do."""
+        n = self.codes.shape[1]
+        slot = np.minimum(np.searchsorted(self.keys, shingles), len(self.keys) - 1)
+        spots = np.flatnonzero(self.keys[slot] == shingles)
+        places, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        per = (self.first[1:] - self.first[:-1])[slot[spots]]
+        # Candidate pairs in parts of bounded size; word after word thins them out.
+        cuts = np.searchsorted(np.cumsum(per), np.arange(0, per.sum(), CANDIDATES), "right")
+        for lo, hi in zip(cuts, [*cuts[1:], len(spots)]):
+            own = np.repeat(np.arange(lo, hi), per[lo:hi])
+            entry = np.arange(len(own)) - np.repeat(np.cumsum(per[lo:hi]) - per[lo:hi], per[lo:hi]) + self.first[slot[spots[own]]]
+            begin, window = spots[own] - self.offset[entry], self.by_key[entry]
+            live = np.flatnonzero((begin >= 0) & (begin + n <= len(codes)))
+            for j in range(n):
+                live = live[codes[begin[live] + j] == self.codes[window[live], j]]
+            places.append(np.unique(begin[live]))
+            windows.append(np.unique(window[live]))
+        return np.unique(np.concatenate(places)), np.unique(np.concatenate(windows))
 
 
 class _Always:
@@ -132,21 +171,17 @@ class _Always:
 _MINUS = _Always()
 
 
-def merged(hits: list[tuple[int, int]]) -> list[list[int]]:
-    """Disjoint intervals that cover the same words."""
-    out: list[list[int]] = []
-    for a, b in sorted(hits):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
+def intervals(mask: np.ndarray) -> list[list[int]]:
+    """Maximal runs of set places."""
+    edge = np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8))
+    return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], axis=1).tolist()
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_windows: int):
     """Items in blocks of bounded windows, streamed partition by partition to the driver."""
     block, size = [], 0
-    for r in items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
+    named = F.coalesce(F.col(item_id).cast("string"), F.lit(""))
+    for r in items.select(named.alias("i"), F.col(text).alias("t")).toLocalIterator():
         ws = words_of((r.t or "").encode())
         if not ws:
             continue
@@ -200,8 +235,8 @@ def _probe(rows: DataFrame, text: str, index: WindowIndex) -> DataFrame:
             found = []
             for t in b.column(text):
                 ws = words_of(t.as_buffer().to_pybytes()) if t.is_valid else []
-                hits, items = idx.match(ws)
-                found.append({"n_words": len(ws), "hits": merged(hits), "items": sorted({idx.ids[k] for k in items})})
+                mask, items = idx.match(ws)
+                found.append({"n_words": len(ws), "hits": intervals(mask), "items": sorted({idx.ids[k] for k in items.tolist()})})
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind)], names=[*b.schema.names, "__found"])
 
     extra = T.StructField("__found", T.StructType.fromDDL("n_words long, hits array<array<bigint>>, items array<string>"))
@@ -232,8 +267,9 @@ def find(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
-    """Every input row with ``__found``: n_words, n_hit, n_items, items_sha256 and contaminated."""
+    """Every input row with ``__found``: n_words, n_hit, n_items, items_sha256 and contaminated. An input column of that name is replaced."""
     ship_package(docs.sparkSession)
+    docs = without(docs, ["__found"])
     parts = []
     for block in _blocks(benchmark, item_id, item_text, block_windows):
         index = WindowIndex(block)
@@ -264,7 +300,9 @@ def find(
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **kwargs) -> DataFrame:
     """The rows that are not contaminated, with all their columns."""
-    return find(docs, benchmark, text, **kwargs).where("NOT __found.contaminated").drop("__found")
+    moved = {"__found": "__in_found"} if "__found" in docs.columns else {}
+    kept = find(docs.withColumnsRenamed(moved), benchmark, text, **kwargs).where("NOT __found.contaminated").drop("__found")
+    return kept.withColumnsRenamed({v: k for k, v in moved.items()})
 
 
 def brute_force(docs: list[tuple], items: list[tuple]) -> list[tuple]:
@@ -275,7 +313,7 @@ def brute_force(docs: list[tuple], items: list[tuple]) -> list[tuple]:
     for i, t in items:
         ws = split.findall((t or "").translate(low))
         for a in range(max(1, len(ws) - WINDOW + 1) if ws else 0):
-            windows.setdefault(tuple(ws[a : a + WINDOW]), []).append(i)
+            windows.setdefault(tuple(ws[a : a + WINDOW]), []).append("" if i is None else i)
     out = []
     for d, t in docs:
         ws, hit, found = split.findall((t or "").translate(low)), set(), []
