@@ -1,12 +1,13 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms of a text are its distinct lower-cased words and the first five characters of longer words, hashed to 32
-bits. From a bounded sample of labelled texts the terms that tell the classes apart best are kept; the machine
-learns a weight and a short vector per term, so that pairs of terms (an insult with a group word, say) add what no
+bits. From a bounded sample of labelled texts (``max_per_class``) all terms that ``LEAST_TEXTS`` of its texts hold are kept
+(``max_terms`` can keep only those that tell the classes apart best); the machine learns a weight and a short vector per term, so that pairs of terms (an insult with a group word, say) add what no
 sum of single weights can. Fitting is a few seconds of numpy on the sample; scoring runs in Arrow batches with
 the model (some hundred kilobytes) as a broadcast.
 
-Defined cases: null and empty texts score the bias; without labels of both classes every text scores the share of
+Defined cases: null and empty texts score the bias; very long texts count as their distinct terms; sample rows are put in the order of their
+terms before the fit, so ties change nothing; without labels of both classes every text scores the share of
 the class seen (0 without labels); repeated rows are scored one by one; an empty table gives an empty result; other
 columns of the input are not read.
 """
@@ -27,7 +28,7 @@ from fieldlens.session import ship_package
 
 WORD = re.compile(r"[^\W_]+")
 STEM = 5
-MAX_TERMS = 3000
+LEAST_TEXTS = 5
 FACTORS = 8
 
 
@@ -69,7 +70,7 @@ def _logits(m: Machine, rows: list[np.ndarray]):
     return m.bias + linear + 0.5 * ((sums * sums).sum(1) - squares), flat, row, sums
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, max_terms: int = MAX_TERMS, factors: int = FACTORS, epochs: int = 40, seed: int = 6) -> Machine:
+def fit(rows: list[np.ndarray], y: np.ndarray, max_terms: int | None = None, factors: int = FACTORS, epochs: int = 40, seed: int = 6) -> Machine:
     """AdaGrad on balanced log loss with weight decay, from sorted term hashes and 0/1 labels."""
     none = Machine(np.zeros(0, np.int64), -40.0, np.zeros(0), np.zeros((0, factors)))
     if not len(y):
@@ -85,7 +86,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, max_terms: int = MAX_TERMS, facto
     toxic = np.bincount(at, label, minlength=len(terms))
     expected = held * share
     z = (toxic - expected) / np.sqrt(expected * (1 - share) + 1)
-    enough = np.flatnonzero(held >= 5)
+    enough = np.flatnonzero(held >= LEAST_TEXTS)
     best = np.sort(enough[np.argsort(-np.abs(z[enough]), kind="stable")[:max_terms]])
     terms = terms[best]
     if not len(terms):
@@ -115,7 +116,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, max_terms: int = MAX_TERMS, facto
     return m
 
 
-def train(sample: DataFrame) -> Machine:
+def train(sample: DataFrame, max_terms: int | None = None) -> Machine:
     """Machine from a bounded sample (y, text)."""
     ship_package(sample.sparkSession)
 
@@ -126,10 +127,12 @@ def train(sample: DataFrame) -> Machine:
             )
 
     got = sample.select("y", "text").mapInArrow(hashed, "y int, terms array<bigint>").toArrow()
-    order = np.argsort([hash(tuple(t[:50])) for t in got.column("terms").to_pylist()], kind="stable") if got.num_rows else []
     rows = [np.array(t, dtype=np.int64) for t in got.column("terms").to_pylist()]
     y = got.column("y").to_numpy().astype(float)
-    return fit([rows[k] for k in order], y[order] if len(order) else y)
+    # Any order that depends on nothing but the rows: the sample arrives in any order.
+    keys = [(zlib.crc32(r.tobytes()), r.tobytes(), float(v)) for r, v in zip(rows, y)]
+    order = sorted(range(len(rows)), key=keys.__getitem__)
+    return fit([rows[k] for k in order], y[order] if order else y, max_terms)
 
 
 def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text: str = "text") -> DataFrame:
