@@ -5,6 +5,14 @@ about its distinct keys (window hashes, say), packed per range of keys; the redu
 that hold a key and answers with bits in the same order, so an answer costs bits and not rows. A key that very
 many documents share is one entry per block.
 
+A block sends at most ``FANOUT`` rows. Up to ``FANOUT`` blocks, their ranges are the reducers. Beyond that, routers stand between: a router
+merges what a group of ``FANOUT`` blocks asks about one range and sends the merged entries on, again as at most ``FANOUT`` rows, and so on until
+one group is left; answers come back the same way. There are fewer than twice as many routers of a level as blocks, so the rows of a round are
+at most ``2 * FANOUT`` times the blocks, per level, and levels grow with the logarithm of the blocks. No reducer or router sees more than about what one block asks.
+
+Blocks are dealt out by id and text, so neither rows without an id nor rows that share one are a block of their own (equal rows with
+equal ids are: they cannot be told apart). Ids may be of any type that can be ordered; other than whole numbers are ranked first.
+
 Keys are uniform hashes cut to a width that follows the input (``key_bits``), so sorted keys of a block are
 stored as small differences.
 """
@@ -23,10 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlens.llm.tables import memory_returned
+from fieldlens.operators.ranking import rank_rows
 from fieldlens.session import ship_package
 
 BLOCK_BYTES = 6 << 20  # a worker needs about 30 times as much memory; raise it with the memory of the executors
-ROWS = "bucket int, block int, phase int, payload binary"
+FANOUT = 256  # rows a block or router sends in a round, and blocks or routers one router serves
+ROWS = "bucket long, block int, phase int, payload binary"
 CARRIED = -1  # phase of the row that carries a block's earlier answers
 
 
@@ -94,84 +104,124 @@ class Question:
         self.keys = k[fresh]
         self.first = d[begin]
         self.last = d[np.append(begin[1:], len(d)) - 1] if len(d) else d
+        self.place = order[begin]  # first occurrence of each entry
 
-    def cuts(self, bits: int, buckets: int) -> np.ndarray:
-        edges = np.array([(b << bits) // buckets for b in range(1, buckets)], dtype=np.uint64)
-        return np.concatenate([[0], np.searchsorted(self.keys, edges), [len(self.keys)]]).astype(np.int64)
 
 
-def presence_payloads(q: Question, ids: np.ndarray, bits: int, buckets: int):
-    """Keys and whether two documents of the block hold them."""
-    cuts, several = q.cuts(bits, buckets), ids[q.first] != ids[q.last]
-    for b in range(buckets):
-        part = slice(cuts[b], cuts[b + 1])
-        if cuts[b + 1] > cuts[b]:
-            yield b, pack_keys(q.keys[part]) + np.packbits(several[part]).tobytes()
-
-
-def answer_presence(payloads: list[bytes]) -> list[bytes]:
-    """One bit per key: at least two documents hold it."""
-    keys, flags = [], []
-    for p in payloads:
-        k, at = unpack_keys(p)
-        keys.append(k)
-        flags.append(np.unpackbits(np.frombuffer(p, np.uint8, offset=at), count=len(k)).astype(bool))
-    everything = np.concatenate(keys)
-    ordered = np.sort(everything)
-    again = ordered[1:][ordered[1:] == ordered[:-1]]
-    again = again[np.concatenate([[True], again[1:] != again[:-1]])] if len(again) else again
-    out = []
-    for k, f in zip(keys, flags):
-        if len(again):
-            f = f | (again[np.minimum(np.searchsorted(again, k), len(again) - 1)] == k)
-        out.append(np.packbits(f).tobytes())
-    return out
+def cut_places(keys: np.ndarray, bits: int, buckets: int, first: int = 0, n: int | None = None) -> np.ndarray:
+    """Where ranges ``first .. first + n`` of ``buckets`` equal ranges begin in ascending keys."""
+    n = buckets if n is None else n
+    edges = np.array([(b << bits) // buckets for b in range(first + 1, first + n)], dtype=np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).astype(np.int64)
 
 
-def first_payloads(q: Question, ids: np.ndarray, bits: int, buckets: int):
-    """Entries (key, second hash) and the smallest id of the block that holds each."""
-    cuts = q.cuts(bits, buckets)
+def split_bits(bits: np.ndarray, sizes: list[int]) -> list[bytes]:
+    cuts = np.cumsum([0, *sizes])
+    return [np.packbits(bits[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
+class Presence:
+    """Keys with a mark for those that several documents hold. Answer: at least two documents hold it."""
+
+    @staticmethod
+    def payload(keys: np.ndarray, several: np.ndarray) -> bytes:
+        return pack_keys(keys) + np.packbits(several).tobytes()
+
+    def __init__(self, payloads: list[bytes]):
+        keys, flags = [], []
+        for p in payloads:
+            k, at = unpack_keys(p)
+            keys.append(k)
+            flags.append(np.unpackbits(np.frombuffer(p, np.uint8, offset=at), count=len(k)).astype(bool))
+        self.lists = keys
+        ordered = np.sort(np.concatenate(keys))
+        fresh = np.ones(len(ordered), bool)
+        fresh[1:] = ordered[1:] != ordered[:-1]
+        begin = np.flatnonzero(fresh)
+        self.keys = ordered[begin]
+        self.several = np.diff(np.append(begin, len(ordered))) > 1
+        for k, f in zip(keys, flags):
+            self.several[np.searchsorted(self.keys, k[f])] = True
+
+    def part(self, cut: slice) -> bytes:
+        return self.payload(self.keys[cut], self.several[cut])
+
+    def root(self) -> np.ndarray:
+        return self.several
+
+    def back(self, bits: np.ndarray) -> list[bytes]:
+        """Answers for every payload from those for the merged entries."""
+        bits = bits | self.several
+        return [np.packbits(bits[np.searchsorted(self.keys, k)]).tobytes() for k in self.lists]
+
+
+class First:
+    """Entries (key, second hash) with the smallest id that holds each. Answer: a smaller id holds it elsewhere."""
+
+    @staticmethod
+    def payload(keys: np.ndarray, second: np.ndarray, ids: np.ndarray) -> bytes:
+        packed, first = pack_keys(keys), pack_ids(ids)
+        return struct.pack("<II", len(packed), len(first)) + packed + first + second.astype("<u8").tobytes()
+
+    def __init__(self, payloads: list[bytes]):
+        keys, ids, seconds = [], [], []
+        for p in payloads:
+            n_keys, n_ids = struct.unpack_from("<II", p)
+            k, _ = unpack_keys(p[8 : 8 + n_keys])
+            keys.append(k)
+            ids.append(unpack_ids(p[8 + n_keys : 8 + n_keys + n_ids]))
+            seconds.append(np.frombuffer(p, "<u8", len(k), 8 + n_keys + n_ids))
+        self.sizes, self.own = list(map(len, keys)), np.concatenate(ids)
+        k, s = np.concatenate(keys), np.concatenate(seconds)
+        order = np.lexsort((self.own, s, k))
+        k, s = k[order], s[order]
+        fresh = np.ones(len(k), bool)
+        fresh[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+        self.entry = np.empty(len(k), np.int64)
+        self.entry[order] = np.cumsum(fresh) - 1
+        self.keys, self.second, self.ids = k[fresh], s[fresh], self.own[order][fresh]
+
+    def part(self, cut: slice) -> bytes:
+        return self.payload(self.keys[cut], self.second[cut], self.ids[cut])
+
+    def root(self) -> np.ndarray:
+        return np.zeros(len(self.keys), bool)
+
+    def back(self, bits: np.ndarray) -> list[bytes]:
+        return split_bits(bits[self.entry] | (self.ids[self.entry] < self.own), self.sizes)
+
+
+def asked_parts(kind, q: Question, columns: list[np.ndarray], bits: int, buckets: int):
+    """(range, payload) of a question's entries."""
+    cuts = cut_places(q.keys, bits, buckets)
     for b in range(buckets):
-        part = slice(cuts[b], cuts[b + 1])
         if cuts[b + 1] > cuts[b]:
-            keys, first = pack_keys(q.keys[part]), pack_ids(ids[q.first[part]])
-            yield b, struct.pack("<II", len(keys), len(first)) + keys + first + q.second[part].astype("<u8").tobytes()
+            yield b, kind.payload(q.keys[cuts[b] : cuts[b + 1]], *[c[cuts[b] : cuts[b + 1]] for c in columns])
 
 
-def read_first(payloads: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
-    """Entries per payload, and keys, second hashes and ids of all."""
-    keys, ids, seconds = [], [], []
-    for p in payloads:
-        n_keys, n_ids = struct.unpack_from("<II", p)
-        k, _ = unpack_keys(p[8 : 8 + n_keys])
-        keys.append(k)
-        ids.append(unpack_ids(p[8 + n_keys : 8 + n_keys + n_ids]))
-        seconds.append(np.frombuffer(p, "<u8", len(k), 8 + n_keys + n_ids))
-    return list(map(len, keys)), np.concatenate(keys), np.concatenate(seconds), np.concatenate(ids)
+def presence_payloads(q: Question, ids: np.ndarray, bits: int, buckets: int):
+    """Keys and whether two documents of the block hold them."""
+    return asked_parts(Presence, q, [ids[q.first] != ids[q.last]], bits, buckets)
 
 
-def split_bits(bits: np.ndarray, sizes: list[int]) -> list[bytes]:
-    cuts = np.cumsum([0, *sizes])
-    return [np.packbits(bits[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
+def first_payloads(q: Question, ids: np.ndarray, bits: int, buckets: int):
+    """Entries (key, second hash) and the smallest id of the block that holds each."""
+    return asked_parts(First, q, [q.second, ids[q.first]], bits, buckets)
 
 
-def answer_first(payloads: list[bytes]) -> list[bytes]:
-    """One bit per entry: a smaller id holds it elsewhere."""
-    sizes, k, s, i = read_first(payloads)
-    order = np.lexsort((i, s, k))
-    k, s = k[order], s[order]
-    fresh = np.ones(len(k), bool)
-    fresh[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
-    low = i[order][fresh]
-    later = np.empty(len(k), bool)
-    later[order] = low[np.cumsum(fresh) - 1] < i[order]
-    return split_bits(later, sizes)
+def answers_of(kind, payloads: list[bytes]) -> list[bytes]:
+    merged = kind(payloads)
+    return merged.back(merged.root())
 
 
 def read_bits(q: Question, answers: dict[int, bytes], bits: int, buckets: int) -> np.ndarray:
     """Answers of all ranges put back in the order of the question's entries."""
-    cuts = q.cuts(bits, buckets)
-    out = np.zeros(len(q.keys), bool)
+    return bits_of(q.keys, answers, bits, buckets)
+
+
+def bits_of(keys: np.ndarray, answers: dict[int, bytes], bits: int, buckets: int) -> np.ndarray:
+    cuts = cut_places(keys, bits, buckets)
+    out = np.zeros(len(keys), bool)
     for b in range(buckets):
         if n := int(cuts[b + 1] - cuts[b]):
             out[cuts[b] : cuts[b + 1]] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=n)
@@ -229,17 +279,100 @@ def unpack_answers(data: bytes):
         at += 12 + n
 
 
+def _payload_rows(rows: list[tuple]) -> pa.Table:
+    cols = list(zip(*rows)) if rows else [(), (), (), ()]
+    return pa.table({
+        "bucket": pa.array(cols[0], pa.int64()), "block": pa.array(cols[1], pa.int32()),
+        "phase": pa.array(cols[2], pa.int32()), "payload": pa.array(cols[3], pa.binary()),
+    })
+
+
+def exchange(asked: DataFrame, kind, phase: int, bits: int, blocks: int, buckets: int, watch: list | None = None) -> DataFrame:
+    """Questions of ``phase`` (``bucket, block, phase, payload``) with their payloads replaced by answers; other rows stay.
+
+    ``blocks`` senders number from 0 and ask about ``buckets`` ranges. ``watch`` collects the rows of every level.
+    """
+    if watch is not None:
+        watch.append(asked)
+
+    def now(table: pa.Table) -> tuple[list[int], list[bytes]]:
+        at = np.flatnonzero(table.column("phase").to_numpy() == phase).tolist()
+        payloads = table.column("payload")
+        return at, [payloads[k].as_py() for k in at]
+
+    def answered(table: pa.Table, at: list[int], found: list[bytes]) -> pa.Table:
+        payloads = table.column("payload").to_pylist()
+        for k, a in zip(at, found):
+            payloads[k] = a
+        return table.set_column(table.schema.get_field_index("payload"), "payload", pa.array(payloads, pa.binary()))
+
+    if blocks <= FANOUT:
+        def answering(key, table: pa.Table) -> pa.Table:
+            at, payloads = now(table)
+            return memory_returned(answered(table, at, answers_of(kind, payloads)) if at else table)
+
+        return asked.groupBy("bucket").applyInArrow(lambda key, table: answering(key, table), ROWS)
+
+    groups, finer = -(-blocks // FANOUT), buckets * FANOUT
+    # The same columns both times, so that the questions are shuffled once and read twice.
+    router = [F.col("bucket"), F.expr(f"block div {FANOUT}")]
+
+    def routing(key, table: pa.Table) -> pa.Table:
+        at, payloads = now(table)
+        if not at:
+            return _payload_rows([])
+        merged, first = kind(payloads), key[0].as_py() * FANOUT
+        cuts = cut_places(merged.keys, bits, finer, first, FANOUT)
+        group = int(key[1].as_py())
+        return memory_returned(_payload_rows([
+            (first + b, group, phase, merged.part(slice(cuts[b], cuts[b + 1]))) for b in range(FANOUT) if cuts[b + 1] > cuts[b]
+        ]))
+
+    routed = asked.groupBy(*router).applyInArrow(lambda key, table: routing(key, table), ROWS)
+    deeper = exchange(routed, kind, phase, bits, groups, finer, watch)
+
+    def returning(key, table: pa.Table, found: pa.Table) -> pa.Table:
+        at, payloads = now(table)
+        if not at:
+            return table
+        merged, first = kind(payloads), key[0].as_py() * FANOUT
+        cuts = cut_places(merged.keys, bits, finer, first, FANOUT)
+        got = np.zeros(len(merged.keys), bool)
+        for b, p in zip(found.column("bucket").to_pylist(), found.column("payload").to_pylist()):
+            part = slice(cuts[b - first], cuts[b - first + 1])
+            got[part] = np.unpackbits(np.frombuffer(p, np.uint8), count=part.stop - part.start)
+        return memory_returned(answered(table, at, merged.back(got)))
+
+    above = deeper.groupBy(F.expr(f"bucket div {FANOUT}"), F.col("block").cast("long"))
+    return asked.groupBy(*router).cogroup(above).applyInArrow(lambda key, a, b: returning(key, a, b), ROWS)
+
+
+def ranges(blocks: int) -> int:
+    """Ranges a block cuts its keys into: the rows it sends in a round."""
+    return min(blocks, FANOUT)
+
+
+def _order_ids(docs: DataFrame, id_col: str) -> DataFrame:
+    """Adds ``__order``: whole numbers in the order of the ids; null ids have none."""
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        return docs.withColumn("__order", F.col(id_col).cast("long"))
+    names = docs.select(F.col(id_col).alias("__name")).where("__name IS NOT NULL").distinct()
+    ranked = rank_rows(names, [], [F.col("__name")], "__order").withColumn("__order", F.col("__order").cast("long"))
+    return docs.join(ranked, docs[id_col] == ranked["__name"], "left").drop("__name")
+
+
 def run_rounds(
-    docs: DataFrame, id_col: str, text: str, blocks: int,
-    ask: list[Callable], answer: list[Callable], finish: Callable, schema: T.StructType,
+    docs: DataFrame, id_col: str, text: str, blocks: int, bits: int,
+    ask: list[Callable], kinds: list, finish: Callable, schema: T.StructType,
 ) -> DataFrame:
-    """``ask[r](texts, answers)`` yields (bucket, payload); ``answer[r](payloads)`` gives one answer for each;
-    ``finish(texts, answers)`` gives the result table of a block. ``answers[r]`` is bucket -> answer.
+    """``ask[r](texts, answers)`` yields (range, payload) of the kind ``kinds[r]``; ``finish(texts, answers)`` gives the result
+    table of a block. ``answers[r]`` is range -> answer.
 
     Answers of earlier rounds travel with the questions of the next one, so every round is read once.
     """
     ship_package(docs.sparkSession)
-    spread = docs.withColumn("__block", F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")).repartition(blocks, "__block")
+    at = F.pmod(F.xxhash64(id_col, text), F.lit(blocks)).cast("int")
+    spread = _order_ids(docs, id_col).withColumn("__block", at).repartition(blocks, "__block")
 
     def sorted_answers(table: pa.Table) -> dict[int, dict[int, bytes]]:
         out: dict[int, dict[int, bytes]] = {}
@@ -252,41 +385,25 @@ def run_rounds(
         def run(key, left: pa.Table, right: pa.Table | None = None) -> pa.Table:
             got = sorted_answers(right) if right is not None else {}
             block = key[0].as_py()
-            rows = [(b, block, r, p) for b, p in (ask[r](Texts(left, id_col, text), got) if left.num_rows else [])]
+            rows = [(b, block, r, p) for b, p in (ask[r](Texts(left, "__order", text), got) if left.num_rows else [])]
             if got:
                 rows.append((block, block, CARRIED, pack_answers(got)))
-            cols = list(zip(*rows)) if rows else [(), (), (), ()]
-            return pa.table({
-                "bucket": pa.array(cols[0], pa.int32()), "block": pa.array(cols[1], pa.int32()),
-                "phase": pa.array(cols[2], pa.int32()), "payload": pa.array(cols[3], pa.binary()),
-            })
+            return _payload_rows(rows)
 
         if r == 0:
             return lambda key, left: memory_returned(run(key, left))
         return lambda key, left, right: memory_returned(run(key, left, right))
 
-    def answering(r: int):
-        def run(key, table: pa.Table) -> pa.Table:
-            phase = np.array(table.column("phase").to_pylist())
-            payloads = table.column("payload").to_pylist()
-            now = np.flatnonzero(phase == r).tolist()
-            if now:
-                for at, a in zip(now, answer[r]([payloads[k] for k in now])):
-                    payloads[at] = a
-            return table.set_column(table.schema.get_field_index("payload"), "payload", pa.array(payloads, pa.binary()))
-
-        return lambda key, table: memory_returned(run(key, table))
-
     answers = None
     for r in range(len(ask)):
         if answers is None:
             asked = spread.groupBy("__block").applyInArrow(asking(r), ROWS)
         else:
             asked = spread.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(asking(r), ROWS)
-        answers = asked.groupBy("bucket").applyInArrow(answering(r), ROWS)
+        answers = exchange(asked, kinds[r], r, bits, blocks, ranges(blocks))
 
     def finishing(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = finish(Texts(left, id_col, text), sorted_answers(right))
+        out = finish(Texts(left, "__order", text), sorted_answers(right))
         return memory_returned(out).select([f.name for f in schema.fields])
 
     return spread.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(finishing, schema)

@@ -1,11 +1,12 @@
 """Repeated passages of words: Rabin-Karp hashes of every window of 50 words, counted over all documents.
 
 Round 1 counts the hashes (cut to a width that follows the input) and finds those that several documents hold.
-Round 2 compares those windows by a further 64-bit hash of their words and finds the smallest document id of
-each. A word goes if some window over it also starts in a document with a smaller id; overlapping windows merge
+Round 2 compares those windows by a further 64-bit hash, another polynomial of the same 64-bit word hashes, and finds the smallest
+document id of each. A word goes if some window over it also starts in a document with a smaller id; overlapping windows merge
 into maximal intervals. Windows are judged on the input.
 
-Defined cases: a null text has no words; equal ids are one document for the comparison (rows with the same id do
+Defined cases: a null text has no words; a very long text is handled within one block, which then needs memory in proportion to it; ids of any
+ordered type, null ids count as one document after all others; equal ids are one document for the comparison (rows with the same id do
 not remove each other); an empty table gives an empty result; other columns pass by unread, and those with
 the names of result columns are replaced.
 """
@@ -110,21 +111,22 @@ def dedup(
     """Input columns but the text, n_words, n_removed, n_spans and kept_sha256; with ``texts_too`` also kept, the
     words left joined by spaces."""
     blocks, bits = R.parts_of(docs, text, block_bytes)
+    cuts = R.ranges(blocks)
     docs = without(docs, RESULT).withColumn(text, F.col(text).cast("string"))
 
     def ask_presence(texts, answers):
         w = WordWindows(texts, window, bits)
-        return R.presence_payloads(w.present(), texts.ids, bits, blocks)
+        return R.presence_payloads(w.present(), texts.ids, bits, cuts)
 
     def shared(texts, answers):
         w = WordWindows(texts, window, bits)
         q = w.present()
-        flags = R.read_bits(q, answers.get(0, {}), bits, blocks)
+        flags = R.read_bits(q, answers.get(0, {}), bits, cuts)
         return w, *w.shared(flags[q.entry])
 
     def ask_first(texts, answers):
         _, q, _ = shared(texts, answers)
-        return R.first_payloads(q, texts.ids, bits, blocks)
+        return R.first_payloads(q, texts.ids, bits, cuts)
 
     rest = [f for f in docs.schema.fields if f.name != text]
     schema = T.StructType([*rest, *T.StructType.fromDDL(
@@ -132,7 +134,7 @@ def dedup(
 
     def finish(texts, answers):
         w, q, at = shared(texts, answers)
-        later = R.read_bits(q, answers.get(1, {}), bits, blocks)
+        later = R.read_bits(q, answers.get(1, {}), bits, cuts)
         gone = later[q.entry] | (texts.ids[w.row[at]] > texts.ids[q.first][q.entry])
         removed = R.cover(at[gone], len(w.row), window)
         first = np.searchsorted(w.row, np.arange(len(texts) + 1))
@@ -157,5 +159,5 @@ def dedup(
         return out.append_column("kept", pa.array(kept, pa.string())) if texts_too else out
 
     return R.run_rounds(
-        docs, id_col, text, blocks, [ask_presence, ask_first], [R.answer_presence, R.answer_first], finish, schema
+        docs, id_col, text, blocks, bits, [ask_presence, ask_first], [R.Presence, R.First], finish, schema
     )

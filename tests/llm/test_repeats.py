@@ -5,9 +5,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from fieldlens.llm import repeats as R
 from fieldlens.llm import substring_dedup, suffix_dedup
 from fieldlens.llm.repeats import Texts, pack_ids, pack_keys, unpack_ids, unpack_keys
-from fieldlens.llm.suffix_dedup import nearest_smaller
+from fieldlens.llm.suffix_dedup import Factors, Variety, nearest_smaller, previous_factors
 
 
 def brute(rows, split, join, size):
@@ -91,9 +92,110 @@ def test_packing_of_keys():
 def test_nearest_smaller():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 50, 400):
-        owner, run = rng.integers(0, 9, n), np.sort(rng.integers(0, 5, n))
-        before, after = nearest_smaller(owner, run)
+        owner = rng.integers(0, 9, n)
+        before, after = nearest_smaller(owner)
         for k in range(n):
-            left = [j for j in range(k) if run[j] == run[k] and owner[j] < owner[k]]
-            right = [j for j in range(k + 1, n) if run[j] == run[k] and owner[j] < owner[k]]
+            left = [j for j in range(k) if owner[j] < owner[k]]
+            right = [j for j in range(k + 1, n) if owner[j] < owner[k]]
             assert before[k] == (left[-1] if left else -1) and after[k] == (right[0] if right else -1)
+
+
+def test_factor_lengths_equal_brute_force():
+    """The longest prefix shared with any string of a smaller owner, over the whole order."""
+    rng = np.random.default_rng(4)
+    for n, width, letters in ((1, 5, 2), (60, 7, 2), (200, 50, 3), (120, 16, 2)):
+        rows = rng.integers(0, letters, (n, width)).astype(np.uint8)
+        rows[n // 2 :] = rows[rng.integers(0, max(1, n // 2), n - n // 2)]
+        rows[rng.random(rows.shape) < 0.02] ^= 1
+        owner = rng.integers(0, 20, n)
+        got = previous_factors(rows, owner)
+        for k in range(n):
+            shared = [int((rows[k] != rows[j]).argmax()) if (rows[k] != rows[j]).any() else width for j in range(n) if owner[j] < owner[k]]
+            assert got[k] == max(shared, default=0)
+
+
+def test_text_ids_and_repeated_ids(spark):
+    passage = "the same words in several documents, long enough for a window of fifty bytes"
+    rows = [("b", passage + " of b"), ("a", passage + " of a"), ("c", passage), (None, passage), (None, "x " + passage), ("c", passage + " again")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    want = {"a": 0, "b": len(passage), "c": len(passage), None: len(passage)}
+    for r in suffix_dedup.dedup(docs, block_bytes=100).collect():
+        assert r.n_removed - want[r.doc_id] in (0, 1, 2, 4)  # a shared space may go as well
+        assert (r.n_removed == 0) == (r.doc_id == "a")
+    got = substring_dedup.dedup(docs, window=5, block_bytes=100).collect()
+    assert sorted((str(r.doc_id), r.n_removed) for r in got) == sorted((str(i), 0 if i == "a" else 14 + (i == "b")) for i, t in rows)
+
+
+def test_rows_without_id_are_spread(spark):
+    docs = spark.range(2000).selectExpr("cast(null AS long) AS doc_id", "concat('text ', id) AS text")
+    at = docs.selectExpr("pmod(xxhash64(doc_id, text), 50) AS b").groupBy("b").count().collect()
+    assert len(at) == 50 and max(r["count"] for r in at) < 100
+    assert suffix_dedup.dedup(docs, block_bytes=500).count() == 2000
+
+
+def random_questions(rng, n_blocks, bits, kind):
+    """Payloads of blocks that share keys, and the answers by plain rules."""
+    blocks = []
+    for b in range(n_blocks):
+        keys = np.unique(rng.integers(0, 1 << bits, 60, dtype=np.uint64) >> np.uint64(3) << np.uint64(3))
+        ids = rng.integers(0, 1000, len(keys)) * n_blocks + b
+        blocks.append((keys, ids, keys * np.uint64(7) + rng.integers(0, 2, len(keys)).astype(np.uint64), rng.random(len(keys)) < 0.05))
+    return blocks
+
+
+KINDS = {
+    "presence": (R.Presence, lambda second, ids, flag, strings: [flag]), "first": (R.First, lambda second, ids, flag, strings: [second, ids]),
+    "variety": (Variety, lambda second, ids, flag, strings: [second, flag]), "factors": (Factors, lambda second, ids, flag, strings: [ids, strings]),
+}
+
+
+def asked_by(spark, n, kind, bits=8):
+    cls, columns = KINDS[kind]
+    rows = []
+    for b, (keys, ids, second, flag) in enumerate(random_questions(np.random.default_rng(n), n, bits, kind)):
+        strings = (keys[:, None] >> np.arange(0, bits, dtype=np.uint64) & np.uint64(1)).astype(np.uint8)
+        part = suffix_dedup.SharedSuffixes(keys)
+        rows += [(k, b, 1, bytearray(p)) for k, p in R.asked_parts(cls, part, columns(second, ids, flag, strings), bits, R.ranges(n))]
+        rows.append((b, b, R.CARRIED, bytearray(b"kept")))
+    return cls, rows, spark.createDataFrame(rows, "bucket long, block int, phase int, payload binary").coalesce(1)
+
+
+@pytest.fixture
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("kind", list(KINDS))
+def test_routers_answer_like_one_reducer(spark, monkeypatch, few_partitions, kind):
+    monkeypatch.setattr(R, "FANOUT", 2)
+    cls, rows, asked = asked_by(spark, 5, kind)
+    got = R.exchange(asked, cls, 1, 8, 5, R.ranges(5)).collect()
+    assert sorted(bytes(r.payload) for r in got if r.phase == R.CARRIED) == [b"kept"] * 5
+    payloads = [(r[1], r[0], bytes(r[3])) for r in rows if r[2] == 1]
+    want = R.answers_of(cls, [p for _, _, p in payloads])
+    assert {(r.block, r.bucket): bytes(r.payload) for r in got if r.phase == 1} == {(b, k): a for (b, k, _), a in zip(payloads, want)}
+
+
+def test_rows_of_a_round_are_linear(spark, monkeypatch, few_partitions):
+    """At four numbers of blocks: no level has more rows than twice the fan-out times the blocks."""
+    monkeypatch.setattr(R, "FANOUT", 2)
+    for n, levels in ((2, 1), (4, 2), (7, 3), (12, 4)):
+        cls, rows, asked = asked_by(spark, n, "first")
+        watch = []
+        R.exchange(asked, cls, 1, 8, n, R.ranges(n), watch)
+        counts = [df.where("phase = 1").count() for df in watch]
+        assert len(counts) == levels and counts[0] <= 2 * n and max(counts) <= 4 * n
+
+
+def test_many_blocks_and_few_ranges(spark, monkeypatch, few_partitions):
+    monkeypatch.setattr(R, "FANOUT", 3)
+    rows = sample(3)[:40]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    size = sum(len((t or "").encode()) for _, t in rows) // 7
+    got = suffix_dedup.dedup(docs, texts_too=True, block_bytes=size).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows, lambda t: [bytes([b]) for b in t.encode()], b"".join, 50))
+    got = substring_dedup.dedup(docs, window=9, texts_too=True, block_bytes=size).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows, lambda t: t.encode().split(), b" ".join, 9))
