@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import heapq
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions import text as X
-from fieldlens.operators.ranking import running_total, top_per_group
-from fieldlens.session import BROADCAST_LIMIT_BYTES, ship_package
+from fieldlens.operators.ranking import rank_rows, running_total
+from fieldlens.operators.topk import topk_sparse, topk_vectors
+from fieldlens.session import cut_lineage, ship_package
 
 # N-gram lengths, vocabulary limit, vector length.
 NGRAM_LOW, NGRAM_HIGH = 2, 4
@@ -150,13 +150,55 @@ def term_stats(docs: DataFrame, text: str) -> DataFrame:
     return part.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("corpus_tf"))
 
 
-def vocabulary(docs: DataFrame, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
-    """``term, df, corpus_tf, idf`` of the most frequent terms (ties by term); never more than
-    ``max_features`` rows."""
-    top = term_stats(docs, text).orderBy(F.desc("corpus_tf"), F.asc("term")).limit(max_features)
+def vocabulary(docs: DataFrame, text: str, max_features: int | None = MAX_FEATURES) -> DataFrame:
+    """``term, df, corpus_tf, idf`` of all terms, or of the ``max_features`` most frequent ones (ties by term).
+
+    The cut is found from a histogram of the counts; only the terms that share the count at the cut are ordered, by ranges. No task
+    and no driver sees the candidates of all partitions.
+    """
+    stats = cut_lineage(term_stats(docs, text))
+    kept = stats if max_features is None else _most_frequent(stats, max_features)
     idf = F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     total = docs.agg(F.count("*").alias("n_docs"))
-    return top.crossJoin(F.broadcast(total)).withColumn("idf", idf).drop("n_docs")
+    return kept.crossJoin(F.broadcast(total)).withColumn("idf", idf).drop("n_docs")
+
+
+def _most_frequent(stats: DataFrame, limit: int) -> DataFrame:
+    hist = stats.groupBy("corpus_tf").agg(F.count("*").alias("n"))
+    reached = running_total(hist, [], [F.desc("corpus_tf")], F.col("n"), "until").where(F.col("until") >= limit)
+    at = reached.agg(F.max_by(F.struct("corpus_tf", "n", "until"), F.col("corpus_tf")).alias("cut")).first().cut
+    if at is None:  # fewer terms than the limit
+        return stats
+    above = stats.where(F.col("corpus_tf") > at.corpus_tf)
+    ties = stats.where(F.col("corpus_tf") == at.corpus_tf)
+    if at.until > limit:
+        rest = limit - (at.until - at.n)
+        ties = rank_rows(ties, [], [F.col("term")], "__rank").where(F.col("__rank") <= rest).drop("__rank")
+    return above.unionByName(ties.select(above.columns))
+
+
+HOT_TERMS = 4096
+
+
+def joined_weights(docs: DataFrame, key: str, text: str, vocab: DataFrame) -> DataFrame:
+    """``key, term, weight``: L2-normalised TF-IDF weights for a vocabulary of any size, by a join on the term.
+
+    Terms of more than one in ``HOT_TERMS`` of all (document, term) rows are fewer than ``HOT_TERMS`` whatever the input and are broadcast; the
+    others meet their rows by shuffle, so no term is a large group there.
+    """
+    counts = term_counts(docs, key, text)
+    total = vocab.agg(F.sum("df")).first()[0] or 0
+    slim = vocab.select("term", "idf", (F.col("df") * HOT_TERMS > total).alias("hot"))
+    hot = F.broadcast(slim.where("hot").select("term", F.col("idf").alias("hot_idf")))
+    cold = slim.where(~F.col("hot")).select(F.lit(False).alias("__hot"), F.col("term").alias("__probe"), F.col("idf").alias("cold_idf"))
+    # Rows of hot terms are dealt out by their document and find nothing there.
+    found = counts.join(hot, "term", "left").withColumn("__hot", F.col("hot_idf").isNotNull())
+    probe = F.when(F.col("__hot"), F.col(key).cast("string")).otherwise(F.col("term"))
+    found = found.withColumn("__probe", probe).join(cold, ["__hot", "__probe"], "left")
+    weighed = found.withColumn("idf", F.coalesce("hot_idf", "cold_idf")).where("idf IS NOT NULL").select(
+        key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return weighed.withColumn("weight", F.col("w") / norm).drop("w")
 
 
 @dataclass
@@ -338,122 +380,19 @@ EMBEDDERS: dict[str, Callable] = {"tfidf-svd": fit_lsa}
 # ------------------------------------------------------------------- top-k
 
 
-def _query_blocks(queries: DataFrame, row_bytes: int) -> list[DataFrame]:
-    """Split the query side into blocks whose matrix stays under the broadcast limit."""
-    n = queries.count()
-    blocks = max(1, -(-n * row_bytes // BROADCAST_LIMIT_BYTES))
-    if blocks == 1:
-        return [queries]
-    at = F.pmod(F.xxhash64("query_id"), F.lit(2 * blocks))
-    return [queries.where(at == b) for b in range(2 * blocks)]
-
-
-class _Best:
-    """Best ``k`` items per query seen by one task."""
-
-    def __init__(self, n: int, k: int):
-        self.heaps, self.k = [[] for _ in range(n)], k
-
-    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
-        """``scores`` is items x queries; ties prefer the smaller id."""
-        for q in range(scores.shape[1]):
-            column = scores[:, q]
-            take = np.flatnonzero(column >= np.partition(column, -self.k)[-self.k]) if len(column) > self.k else range(len(column))
-            heap = self.heaps[q]
-            for i in take:
-                entry = (column[i], -ids[i])
-                if len(heap) < self.k:
-                    heapq.heappush(heap, entry)
-                elif entry > heap[0]:
-                    heapq.heapreplace(heap, entry)
-
-    def frame(self, query_ids) -> pd.DataFrame:
-        rows = [(q, -i, s) for q, heap in zip(query_ids, self.heaps) for s, i in heap]
-        return pd.DataFrame(rows, columns=["query_id", "item_id", "similarity"])
-
-
-_RESULT = "query_id long, item_id long, similarity double"
-
-
-def _top(parts: list[DataFrame], k: int, empty: DataFrame) -> DataFrame:
-    """Final ranking of the per-task winners; a NaN similarity (no length) comes last. Without queries there are no rows."""
-    if not parts:
-        return empty.sparkSession.createDataFrame([], f"{_RESULT}, rank int")
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p)
-    merged = merged.withColumn("similarity", F.when(F.col("similarity") > -2, F.col("similarity")))
-    return top_per_group(merged, ["query_id"], [F.desc_nulls_last("similarity"), F.asc("item_id")], k, "rank")
-
-
 def topk_cosine(items: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Exact cosine top-k of dense vectors: ``item_id, vector`` against ``query_id, vector``; null vectors take no part.
 
-    Items are read once per query block and never shuffled; each task keeps ``k`` items per query.
+    Both sides stay on the executors, see :mod:`fieldlens.operators.topk`.
     """
-    ship_package(items.sparkSession)
-    items, queries = items.where("vector IS NOT NULL"), queries.where("vector IS NOT NULL")
-    width = queries.agg(F.max(F.size("vector")).alias("d")).first().d or 1
-    sc = items.sparkSession.sparkContext
-    parts = []
-    for block in _query_blocks(queries.select("query_id", "vector"), 8 * width):
-        pdf = block.orderBy("query_id").toPandas()
-        if pdf.empty:
-            continue
-        matrix = np.stack([np.asarray(v, dtype="float64") for v in pdf["vector"]])
-        shared = sc.broadcast((pdf["query_id"].to_numpy(), matrix))
-
-        def scan(batches, shared=shared):
-            ids, q = shared.value
-            qn = np.linalg.norm(q, axis=1)
-            best = _Best(len(ids), k)
-            for b in batches:
-                x = np.stack([np.asarray(v, dtype="float64") for v in b["vector"]])
-                size = np.linalg.norm(x, axis=1)[:, None] * qn[None, :]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    scores = np.where(size > 0, np.round((x @ q.T) / size, 12), -3.0)
-                best.add(b["item_id"].to_numpy(), scores)
-            yield best.frame(ids)
-
-        parts.append(items.select("item_id", "vector").mapInPandas(scan, _RESULT))
-    return _top(parts, k, items)
+    return topk_vectors(items, queries, k)
 
 
 def topk_tfidf(items: DataFrame, queries: DataFrame, k: int, model: TfidfModel) -> DataFrame:
-    """Exact cosine top-k of TF-IDF vectors: ``item_id, text`` against ``query_id, text``.
+    """Exact cosine top-k of TF-IDF vectors: ``item_id, text`` against ``query_id, text``, on inverted blocks of items."""
+    fitted = items.sparkSession.sparkContext.broadcast(model)
 
-    Same plan as :func:`topk_cosine`; the query matrix covers only the terms the queries use.
-    """
-    ship_package(items.sparkSession)
-    sc = items.sparkSession.sparkContext
-    fitted = sc.broadcast(model)
-    parts = []
-    used_terms = term_counts(queries, "query_id", "text").select("term").distinct().count()
-    for block in _query_blocks(queries.select("query_id", "text"), 8 * min(used_terms, len(model.index))):
-        pdf = block.orderBy("query_id").toPandas()
-        if pdf.empty:
-            continue
-        shared = sc.broadcast((pdf["query_id"].to_numpy(), [t or "" for t in pdf["text"]]))
-
-        def scan(batches, shared=shared):
-            ids, texts = shared.value
-            m = fitted.value
-            sparse = [m.sparse(t) for t in texts]
-            used = np.unique(np.concatenate([c for c, _ in sparse]))
-            place = np.full(len(m.index), -1, dtype=np.int64)
-            place[used] = np.arange(len(used))
-            q = np.zeros((len(used), len(ids)))
-            for j, (cols, w) in enumerate(sparse):
-                q[place[cols], j] = w
-            best = _Best(len(ids), k)
-            for b in batches:
-                scores = np.zeros((len(b), len(ids)))
-                for i, t in enumerate(b["text"]):
-                    cols, w = m.sparse(t or "")
-                    at = place[cols]
-                    scores[i] = w[at >= 0] @ q[at[at >= 0]]
-                best.add(b["item_id"].to_numpy(), np.round(scores, 12))
-            yield best.frame(ids)
-
-        parts.append(items.select("item_id", "text").mapInPandas(scan, _RESULT))
-    return _top(parts, k, items)
+    def vectorise(texts):
+        return (fitted.value.sparse(t.as_py() or "") for t in texts)
+
+    return topk_sparse(items, queries, k, vectorise)

@@ -59,6 +59,31 @@ def tfidf_weights(spark, d):
     )
 
 
+_ALL_TERMS = f"""{_TERMS}, vo AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS corpus_tf, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf
+ FROM terms GROUP BY term)"""
+
+
+@query("tfidf_vocab_full", f"WITH {_ALL_TERMS} SELECT term, df, corpus_tf, round(idf, 6) AS idf FROM vo")
+def tfidf_vocab_full(spark, d):
+    """The vocabulary without a limit."""
+    vocab = RT.vocabulary(I.texts(spark, d, "documents", "text"), "text", None)
+    return vocab.select("term", "df", "corpus_tf", F.round("idf", 6).alias("idf"))
+
+
+@query("tfidf_weights_full", f"""WITH {_ALL_TERMS}, w AS (SELECT doc_id, term, tf * idf AS w FROM terms JOIN vo USING (term)),
+n AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
+SELECT doc_id, count(*) AS n_terms, round(sum(w / norm), 6) AS total, round(max(w / norm), 6) AS heaviest, round(sum((w / norm) * (w / norm)), 6) AS length_sq
+FROM w JOIN n USING (doc_id) GROUP BY doc_id""")
+def tfidf_weights_full(spark, d):
+    """Weights over the whole vocabulary, by joins."""
+    docs = I.texts(spark, d, "documents", "doc_id", "text")
+    w = RT.joined_weights(docs, "doc_id", "text", RT.vocabulary(docs, "text", None))
+    return w.groupBy("doc_id").agg(
+        F.count("*").alias("n_terms"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.max("weight"), 6).alias("heaviest"),
+        F.round(F.sum(F.col("weight") * F.col("weight")), 6).alias("length_sq"),
+    )
+
+
 def _chunk_items(spark, d):
     """Chunks with an id made of article and piece."""
     body = X.strip(X.chunk_body(F.col("law_title"), F.col("article_no"), F.col("text")))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import text as X
 from fieldlens.operators import dossiers as DO
 from fieldlens.operators import retrieval as RT
+from fieldlens.operators import topk as TK
 
 CORPUS = [
     "工廠管理輔導法 第28-1條 新增建未登記工廠 停止供電供水 拆除",
@@ -110,9 +111,8 @@ def test_lsa_similarities_equal_numpy_svd(spark):
     assert np.abs(got @ got.T - z @ z.T).max() < 2e-2
 
 
-@pytest.mark.parametrize("limit", [64 << 20, 4096])
-def test_topk_equals_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(RT, "BROADCAST_LIMIT_BYTES", limit)  # the small limit forces many query blocks
+@pytest.mark.parametrize("item_bytes,query_bytes", [(32 << 20, 8 << 20), (6000, 2000), (1, 1500)])
+def test_topk_equals_brute_force(spark, item_bytes, query_bytes):
     rng = np.random.default_rng(11)
     x, q = rng.normal(size=(500, 16)), rng.normal(size=(90, 16))
     x[7] = x[3]
@@ -120,7 +120,7 @@ def test_topk_equals_brute_force(spark, monkeypatch, limit):
     items = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in enumerate(x)], "item_id long, vector array<double>")
     queries = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in enumerate(q)], "query_id long, vector array<double>")
     got = {}
-    for r in RT.topk_cosine(items.repartition(5), queries, 6).collect():
+    for r in TK.topk_vectors(items.repartition(5), queries, 6, item_bytes, query_bytes).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = r.item_id
     with np.errstate(invalid="ignore", divide="ignore"):
         sim = np.round(x @ q.T / (np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(q, axis=1)), 12)
@@ -145,6 +145,72 @@ def test_tfidf_topk(spark):
     assert {r.item_id for r in rows if r.query_id == 0} == {3, 4, 5}
 
 
+@pytest.mark.parametrize("item_bytes,query_bytes", [(32 << 20, 8 << 20), (9000, 3000)])
+def test_sparse_topk_equals_brute_force(spark, item_bytes, query_bytes):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 7))) for _ in range(80)]
+    share = 1 / np.arange(1, 81)
+    texts = [" ".join(rng.choice(words, rng.integers(0, 40), p=share / share.sum())) for _ in range(150)] + ["abc abc", "abc abc"]
+    df = docs(spark, texts)
+    model = RT.fit_tfidf(df, "text")
+    asked = [texts[3] + " zz", texts[9], words[70], "", "qqqq"]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, text string")
+
+    def vectorise(batch):
+        return (model.sparse(t.as_py() or "") for t in batch)
+
+    got = TK.topk_sparse(df.withColumnRenamed("id", "item_id").repartition(4), queries, 7, vectorise, item_bytes, query_bytes).collect()
+    x = np.zeros((len(texts), len(model.index)))
+    for row, t in zip(x, texts):
+        cols, w = model.sparse(t)
+        row[cols] = w
+    for j, t in enumerate(asked):
+        cols, w = model.sparse(t)
+        score = np.round(x[:, cols] @ w, 12)
+        best = sorted(range(len(texts)), key=lambda i: (-score[i], i))[:7]
+        mine = sorted((r["rank"], r.item_id, r.similarity) for r in got if r.query_id == j)
+        assert [m[1] for m in mine] == best and np.allclose([m[2] for m in mine], score[best], atol=1e-11)
+
+
+def test_bounds_leave_most_items_out():
+    """Frequent light terms are not followed for items that cannot reach the best any more."""
+    rng = np.random.default_rng(2)
+    n = 3000
+    x = np.zeros((n, 40))
+    x[:, :30] = rng.random((n, 30)) * 0.05
+    x[rng.integers(0, n, 60), rng.integers(30, 40, 60)] = 1.0
+    cols, rows = np.nonzero(x.T)
+    index = TK.Postings(n, rows.astype(np.int32), cols.astype(np.int32), x.T[cols, rows])
+    w = np.where(np.arange(40) < 30, 0.1, 1.0)
+    at, score, done = index.best(np.arange(40), w, 5)
+    exact = np.round(x @ w, 12)
+    assert at.tolist() == sorted(range(n), key=lambda i: (-exact[i], i))[:5] and np.allclose(score, exact[at]) and done < n / 10
+
+
+def test_topk_keeps_queries_off_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    items = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "item_id long, vector array<double>")
+    for name in ("toPandas", "collect", "toArrow", "toLocalIterator"):
+        monkeypatch.setattr(DataFrame, name, lambda self, *a, **k: pytest.fail("rows went to the driver"))
+    RT.topk_cosine(items, items.withColumnRenamed("item_id", "query_id"), 3).write.format("noop").mode("overwrite").save()
+
+
+def test_vocabulary_cut_and_joined_weights(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [" ".join("".join(rng.choice(list("abcde"), rng.integers(1, 5))) for _ in range(30)) for _ in range(25)]
+    df = docs(spark, texts)
+    whole = {r.term: (r.corpus_tf, r.idf) for r in RT.vocabulary(df, "text", None).collect()}
+    order = sorted(whole, key=lambda t: (-whole[t][0], t))
+    for limit in (1, 7, 50, len(whole) - 1, len(whole), len(whole) + 5):
+        assert {r.term for r in RT.vocabulary(df, "text", limit).collect()} == set(order[:limit])
+    plain = {(r.id, r.term): r.weight for r in RT.tfidf_weights(df, "id", "text", RT.fit_tfidf(df, "text")).collect()}
+    for hot in (1, 40, 10**9):  # no term is hot, some, all
+        monkeypatch.setattr(RT, "HOT_TERMS", hot)
+        got = {(r.id, r.term): r.weight for r in RT.joined_weights(df, "id", "text", RT.vocabulary(df, "text", None)).collect()}
+        assert set(got) == set(plain) and all(abs(got[k] - plain[k]) < 1e-12 for k in got)
+
+
 CITE = "array<struct<rank:int,law_title:string,article_no:string,content:string,similarity:double>>"
 
 
