@@ -3,14 +3,16 @@
 1. Texts are tokenised in Arrow batches and cut into pieces of at most ``capacity`` tokens.
 2. The histogram of piece lengths (at most ``capacity`` numbers, whatever the input) goes to the driver, which
    solves the configuration linear program over it: multiplicative weights set a price per length, a knapsack
-   dynamic program finds the configuration of the highest price, and configurations are added in fractions
-   until every length is covered. The fractions are rounded down, for all configurations and for the full ones;
-   what is left is packed best fit decreasing on the histogram, and the plan of the fewest sequences is kept, pure
-   best fit included. The size of the plan depends on ``capacity`` and the number of rounds only.
+   dynamic program finds the configuration of the highest price, and configurations are added in fractions. With few lengths the
+   steps are small and go on until the fractions lie within ``GAP`` of the lower bound that the prices give; the fractions then are
+   moved to as few configurations as there are lengths. With many lengths (``WORK``) a step covers a length as a whole. The fractions are rounded
+   down; what is left goes best fit decreasing into the open sequences and new ones, and the plan of the fewest sequences is
+   kept, pure best fit included. The size of the plan depends on ``capacity`` and the number of rounds only.
 3. Every piece gets its rank among the pieces of its length (spread over buckets, so a common length is no
    single group) and reads its sequence and offset from the plan.
 
-Defined cases: a null or empty text is one piece (its end token); repeated rows are packed one by one; an empty
+Defined cases: a null or empty text is one piece (its end token); a very long text is encoded as a whole, so a task needs memory for its longest
+text's ids; repeated rows are packed one by one; an empty
 table gives an empty result; other columns of the input are not read.
 """
 
@@ -31,6 +33,9 @@ from fieldlens.session import ship_package
 CAPACITY = 2048
 ROUNDS = 3000
 RATE = 0.5
+GAP = 0.004  # small steps end when the fractional plan is this close to the lower bound
+STEP = 0.4  # first rate of the small steps
+WORK = 120_000  # rounds of small steps times lengths
 FULL = 0.998  # one of the plans compared leaves configurations with more waste to the best-fit step
 
 
@@ -77,8 +82,11 @@ class Bins:
 def best_configuration(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
     """Copies of every length in the fill of at most ``capacity`` with the highest total price (knapsack).
 
-    ``lengths`` ascend.
+    ``lengths`` ascend. With few lengths whole arrays of rooms are compared for 1, 2, 4, ... further copies of each length; with
+    many, all lengths are compared for each room.
     """
+    if len(lengths) * 8 < capacity:
+        return _by_length(price, lengths, capacity)
     best = np.zeros(capacity + 1)
     took = np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
@@ -95,6 +103,78 @@ def best_configuration(price: np.ndarray, lengths: np.ndarray, capacity: int) ->
     return copies
 
 
+def _by_length(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    best, steps = np.zeros(capacity + 1), []
+    for k, size in enumerate(lengths.tolist()):
+        times = 1
+        while times * size <= capacity:
+            shift = times * size
+            more = best[:-shift] + times * price[k]
+            took = more > best[shift:]
+            best[shift:] = np.where(took, more, best[shift:])
+            steps.append((k, times, shift, took))
+            times *= 2
+    copies, room = np.zeros(len(lengths), dtype=np.int64), capacity
+    for k, times, shift, took in reversed(steps):
+        if room >= shift and took[room - shift]:
+            copies[k] += times
+            room -= shift
+    return copies
+
+
+def small_steps(lengths: np.ndarray, counts: np.ndarray, capacity: int, gap: float = GAP, work: int = WORK):
+    """Multiplicative weights in small steps: (copies, fraction of sequences) per configuration, and a lower bound of the sequences.
+
+    A price is the weight of a length over its count, and the weight falls by ``exp(-rate)`` whenever the length is covered once
+    more. Any prices bound the program from below: no sequence can hold more than the best configuration costs. A round adds the
+    best configuration until one of its lengths is covered once; what a phase has added, over the least cover, is a plan. The next phase starts
+    from the weights of the last one with half its rate and twice its rounds. Without enough work for a plan there are no configurations.
+    """
+    rounds, rate, bound = work // len(lengths), STEP, 0.0
+    log_weight, plan, fewest = np.zeros(len(lengths)), [], math.inf
+    phase = math.ceil(4 * len(lengths) / rate)
+    while rounds >= phase:
+        cover, total = np.zeros(len(lengths)), 0.0
+        chosen: dict[bytes, list] = {}
+        for _ in range(phase):
+            now = log_weight - rate * cover
+            weight = np.exp(now - now.max())
+            price = weight / counts
+            copies = best_configuration(price, lengths, capacity)
+            bound = max(bound, float(weight.sum() / (price @ copies)))
+            used = copies > 0
+            share = float((counts[used] / copies[used]).min())
+            cover[used] += copies[used] * share / counts[used]
+            total += share
+            chosen.setdefault(copies.tobytes(), [copies, 0.0])[1] += share
+        least = cover.min()
+        if least > 0 and total / least < fewest:
+            fewest, plan = total / least, [(copies, share / least) for copies, share in chosen.values()]
+        if fewest <= (1 + gap) * bound:
+            break
+        log_weight, rounds = log_weight - rate * cover, rounds - phase
+        rate, phase = rate / 2, 2 * phase
+    return fewer_configurations(plan) if plan else [], bound
+
+
+def fewer_configurations(plan: list[tuple]) -> list[tuple]:
+    """The same cover by the same number of sequences with at most one configuration more than there are lengths."""
+    plan = list(plan)
+    m = len(plan[0][0]) + 1
+    while len(plan) > m:
+        part = plan[: m + 1]
+        matrix = np.stack([np.append(copies, 1) for copies, _ in part], axis=1).astype(float)
+        move = np.linalg.svd(matrix)[2][-1]  # changes neither the cover nor the number of sequences
+        share = np.array([x for _, x in part])
+        if not (move < -1e-12).any():
+            move = -move
+        down = move < -1e-12
+        share = share + move * (share[down] / -move[down]).min()
+        share[np.flatnonzero(down)[np.argmin(share[down])]] = 0.0
+        plan = [(copies, max(0.0, float(x))) for (copies, _), x in zip(part, share) if x > 1e-9] + plan[m + 1 :]
+    return plan
+
+
 def fractional_plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS, rate: float = RATE):
     """Multiplicative weights for the covering program; (copies, fraction of sequences) per configuration.
 
@@ -119,9 +199,11 @@ def fractional_plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, roun
     return [tuple(c) for c in chosen.values()]
 
 
-def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[Bins]:
-    """Best fit decreasing on the histogram: equal sequences are filled together."""
+def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int, open_bins: list[Bins] = ()) -> list[Bins]:
+    """Best fit decreasing on the histogram, into ``open_bins`` and new ones: equal sequences are filled together."""
     room: list[list[Bins]] = [[] for _ in range(capacity + 1)]
+    for b in open_bins:
+        room[capacity - sum(size * copies for size, copies in b.parts)].append(b)
     for at in np.argsort(-lengths):
         size, left = int(lengths[at]), int(counts[at])
         while left:
@@ -141,23 +223,32 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[Bin
 
 
 def rounded(chosen: list[tuple], lengths: np.ndarray, counts: np.ndarray, capacity: int, least: int) -> list[Bins]:
-    """Configurations of ``least`` tokens or more, rounded down, the fullest first; best fit for what is left."""
+    """Configurations of ``least`` tokens or more, rounded down, the fullest first; best fit for what is left.
+
+    Where pieces of a length run out, the configuration goes on without them and its sequences stay open for the best fit."""
     left, bins = counts.copy(), []
     for copies, share in chosen:
-        used = copies > 0
-        n = min(math.floor(share + 1e-9), int((left[used] // copies[used]).min()))
-        if n > 0 and int(copies @ lengths) >= least:
-            left -= n * copies
-            bins.append(Bins(n, [(int(lengths[i]), int(copies[i])) for i in np.flatnonzero(used)[::-1]]))
+        n = math.floor(share + 1e-9)
+        if int(copies @ lengths) < least:
+            continue
+        while n > 0:
+            copies = np.minimum(copies, left)
+            used = copies > 0
+            if not used.any():
+                break
+            now = min(n, int((left[used] // copies[used]).min()))
+            left -= now * copies
+            bins.append(Bins(now, [(int(lengths[i]), int(copies[i])) for i in np.flatnonzero(used)[::-1]]))
+            n -= now
     rest = left > 0
-    return bins + best_fit(lengths[rest], left[rest], capacity)
+    return best_fit(lengths[rest], left[rest], capacity, bins)
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Bins]:
     """Sequences for a histogram of lengths, every piece placed exactly once.
 
-    Of the plan with all configurations, the one with the full configurations and best fit alone, the plan of the fewest
-    sequences is taken: which is best depends on the histogram.
+    Of the plans with the configurations of small steps, with those of whole steps, with the full ones of them, and best fit alone, the
+    plan of the fewest sequences is taken: which is best depends on the histogram.
     """
     lengths = np.array(sorted(histogram), dtype=np.int64)
     counts = np.array([histogram[int(n)] for n in lengths], dtype=np.int64)
@@ -165,6 +256,10 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
         return []
     chosen = sorted(fractional_plan(lengths, counts, capacity, rounds), key=lambda c: -int(c[0] @ lengths))
     plans = [rounded(chosen, lengths, counts, capacity, least) for least in (0, math.ceil(FULL * capacity), capacity + 1)]
+    fine, _ = small_steps(lengths, counts, capacity)
+    if fine:
+        fine = sorted(fine, key=lambda c: -int(c[0] @ lengths))
+        plans += [rounded(fine, lengths, counts, capacity, 0)]
     return min(plans, key=lambda bins: sum(b.count for b in bins))
 
 

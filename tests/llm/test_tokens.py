@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -6,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from fieldlens.llm.packing import best_fit, pack, solve, token_pieces
+from fieldlens.llm.packing import _by_length, best_configuration, best_fit, fewer_configurations, pack, small_steps, solve, token_pieces
 from fieldlens.llm.token_counts import count_tokens
 from fieldlens.llm.token_units import UnitEncoder
 
@@ -63,6 +64,51 @@ def test_configurations_that_fill_less_are_used():
     assert sum(b.count for b in plan) <= sum(b.count for b in best_fit(lengths, counts, 2048))
 
 
+def few_lengths():
+    rng = np.random.default_rng(7)
+    yield {488: 1101, 573: 2214, 748: 1864, 831: 1612}
+    yield {1036: 600, 542: 600, 526: 600, 478: 1200}
+    for _ in range(14):
+        lengths = rng.choice(np.arange(150, 1300), int(rng.integers(3, 7)), replace=False)
+        yield {int(n): int(rng.integers(100, 4000)) for n in lengths}
+
+
+def test_plans_of_few_lengths_reach_the_bound_of_the_program():
+    """Within 1.5 % and one sequence a length of the lower bound that the prices give."""
+    better = 0
+    for histogram in few_lengths():
+        lengths = np.array(sorted(histogram))
+        counts = np.array([histogram[n] for n in lengths.tolist()])
+        plan, bound = small_steps(lengths, counts, 2048)
+        assert bound * 0.999 <= sum(x for _, x in plan) <= bound * 1.015
+        assert (sum(c * x for c, x in plan) >= counts * (1 - 1e-9)).all() and len(plan) <= len(lengths) + 1
+        bins = solve(histogram)
+        placed = {n: sum(b.count * k for b in bins for m, k in b.parts if m == n) for n in histogram}
+        assert placed == histogram and all(sum(n * k for n, k in b.parts) <= 2048 for b in bins)
+        n = sum(b.count for b in bins)
+        assert n >= math.ceil(bound - 1e-6) and n <= bound * 1.015 + len(histogram)
+        better += n < sum(b.count for b in best_fit(lengths, counts, 2048))
+    assert better >= 5
+    assert small_steps(np.arange(1, 2001), np.ones(2000), 2048) == ([], 0.0)
+
+
+def test_knapsack_forms_agree():
+    rng = np.random.default_rng(3)
+    for n in (1, 4, 40, 300):
+        lengths = np.sort(rng.choice(np.arange(20, 2000), n, replace=False))
+        price = rng.random(n) * lengths
+        a, b = best_configuration(price, lengths, 2048), _by_length(price, lengths, 2048)
+        assert a @ lengths <= 2048 and b @ lengths <= 2048 and a @ price == pytest.approx(b @ price)
+
+
+def test_fewer_configurations_keep_the_cover():
+    rng = np.random.default_rng(6)
+    plan = [(rng.integers(0, 4, 5), float(x)) for x in rng.random(40) * 10]
+    less = fewer_configurations(plan)
+    assert len(less) <= 6 and all(x > 0 for _, x in less)
+    assert np.allclose(sum(c * x for c, x in less), sum(c * x for c, x in plan)) and sum(x for _, x in less) == pytest.approx(sum(x for _, x in plan))
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choices(["alpha", "beta", "gamma"], k=rng.choice([0, 3, 700, 5000]))), 0) for i in range(60)]
