@@ -120,7 +120,74 @@ def split_bits(bits: np.ndarray, sizes: list[int]) -> list[bytes]:
     return [np.packbits(bits[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
-class Presence:
+class Kind:
+    """What a reducer or router makes of the payloads it gets: merged entries with ascending ``keys``; ``part`` packs some of them,
+    ``root`` answers them where nobody stands above, and ``back`` gives the answer of every payload from those of the entries."""
+
+    def parts(self, bits: int, buckets: int, first: int, n: int):
+        """(range, payload) of the entries in ranges ``first .. first + n``."""
+        cuts = cut_places(self.keys, bits, buckets, first, n)
+        for b in range(n):
+            if cuts[b + 1] > cuts[b]:
+                yield first + b, self.part(slice(cuts[b], cuts[b + 1]))
+
+    def answers(self, bits: int, buckets: int, first: int, n: int, found: dict[int, bytes]) -> list[bytes]:
+        return self.back(bits_of(self.keys, {b - first: a for b, a in found.items()}, bits, buckets, first, n))
+
+    def final(self) -> list[bytes]:
+        return self.back(self.root())
+
+
+def pack_two(a: bytes, b: bytes) -> bytes:
+    return struct.pack("<I", len(a)) + a + b
+
+
+def unpack_two(data: bytes) -> tuple[bytes, bytes]:
+    (n,) = struct.unpack_from("<I", data)
+    return data[4 : 4 + n], data[4 + n :]
+
+
+def two(one: type, other: type) -> type:
+    """Two questions asked in one round; payloads and answers travel in pairs, either side may be empty."""
+
+    class Two(Kind):
+        def __init__(self, payloads: list[bytes]):
+            self.n, pairs = len(payloads), [unpack_two(p) for p in payloads]
+            self.at = [[k for k, p in enumerate(pairs) if p[side]] for side in (0, 1)]
+            self.sides = [kind([pairs[k][side] for k in at]) if at else None for side, (kind, at) in enumerate(zip((one, other), self.at))]
+
+        def parts(self, *where):
+            a, b = (dict(s.parts(*where)) if s else {} for s in self.sides)
+            for k in sorted({*a, *b}):
+                yield k, pack_two(a.get(k, b""), b.get(k, b""))
+
+        def _paired(self, lists) -> list[bytes]:
+            out = [[b"", b""] for _ in range(self.n)]
+            for side, (at, found) in enumerate(zip(self.at, lists)):
+                for k, a in zip(at, found):
+                    out[k][side] = a
+            return [pack_two(*x) for x in out]
+
+        def answers(self, bits, buckets, first, n, found):
+            split = {b: unpack_two(a) for b, a in found.items()}
+            return self._paired([
+                s.answers(bits, buckets, first, n, {b: a[side] for b, a in split.items()}) if s else [] for side, s in enumerate(self.sides)
+            ])
+
+        def final(self):
+            return self._paired([s.final() if s else [] for s in self.sides])
+
+    return Two
+
+
+def two_payloads(a, b):
+    """(range, pair) of two questions' payloads."""
+    a, b = dict(a), dict(b)
+    for k in sorted({*a, *b}):
+        yield k, pack_two(a.get(k, b""), b.get(k, b""))
+
+
+class Presence(Kind):
     """Keys with a mark for those that several documents hold. Answer: at least two documents hold it."""
 
     @staticmethod
@@ -155,7 +222,7 @@ class Presence:
         return [np.packbits(bits[np.searchsorted(self.keys, k)]).tobytes() for k in self.lists]
 
 
-class First:
+class First(Kind):
     """Entries (key, second hash) with the smallest id that holds each. Answer: a smaller id holds it elsewhere."""
 
     @staticmethod
@@ -209,20 +276,15 @@ def first_payloads(q: Question, ids: np.ndarray, bits: int, buckets: int):
     return asked_parts(First, q, [q.second, ids[q.first]], bits, buckets)
 
 
-def answers_of(kind, payloads: list[bytes]) -> list[bytes]:
-    merged = kind(payloads)
-    return merged.back(merged.root())
-
-
 def read_bits(q: Question, answers: dict[int, bytes], bits: int, buckets: int) -> np.ndarray:
     """Answers of all ranges put back in the order of the question's entries."""
     return bits_of(q.keys, answers, bits, buckets)
 
 
-def bits_of(keys: np.ndarray, answers: dict[int, bytes], bits: int, buckets: int) -> np.ndarray:
-    cuts = cut_places(keys, bits, buckets)
+def bits_of(keys: np.ndarray, answers: dict[int, bytes], bits: int, buckets: int, first: int = 0, n_ranges: int | None = None) -> np.ndarray:
+    cuts = cut_places(keys, bits, buckets, first, n_ranges)
     out = np.zeros(len(keys), bool)
-    for b in range(buckets):
+    for b in range(len(cuts) - 1):
         if n := int(cuts[b + 1] - cuts[b]):
             out[cuts[b] : cuts[b + 1]] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=n)
     return out
@@ -309,7 +371,7 @@ def exchange(asked: DataFrame, kind, phase: int, bits: int, blocks: int, buckets
     if blocks <= FANOUT:
         def answering(key, table: pa.Table) -> pa.Table:
             at, payloads = now(table)
-            return memory_returned(answered(table, at, answers_of(kind, payloads)) if at else table)
+            return memory_returned(answered(table, at, kind(payloads).final()) if at else table)
 
         return asked.groupBy("bucket").applyInArrow(lambda key, table: answering(key, table), ROWS)
 
@@ -321,12 +383,8 @@ def exchange(asked: DataFrame, kind, phase: int, bits: int, blocks: int, buckets
         at, payloads = now(table)
         if not at:
             return _payload_rows([])
-        merged, first = kind(payloads), key[0].as_py() * FANOUT
-        cuts = cut_places(merged.keys, bits, finer, first, FANOUT)
-        group = int(key[1].as_py())
-        return memory_returned(_payload_rows([
-            (first + b, group, phase, merged.part(slice(cuts[b], cuts[b + 1]))) for b in range(FANOUT) if cuts[b + 1] > cuts[b]
-        ]))
+        first, group = key[0].as_py() * FANOUT, int(key[1].as_py())
+        return memory_returned(_payload_rows([(b, group, phase, p) for b, p in kind(payloads).parts(bits, finer, first, FANOUT)]))
 
     routed = asked.groupBy(*router).applyInArrow(lambda key, table: routing(key, table), ROWS)
     deeper = exchange(routed, kind, phase, bits, groups, finer, watch)
@@ -335,13 +393,9 @@ def exchange(asked: DataFrame, kind, phase: int, bits: int, blocks: int, buckets
         at, payloads = now(table)
         if not at:
             return table
-        merged, first = kind(payloads), key[0].as_py() * FANOUT
-        cuts = cut_places(merged.keys, bits, finer, first, FANOUT)
-        got = np.zeros(len(merged.keys), bool)
-        for b, p in zip(found.column("bucket").to_pylist(), found.column("payload").to_pylist()):
-            part = slice(cuts[b - first], cuts[b - first + 1])
-            got[part] = np.unpackbits(np.frombuffer(p, np.uint8), count=part.stop - part.start)
-        return memory_returned(answered(table, at, merged.back(got)))
+        first = key[0].as_py() * FANOUT
+        got = dict(zip(found.column("bucket").to_pylist(), found.column("payload").to_pylist()))
+        return memory_returned(answered(table, at, kind(payloads).answers(bits, finer, first, FANOUT, got)))
 
     above = deeper.groupBy(F.expr(f"bucket div {FANOUT}"), F.col("block").cast("long"))
     return asked.groupBy(*router).cogroup(above).applyInArrow(lambda key, a, b: returning(key, a, b), ROWS)

@@ -7,10 +7,10 @@ next suffix with a smaller owner are the two candidates for it, so the longer of
 Not all suffixes need to be ordered. They are grouped into strips (see :mod:`fieldlens.llm.anchors`):
 
 1. Strips whose anchor no second document has hold no repeats.
-2. Equal strips are compared as wholes: in all documents but the first, all their suffixes repeat.
-3. Of the strips left (each the first of its kind), those whose anchor other strips share are marked,
-4. and of their suffixes, those whose first 50 bytes a second document has, by hash,
-5. are put in suffix order with the bytes that can matter (50). Previous and next smaller owners, the common prefixes to them and so the
+2. Equal strips are compared as wholes: in all documents but the first, all their suffixes repeat. In the same round, anchors that several
+   different strips share are marked.
+3. Of the strips left (each the first of its kind) with marked anchors, suffixes whose first 50 bytes a second document has, by hash,
+4. are put in suffix order with the bytes that can matter (50). Previous and next smaller owners, the common prefixes to them and so the
    factor lengths are computed over the whole order of a range; bytes under factors of 50 go.
 
 Every round spreads by hashes of the strings themselves, so no common passage or anchor is a group of its own, equal
@@ -94,7 +94,7 @@ def previous_factors(strings: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return out
 
 
-class Factors:
+class Factors(R.Kind):
     """Suffixes by hash, with the smallest owner and the bytes of each. Answer: the longest previous factor has all the bytes."""
 
     @staticmethod
@@ -139,7 +139,7 @@ class Factors:
         return R.split_bits(bits[self.entry] | (self.length >= self.width), self.sizes)
 
 
-class Variety:
+class Variety(R.Kind):
     """Anchors with one of their strips and a mark for those with several. Answer: it has at least two different strips."""
 
     @staticmethod
@@ -169,9 +169,8 @@ class Variety:
         return R.split_bits((bits | self.mixed)[self.entry], self.sizes)
 
 
-def _variety_payloads(keys: np.ndarray, strip: np.ndarray, bits: int, buckets: int):
+def _variety_payloads(q: R.Question, strip: np.ndarray, bits: int, buckets: int):
     """Per distinct anchor: whether the block has several strips of it, and the hash of one."""
-    q = R.Question(keys, np.arange(len(keys)))
     one = strip[q.first]
     several = np.zeros(len(q.keys), bool)
     several[q.entry[strip != one[q.entry]]] = True
@@ -199,15 +198,16 @@ class StripState:
         end = self.first + self.n + window - 1
         self.strip = span_hashes(self.raw, self.first, end, 0)
         self.equal = R.Question(self.strip >> self.cut, self.row, span_hashes(self.raw, self.first, end, 1))
+        self.varied = R.Question(self.anchor, np.arange(len(self.anchor)))
         if 1 not in answers:
             return
+        pairs = {b: R.unpack_two(a) for b, a in answers[1].items()}
         q = self.equal
-        self.later = R.read_bits(q, answers[1], bits, buckets)[q.entry] | (self.ids[self.row] > self.ids[q.first][q.entry])
-        self.leading = np.flatnonzero(~self.later)
-        if 2 not in answers:
-            return
-        q = R.Question(self.anchor[self.leading], np.arange(len(self.leading)))
-        mixed = self.leading[R.read_bits(q, answers[2], bits, buckets)[q.entry]]
+        later = R.read_bits(q, {b: a for b, (a, _) in pairs.items()}, bits, buckets)
+        self.later = later[q.entry] | (self.ids[self.row] > self.ids[q.first][q.entry])
+        q = self.varied
+        several = R.read_bits(q, {b: a for b, (_, a) in pairs.items()}, bits, buckets)[q.entry]
+        mixed = np.flatnonzero(~self.later & several)
         n = self.n[mixed]
         self.at = np.repeat(self.first[mixed], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         self.at_row = np.repeat(self.row[mixed], n)
@@ -215,9 +215,9 @@ class StripState:
             span_hashes(self.raw, self.at, self.at + window, 0) >> self.cut, self.at_row,
             span_hashes(self.raw, self.at, self.at + window, 1),
         )
-        if 3 not in answers:
+        if 2 not in answers:
             return
-        self.shared = np.flatnonzero(R.read_bits(q, answers[3], bits, buckets))
+        self.shared = np.flatnonzero(R.read_bits(q, answers[2], bits, buckets))
         self.shared_keys = q.keys[self.shared]
 
     def strings(self) -> np.ndarray:
@@ -242,17 +242,15 @@ def dedup(
         return R.presence_payloads(state(texts, answers, 0).anchors, texts.ids, bits, cuts)
 
     def ask_strips(texts, answers):
-        return R.first_payloads(state(texts, answers, 1).equal, texts.ids, bits, cuts)
-
-    def ask_variety(texts, answers):
-        s = state(texts, answers, 2)
-        return _variety_payloads(s.anchor[s.leading], s.strip[s.leading], bits, cuts)
+        s = state(texts, answers, 1)
+        return R.two_payloads(
+            R.first_payloads(s.equal, texts.ids, bits, cuts), _variety_payloads(s.varied, s.strip, bits, cuts))
 
     def ask_suffixes(texts, answers):
-        return R.presence_payloads(state(texts, answers, 3).suffixes, texts.ids, bits, cuts)
+        return R.presence_payloads(state(texts, answers, 2).suffixes, texts.ids, bits, cuts)
 
     def ask_factors(texts, answers):
-        s = state(texts, answers, 4)
+        s = state(texts, answers, 3)
         part = SharedSuffixes(s.shared_keys)
         return R.asked_parts(Factors, part, [texts.ids[s.suffixes.first[s.shared]], s.strings()], bits, cuts)
 
@@ -261,10 +259,10 @@ def dedup(
         "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * texts_too).fields])
 
     def finish(texts, answers):
-        s = state(texts, answers, 4)
+        s = state(texts, answers, 3)
         q = s.suffixes
         later = np.zeros(len(q.keys), bool)
-        later[s.shared] = R.bits_of(s.shared_keys, answers.get(4, {}), bits, cuts)
+        later[s.shared] = R.bits_of(s.shared_keys, answers.get(3, {}), bits, cuts)
         hit = later[q.entry] | (s.ids[s.at_row] > s.ids[q.first][q.entry])
         whole, n = s.first[s.later], s.n[s.later]
         runs = np.repeat(whole, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -289,6 +287,6 @@ def dedup(
 
     return R.run_rounds(
         docs, id_col, text, blocks, bits,
-        [ask_anchors, ask_strips, ask_variety, ask_suffixes, ask_factors],
-        [R.Presence, R.First, Variety, R.Presence, Factors], finish, schema,
+        [ask_anchors, ask_strips, ask_suffixes, ask_factors],
+        [R.Presence, R.two(R.First, Variety), R.Presence, Factors], finish, schema,
     )

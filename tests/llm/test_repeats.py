@@ -168,6 +168,18 @@ def few_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_two_questions_in_one_round():
+    kind, rng = R.two(R.Presence, R.First), np.random.default_rng(1)
+    blocks = random_questions(rng, 3, 8, "first")
+    sides = [], []
+    for k, (keys, ids, second, flag) in enumerate(blocks):
+        sides[0].append(R.Presence.payload(keys, flag) if k != 1 else b"")
+        sides[1].append(R.First.payload(keys, second, ids) if k != 2 else b"")
+    got = [R.unpack_two(a) for a in kind([R.pack_two(*p) for p in zip(*sides)]).final()]
+    assert [a for a, _ in got if a] == R.Presence([p for p in sides[0] if p]).final() and got[1][0] == b""
+    assert [b for _, b in got if b] == R.First([p for p in sides[1] if p]).final() and got[2][1] == b""
+
+
 @pytest.mark.parametrize("kind", list(KINDS))
 def test_routers_answer_like_one_reducer(spark, monkeypatch, few_partitions, kind):
     monkeypatch.setattr(R, "FANOUT", 2)
@@ -175,7 +187,7 @@ def test_routers_answer_like_one_reducer(spark, monkeypatch, few_partitions, kin
     got = R.exchange(asked, cls, 1, 8, 5, R.ranges(5)).collect()
     assert sorted(bytes(r.payload) for r in got if r.phase == R.CARRIED) == [b"kept"] * 5
     payloads = [(r[1], r[0], bytes(r[3])) for r in rows if r[2] == 1]
-    want = R.answers_of(cls, [p for _, _, p in payloads])
+    want = cls([p for _, _, p in payloads]).final()
     assert {(r.block, r.bucket): bytes(r.payload) for r in got if r.phase == 1} == {(b, k): a for (b, k, _), a in zip(payloads, want)}
 
 
