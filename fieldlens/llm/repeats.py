@@ -38,6 +38,7 @@ BLOCK_BYTES = 6 << 20  # a worker needs about 30 times as much memory; raise it
 FANOUT = 256  # rows a block or router sends in a round, and blocks or routers one router serves
 ROWS = "bucket long, block int, phase int, payload binary"
 CARRIED = -1  # phase of the row that carries a block's earlier answers
+STATE = 1 << 20  # what a block remembers instead of them, as if it were an answer
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -422,7 +423,8 @@ def run_rounds(
     """``ask[r](texts, answers)`` yields (range, payload) of the kind ``kinds[r]``; ``finish(texts, answers)`` gives the result
     table of a block. ``answers[r]`` is range -> answer.
 
-    Answers of earlier rounds travel with the questions of the next one, so every round is read once.
+    Answers of earlier rounds travel with the questions of the next one, so every round is read once. A question (``STATE``, bytes) replaces
+    them: later rounds find the bytes as ``answers[STATE][0]``.
     """
     ship_package(docs.sparkSession)
     at = F.pmod(F.xxhash64(id_col, text), F.lit(blocks)).cast("int")
@@ -439,7 +441,11 @@ def run_rounds(
         def run(key, left: pa.Table, right: pa.Table | None = None) -> pa.Table:
             got = sorted_answers(right) if right is not None else {}
             block = key[0].as_py()
-            rows = [(b, block, r, p) for b, p in (ask[r](Texts(left, "__order", text), got) if left.num_rows else [])]
+            asks = list(ask[r](Texts(left, "__order", text), got)) if left.num_rows else []
+            rows = [(b, block, r, p) for b, p in asks if b != STATE]
+            for b, p in asks:
+                if b == STATE:
+                    got = {STATE: {0: p}}
             if got:
                 rows.append((block, block, CARRIED, pack_answers(got)))
             return _payload_rows(rows)

@@ -188,37 +188,56 @@ class StripState:
     def __init__(self, texts: R.Texts, answers: dict, window: int, bits: int, buckets: int):
         self.cut = np.uint64(64 - bits)
         self.raw, self.ids, self.window = texts.raw, texts.ids, window
-        first, n, _, gram, row = strips(texts.raw, texts.offsets, window)
+        if R.STATE in answers:
+            self._recall(answers[R.STATE][0])
+        else:
+            self._find(texts, answers, bits, buckets)
+            if 1 not in answers:
+                return
+        first, n = self.mixed
+        self.at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        self.at_row = np.repeat(np.searchsorted(texts.offsets, first, "right") - 1, n)
+        self.suffixes = q = R.Question(
+            span_hashes(self.raw, self.at, self.at + window, 0) >> self.cut, self.at_row,
+            span_hashes(self.raw, self.at, self.at + window, 1),
+        )
+        if 2 in answers:
+            self.shared = np.flatnonzero(R.read_bits(q, answers[2], bits, buckets))
+            self.shared_keys = q.keys[self.shared]
+
+    def _find(self, texts: R.Texts, answers: dict, bits: int, buckets: int) -> None:
+        """Strips, as far as the answers go: ``whole`` ones that repeat an earlier one, ``mixed`` ones whose suffixes count."""
+        first, n, _, gram, row = strips(texts.raw, texts.offsets, self.window)
         anchor = R.mix(gram ^ np.uint64(0x5851F42D4C957F2D)) >> self.cut  # anchors are small hashes: spread them again
         self.anchors = R.Question(anchor, row)
         if 0 not in answers:
             return
         keep = R.read_bits(self.anchors, answers[0], bits, buckets)[self.anchors.entry]
-        self.first, self.n, self.row, self.anchor = first[keep], n[keep], row[keep], anchor[keep]
-        end = self.first + self.n + window - 1
-        self.strip = span_hashes(self.raw, self.first, end, 0)
-        self.equal = R.Question(self.strip >> self.cut, self.row, span_hashes(self.raw, self.first, end, 1))
-        self.varied = R.Question(self.anchor, np.arange(len(self.anchor)))
+        first, n, row, anchor = first[keep], n[keep], row[keep], anchor[keep]
+        end = first + n + self.window - 1
+        self.strip = span_hashes(self.raw, first, end, 0)
+        self.equal = R.Question(self.strip >> self.cut, row, span_hashes(self.raw, first, end, 1))
+        self.varied = R.Question(anchor, np.arange(len(anchor)))
         if 1 not in answers:
             return
         pairs = {b: R.unpack_two(a) for b, a in answers[1].items()}
         q = self.equal
         later = R.read_bits(q, {b: a for b, (a, _) in pairs.items()}, bits, buckets)
-        self.later = later[q.entry] | (self.ids[self.row] > self.ids[q.first][q.entry])
-        q = self.varied
-        several = R.read_bits(q, {b: a for b, (_, a) in pairs.items()}, bits, buckets)[q.entry]
-        mixed = np.flatnonzero(~self.later & several)
-        n = self.n[mixed]
-        self.at = np.repeat(self.first[mixed], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        self.at_row = np.repeat(self.row[mixed], n)
-        self.suffixes = q = R.Question(
-            span_hashes(self.raw, self.at, self.at + window, 0) >> self.cut, self.at_row,
-            span_hashes(self.raw, self.at, self.at + window, 1),
-        )
-        if 2 not in answers:
-            return
-        self.shared = np.flatnonzero(R.read_bits(q, answers[2], bits, buckets))
-        self.shared_keys = q.keys[self.shared]
+        later = later[q.entry] | (self.ids[row] > self.ids[q.first][q.entry])
+        several = R.read_bits(self.varied, {b: a for b, (_, a) in pairs.items()}, bits, buckets)[self.varied.entry]
+        self.whole, self.mixed = (first[later], n[later]), (first[~later & several], n[~later & several])
+
+    def remembered(self) -> bytes:
+        """What later rounds need of the strips."""
+        parts = [R.pack_keys(first.astype(np.uint64)) + zstandard.compress(n.astype("<u2").tobytes(), 1) for first, n in (self.whole, self.mixed)]
+        return R.pack_two(*parts)
+
+    def _recall(self, data: bytes) -> None:
+        out = []
+        for part in R.unpack_two(data):
+            first, at = R.unpack_keys(part)
+            out.append((first.astype(np.int64), np.frombuffer(zstandard.decompress(part[at:]), "<u2").astype(np.int64)))
+        self.whole, self.mixed = out
 
     def strings(self) -> np.ndarray:
         """The bytes of the shared suffixes, one row each."""
@@ -247,7 +266,9 @@ def dedup(
             R.first_payloads(s.equal, texts.ids, bits, cuts), _variety_payloads(s.varied, s.strip, bits, cuts))
 
     def ask_suffixes(texts, answers):
-        return R.presence_payloads(state(texts, answers, 2).suffixes, texts.ids, bits, cuts)
+        s = state(texts, answers, 2)
+        yield R.STATE, s.remembered()
+        yield from R.presence_payloads(s.suffixes, texts.ids, bits, cuts)
 
     def ask_factors(texts, answers):
         s = state(texts, answers, 3)
@@ -264,7 +285,7 @@ def dedup(
         later = np.zeros(len(q.keys), bool)
         later[s.shared] = R.bits_of(s.shared_keys, answers.get(3, {}), bits, cuts)
         hit = later[q.entry] | (s.ids[s.at_row] > s.ids[q.first][q.entry])
-        whole, n = s.first[s.later], s.n[s.later]
+        whole, n = s.whole
         runs = np.repeat(whole, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         removed = R.cover(np.concatenate([runs, s.at[hit]]), len(s.raw), window)
         edge = removed.copy()
