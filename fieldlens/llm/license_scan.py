@@ -46,8 +46,8 @@ def _creative_commons(short: str, long: str) -> list[str]:
         for v in CC_VERSIONS
         for form in (
             f"This work is licensed under a Creative [Commons {long} {v}].0 International License",
-            f"Licensed under CC [{short} {v}].0",
-            f"SPDX-License-Identifier: CC-[{short} {v}].0",
+            f"Licensed under [CC {short} {v}].0",
+            f"SPDX-License-Identifier: [CC-{short} {v}].0",
         )
     ]
 
@@ -60,7 +60,7 @@ TEMPLATES = {
     ],
     "apache-2.0": [
         "Licensed under the [Apache] License, Version 2.0",
-        "you [may not use this file] except in compliance with the License",
+        "you may not [use this file except] in compliance with the License",
         "distributed under the License is distributed on an [AS IS BASIS], WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
         "SPDX-License-Identifier: [Apache]",
     ],
@@ -186,6 +186,15 @@ def features(templates: list[Template]) -> list[tuple[str, str]]:
     return sorted(own.union(DENIALS, *(t.pairs | t.keys for t in templates)))
 
 
+def triggers(templates: list[Template]) -> list[str]:
+    """One word of every template's distinguishing phrases, the one the fewest families use: without any, nothing is confirmed."""
+    families: dict[str, set[str]] = {}
+    for t in templates:
+        for w in t.words:
+            families.setdefault(w, set()).add(t.family)
+    return sorted({min({w for g in t.keys for w in g if w}, key=lambda w: (len(families[w]), -len(w), w)) for t in templates})
+
+
 @dataclass
 class Model:
     families: list[str]  # with the unknown class last
@@ -311,23 +320,21 @@ def sample_paragraphs(
     reach = max((len(t.words) for t in forms), default=0)
     picked = []
     for ends in (False, True):
-        lines = docs.select(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("lines"))
-        worded = lambda x: x.rlike("[\\p{L}\\p{N}]")
-        after = lambda i: F.get("lines", i + 1) if ends else F.lit("")
-        keyed = F.transform("lines", lambda x, i: F.struct(F.xxhash64(x, after(i)).alias("h"), i.alias("i")))
-        hashes = lines.select("lines", F.filter(
-            keyed, lambda u: worded(F.get("lines", u["i"])) & (F.coalesce(worded(after(u["i"])), F.lit(False)) if ends else F.lit(True))
-        ).alias("units"))
-        # Only hashes are shuffled to find the limit; words are cut for the few texts below it.
-        limit = hashes.select(F.explode("units.h").alias("h")).distinct().orderBy("h").limit(max_paragraphs).agg(F.max("h")).first()[0]
+        lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+        after = F.slice(lines, 2, F.size(lines))
+        worded = lambda x: F.coalesce(x.rlike("[\\p{L}\\p{N}]"), F.lit(False))
+        pairs = F.zip_with(lines, after if ends else F.transform(lines, lambda x: F.lit("")), lambda x, y: F.struct(x.alias("line"), y.alias("next")))
+        pairs = F.filter(pairs, lambda u: worded(u["line"]) & (worded(u["next"]) if ends else F.lit(True)))
+        keyed = docs.select(F.transform(pairs, lambda u: F.struct(F.xxhash64(u["line"], u["next"]).alias("h"), u["line"].alias("line"), u["next"].alias("next"))).alias("units"))
+        # Only hashes are shuffled to find the limit; words are cut for the few texts below it. An inner explode would infer a filter
+        # that computes its array a second time.
+        hashes = keyed.select(F.explode_outer("units.h").alias("h")).where(F.col("h").isNotNull())
+        limit = hashes.distinct().orderBy("h").limit(max_paragraphs).agg(F.max("h")).first()[0]
         if limit is None:
             continue
-        few = hashes.select("lines", F.explode(F.filter("units", lambda u: u["h"] <= limit)).alias("u"))
+        few = keyed.select(F.explode_outer(F.filter("units", lambda u: u["h"] <= limit)).alias("u")).where(F.col("u").isNotNull())
         cut = lambda x: F.array_remove(F.split(F.lower(x), SEPARATORS, -1), "")
-        ws = few.select(
-            F.col("u.h").alias("h"), cut(F.get("lines", F.col("u.i"))).alias("ws"),
-            cut(F.coalesce(F.get("lines", F.col("u.i") + 1), F.lit(""))).alias("next"),
-        )
+        ws = few.select(F.col("u.h").alias("h"), cut(F.col("u.line")).alias("ws"), cut(F.coalesce("u.next", F.lit(""))).alias("next"))
         if ends:
             ws = ws.withColumn("ws", F.concat(F.slice("ws", F.greatest(F.size("ws") - (reach - 1), F.lit(1)), reach), F.slice("next", 1, reach)))
         own = F.array_intersect(
@@ -365,23 +372,30 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "tex
     table = F.broadcast(weights.unionByName(bias))
     own = docs.select(F.col(id_col).alias("doc_id"), _blocks(F.col(text)).alias("blocks"), F.monotonically_increasing_id().alias("__row"))
     own = own.select("doc_id", "__row", F.posexplode_outer("blocks").alias("block", "lines"))
-    own = own.withColumn("heads", _heads(F.col("lines"), model.longest))
+    # A template is confirmed only where all its distinguishing phrases are, so only units with one of their words are scored. The others are
+    # counted: every block has a unit at no place, which carries its lines.
+    words = F.array(*[F.lit(w) for w in triggers(model.templates)])
+    own = own.withColumn("told", F.exists("lines", lambda ws: F.arrays_overlap(ws, words)))
+    own = own.withColumn("heads", F.when(F.col("told"), _heads(F.col("lines"), model.longest)))
     # Lines have the places 0, 1, ..., the words around their ends -1, -2, ...
-    units = F.concat(
-        F.transform("lines", lambda ws, i: F.struct(i.alias("pos"), ws.alias("ws"))),
-        F.transform(_around_line_ends(F.col("lines"), F.col("heads"), model.longest), lambda ws, i: F.struct((-1 - i).alias("pos"), ws.alias("ws"))),
+    unit = lambda pos, ws, count: F.struct(pos.alias("pos"), ws.alias("ws"), count.alias("count"))
+    scored = F.concat(
+        F.transform("lines", lambda ws, i: unit(i, ws, F.lit(0))),
+        F.transform(_around_line_ends(F.col("lines"), F.col("heads"), model.longest), lambda ws, i: unit(-1 - i, ws, F.lit(0))),
     )
+    counted = F.array(unit(F.lit(None).cast("int"), F.array().cast("array<string>"), F.coalesce(F.array_size("lines"), F.lit(0))))
+    units = F.when(F.col("told"), F.concat(counted, F.filter(scored, lambda u: F.arrays_overlap(u["ws"], words)))).otherwise(counted)
     own = own.select("doc_id", "__row", "block", F.explode_outer(units).alias("unit"))
-    ws = F.coalesce("unit.ws", F.array().cast("array<string>"))
-    grams = own.select("doc_id", "__row", "block", F.col("unit.pos").alias("pos"), ws.alias("ws")).select(
-        "doc_id", "__row", "block", "pos", F.size("ws").alias("n_words"),
-        F.explode(F.array_distinct(F.concat(
+    # An inner explode would infer a filter that computes the n-grams a second time.
+    grams = own.select("doc_id", "__row", "block", F.col("unit.pos").alias("pos"), F.col("unit.count").alias("count"), F.col("unit.ws").alias("ws")).select(
+        "doc_id", "__row", "block", "pos", "count", F.size("ws").alias("n_words"),
+        F.explode_outer(F.array_distinct(F.concat(
             F.array(F.lit(0).cast("long")),
             F.transform("ws", lambda w: F.xxhash64(w, F.lit(""))),
-            F.transform("ws", lambda w, i: F.xxhash64(w, F.get("ws", i + 1))),
+            F.zip_with("ws", F.slice("ws", 2, F.greatest(F.size("ws"), F.lit(1))), lambda w, v: F.xxhash64(w, v)),
         ))).alias("gram"),
     )
-    sums = grams.join(table, "gram").groupBy("doc_id", "__row", "block", "pos", "n_words").agg(
+    sums = grams.join(table, "gram").groupBy("doc_id", "__row", "block", "pos", "count", "n_words").agg(
         *[F.sum(f"w{k}").alias(f"w{k}") for k in range(n)], *[F.sum(f"m{k}").alias(f"m{k}") for k in range(slots)]
     )
     top = F.greatest(*[F.col(f"w{k}") for k in range(n)])
@@ -410,7 +424,7 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "tex
     names = F.array(*[F.lit(f) for f in model.families[:-1]])
     hit = F.struct(F.col("p"), (-F.col("k")).alias("k"))
     judged = judged.select(
-        "doc_id", "__row", (F.col("pos") >= 0).cast("long").alias("one"),
+        "doc_id", "__row", F.col("count").cast("long").alias("one"),
         F.when(found & (F.col("pos") >= 0), hit).alias("hit"),
         F.when(found & (F.col("pos") >= 0), F.struct("block", -F.col("k"))).alias("place"),
         F.when(found & (F.col("pos") < 0), F.struct("block", -F.col("k"))).alias("wrapped_place"),

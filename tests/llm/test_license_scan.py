@@ -1,9 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from fieldlens.llm.license_scan import TEMPLATES, features, fit, read_templates, sample_paragraphs, scan
+from fieldlens.llm.license_scan import DENIALS, MIN_MATCH_PCT, TEMPLATES, features, fit, read_templates, sample_paragraphs, scan
 from fieldlens.llm.queries import QUERIES
 
 LINES = {
@@ -177,3 +178,48 @@ def test_query_finds_the_lines_of_the_corpus(spark, sf):
         held = sorted({f for f, line in LINES.items() if line in lines})
         assert got[d.doc_id].families == ",".join(held), (d.doc_id, held, got[d.doc_id])
         assert got[d.doc_id].n_paragraphs == sum(bool(re.search(r"[^\W_]", x)) for x in lines)
+
+
+def test_scan_equals_plain_scoring_of_all_units(spark):
+    rng = random.Random(21)
+    model = fit([plain_text(rng, rng.randint(3, 40)) for _ in range(600)])
+    known, column = set(model.grams), {g: k for k, g in enumerate(model.grams)}
+    pool = [t for ts in [*HELD_OUT.values(), *TEMPLATES.values()] for t in ts] + NO_LICENSE
+
+    def words(x):
+        return [w for w in re.split(r"[\W_]+", x.lower()) if w]
+
+    def judge(ws):
+        own = ({(w, "") for w in ws} | set(zip(ws, ws[1:]))) & known
+        z = model.bias.astype(float) + sum((model.weights[column[g]].astype(float) for g in own), np.zeros(len(model.families)))
+        p = np.exp(z - z.max())
+        k = int((p / p.sum())[:-1].argmax())
+        family, sure = model.families[k], (p / p.sum())[k] >= model.threshold
+        told = any(t.family == family and t.holds(own, MIN_MATCH_PCT) and len(ws) <= (t.most_words or len(ws)) for t in model.templates)
+        return family if sure and told and not own & set(DENIALS) else None
+
+    def brute(text):
+        found, n = [], 0
+        for block in re.split(r"\n[\W_]*?(?=\n)", text):
+            lines = [ws for ws in map(words, block.split("\n")) if ws]
+            n += len(lines)
+            plain = [f for f in map(judge, lines) if f]
+            around = set()
+            for i in range(len(lines) - 1):
+                rest = [w for ws in lines[i + 1 :] for w in ws]
+                around.add(judge(lines[i][-model.longest :] + rest[: model.longest]))
+            found += plain + sorted(around - set(plain) - {None})
+        return n, len(found), ",".join(sorted(set(found)))
+
+    texts = []
+    for _ in range(150):
+        lines = []
+        for _ in range(rng.randint(1, 8)):
+            line = rng.choice([plain_text(rng, rng.randint(1, 25)), rng.choice(pool), "", " - "])
+            cut = rng.randrange(len(line) + 1)
+            lines += [line[:cut] + "\n" + line[cut:] if rng.random() < 0.4 and " " in line else line]
+        texts.append("\n".join(lines))
+    got = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    want = {k: brute(t) for k, t in enumerate(texts)}
+    assert {r.doc_id: (r.n_paragraphs, r.n_license, r.families) for r in got} == want
+    assert sum(n > 0 for _, n, _ in want.values()) > 50
