@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Stored rows, or none where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def has_rows(spark: SparkSession, path: str) -> bool:
     """Whether a partitioned table holds any data file (an empty one has no schema to read)."""
     jvm = spark.sparkContext._jvm

@@ -1,6 +1,7 @@
 """The offline sample with a known answer, as tables: 6 new buildings, 5 known sites, 4 of them at buildings."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +165,63 @@ def test_feed_and_latest(spark, tmp_path):
     assert spark.read.schema("run_id string").parquet(str(tmp_path / "feed2")).count() == 0
 
 
+def test_latest_keeps_its_first_start(spark, tmp_path):
+    topic, since = tmp_path / "t", str(tmp_path / "since")
+
+    def event(run):
+        return [{"type": "dossiers.ready", "ts": "2024-01-01T00:00:00Z", "run_id": run}]
+
+    def go():
+        q = WK.start_feed(EV.read_topic(spark, str(topic), "latest", since_path=since), str(tmp_path / "feed"), str(tmp_path / "c"), once=True)
+        q.awaitTermination(120)
+        return sorted(r.run_id for r in spark.read.schema("run_id string").parquet(str(tmp_path / "feed")).collect())
+
+    write_events(topic, "old.json", event("old"))
+    os.utime(topic / "old.json", (1.7e9, 1.7e9))
+    assert go() == []
+    first = EV.first_start(spark, since)
+    write_events(topic, "down.json", event("down"))  # comes while no reader is up
+    assert go() == ["down"] and EV.first_start(spark, since) == first
+    write_events(topic, "next.json", event("next"))
+    assert go() == ["down", "next"]
+
+
+def test_worker_remembers_handled_events_in_a_table(spark, tmp_path):
+    topic, handled, seen = tmp_path / "topic", str(tmp_path / "handled"), []
+
+    def event(run, ts="2024-05-01T00:00:00Z"):
+        return {"type": "detection.completed", "ts": ts, "run_id": run}
+
+    def go(name, rows, days=None, process=lambda sp, runs: seen.append(sorted(runs))):
+        write_events(topic, name, rows)
+        events = EV.read_topic(spark, str(topic))
+        q = WK.start_worker(events, process, str(tmp_path / "ready"), str(tmp_path / "dead"), str(tmp_path / "c"), True, handled, days)
+        q.awaitTermination(120)
+        assert q.exception() is None and not q.lastProgress["stateOperators"]
+
+    go("1.json", [event("a"), event("a"), event("b", None)])
+    assert seen == [["a", "b"]]
+    go("2.json", [event("a"), event("b", None), event("c", "2001-01-01T00:00:00Z")])  # repeated, and one far behind the others
+    assert seen[1:] == [["c"]]
+    go("3.json", [event("a", "2024-05-02T00:00:00Z")])  # the run once more
+    assert seen[2:] == [["a"]]
+    # what was handled long ago is no longer read
+    spark.sql("SELECT 'z' run_id, timestamp'2024-05-01 00:00:00' ts, date'2020-01-01' day").write.mode("append").partitionBy("day").parquet(handled)
+    batch = spark.sql("SELECT 'z' run_id, timestamp'2024-05-01 00:00:00' ts")
+    assert WK.unhandled(batch, handled).count() == 0 and WK.unhandled(batch, handled, 30).count() == 1
+    # a batch that breaks off before its events are remembered is done again
+    def broken(new, path):
+        raise RuntimeError("lost")
+
+    keep, WK.remember = WK.remember, broken
+    try:
+        with pytest.raises(RuntimeError):
+            WK.process_new(spark.createDataFrame([("d", None)], "run_id string, ts timestamp"), 9, lambda sp, runs: seen.append(runs), str(tmp_path / "ready"), str(tmp_path / "dead"), handled)
+    finally:
+        WK.remember = keep
+    assert WK.unhandled(spark.createDataFrame([("d", None)], "run_id string, ts timestamp"), handled).count() == 1
+
+
 def test_imagery_watcher(spark, tmp_path):
     src = tmp_path / "manifests"
     got = []
