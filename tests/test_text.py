@@ -241,3 +241,64 @@ def test_documents(spark):
     e = empty.select("d", DO.statutes_block(F.col("citations")).alias("st"), DO.facts_block(80.0).alias("facts"), DO.violated_law(F.col("d")).alias("law")).first()
     assert len(e.d.evidence) == 2 and e.d.confidence_label == "low" and e.st == "(no statute excerpts retrieved)" and e.law == ""
     assert e.facts.endswith("corroboration: none")
+
+
+@pytest.mark.parametrize("limit", [1000, 20000])
+def test_a_batch_goes_out_in_pieces(limit, monkeypatch):
+    """What a worker gives out at once is bounded by characters, not by the rows of an Arrow batch."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(RT, "_PIECE_CHARS", limit)
+    texts = ["aa bb", None, "", "x" * 50_000, *["some words of a text"] * 3000]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    parts = list(RT._pieces([batch], "text"))
+    assert [i for part, _ in parts for i in part.column("id").to_pylist()] == list(range(len(texts)))
+    assert [t for _, own in parts for t in own] == texts
+    assert all(len(own) == 1 or sum(len(t or "") for t in own) <= limit for _, own in parts) and len(parts) >= 3000 * 20 / limit
+
+
+def test_words_learnt_together_equal_definition(monkeypatch):
+    monkeypatch.setattr(RT, "_WORD_MEMO", 3)
+    texts = ["a bb ccc", "x\x00 \x00\x00 y", "農地 上 新增 𝔘𝔫𝔦 é", "", None, "İstanbul ß a bb", "ccc ccc bb"]
+    table = RT.GramTable()
+    for group in (texts, texts[::-1], texts[2:5]):
+        rows = list(table.rows(group))
+        names = list(table.index)
+        assert [{names[i]: k for i, k in zip(*r)} for r in rows] == [grams_by_definition(t or "") for t in group]
+    closed = RT.GramTable({" a": 0, "bb": 1, "農地": 2})
+    assert [dict(zip(i.tolist(), k.tolist())) for i, k in closed.rows(texts)] == [
+        {c: grams_by_definition(t or "")[g] for g, c in closed.index.items() if g in grams_by_definition(t or "")} for t in texts]
+    many = "".join(map(chr, range(0x10000, 0x10000 + 66000)))  # more characters than fit a key of four
+    assert RT.gram_counts(many) == grams_by_definition(many)
+
+
+def test_item_blocks_are_texts_and_row_groups_small(spark):
+    """Blocks hold texts, not vectors, and a reader never loads more than a few of them at once."""
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 3000)) for _ in range(64)]
+    df = docs(spark, texts).withColumnRenamed("id", "item_id").coalesce(1)
+    blocks = TK.pack_texts(df.crossJoin(spark.range(200).select("id")).select("item_id", "text").coalesce(1), "item_id", TK.ITEM_TEXT_BYTES, "test_blocks")
+    at = blocks.inputFiles()[0].removeprefix("file:").replace("///", "/")
+    meta = pq.ParquetFile(at).metadata
+    assert blocks.count() > 30 and max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) < 80 << 20
+    assert blocks.selectExpr("max(aggregate(texts, 0L, (s, t) -> s + octet_length(t))) AS n").first().n <= TK.ITEM_TEXT_BYTES
+
+
+def test_products_of_a_block_equal_the_definition():
+    rng = np.random.default_rng(12)
+    n, terms, width = 40, 30, 5
+    tf = rng.integers(0, 3, (n, terms)) * (rng.random((n, terms)) < np.linspace(0.02, 0.9, terms))
+    tf[7] = 0
+    idf, m = 1 + rng.random(terms), rng.normal(size=(terms, width))
+    a = tf * idf
+    a = a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
+    own, cols = np.nonzero(tf)
+    z = np.zeros((terms, width))
+    for products in (1, 1 << 22):
+        RT._PRODUCTS, kept = products, RT._PRODUCTS
+        z[:] = 0
+        RT._add_products(z, m, idf, np.cumsum(np.bincount(own, minlength=n)), cols, tf[own, cols])
+        RT._PRODUCTS = kept
+        assert np.allclose(z, a.T @ (a @ m), atol=1e-12)
