@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import geometry as G
 from fieldlens.functions.projection import WGS84, project_many, project_ring
-from fieldlens.session import BROADCAST_LIMIT_BYTES, cut_lineage
+from fieldlens.session import BROADCAST_LIMIT_BYTES, cut_lineage, spread_by
 
 BOX = ("minx", "miny", "maxx", "maxy")
 
@@ -53,7 +53,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, on: list[str], cell: floa
         & (c("r_miny") <= c("l_maxy"))
     )
     once = (c("cx") == F.floor(x / cell)) & (c("cy") == F.floor(y / cell))
-    return lhs.join(rhs, [*on, "cx", "cy"]).where(meets & once).drop("cx", "cy")
+    return spread_by(lhs, *on, "cx", "cy").join(rhs, [*on, "cx", "cy"]).where(meets & once).drop("cx", "cy")
 
 
 def common_box(pairs: DataFrame) -> DataFrame:
@@ -181,8 +181,11 @@ def _point_tree(points: DataFrame, on: list[str], leaf: int):
     nodes = under.where("level = 0").unionByName(under.join(heavy, [*on, "level", "up_x", "up_y"], "left_semi"))
     nodes = cut_lineage(nodes.withColumn("is_leaf", F.expr(f"n <= {leaf} OR level = {_MAX_LEVEL}")))
     stats = nodes.agg(F.count("*").alias("n"), F.max("level").alias("depth")).first()
-    leaves = nodes.where("is_leaf").select(*on, "level", "ix", "iy")
-    held = placed.join(leaves, [*on, "level", "ix", "iy"])
+    cell = [*on, "level", "ix", "iy"]
+    # The points of a leaf in one row; only leaves of the last level hold more than ``leaf`` and are cut into parts.
+    held = placed.join(nodes.where("is_leaf").select(*cell, "n"), cell)
+    part = F.pmod(F.xxhash64("px", "py"), F.greatest(F.lit(1), F.expr(f"n div {leaf}")))
+    held = held.groupBy(*cell, part.alias("part")).agg(F.collect_list(F.struct("pid", "px", "py")).alias("points")).drop("part")
     return nodes, held, stats, (box.x0, box.y0), sizes
 
 
@@ -240,10 +243,18 @@ def nearest_point(
         )
         frontier = pruned(frontier.where(f"NOT (level = {n - 1} AND NOT is_leaf)").unionByName(opened))
     found = frontier.join(F.broadcast(held) if small else held, [*on, "level", "ix", "iy"])
-    dx = F.greatest(F.lit(0.0), c("px") - c("maxx"), c("minx") - c("px"))
-    dy = F.greatest(F.lit(0.0), c("py") - c("maxy"), c("miny") - c("py"))
-    d2 = distance_sq() if distance_sq is not None else dx * dx + dy * dy
-    best = found.groupBy(*key).agg(F.min(F.struct(d2.alias("d2"), c("pid"), c("px"), c("py"))).alias("best"))
+
+    def measured(p: Column) -> Column:
+        dx = F.greatest(F.lit(0.0), p["px"] - c("maxx"), c("minx") - p["px"])
+        dy = F.greatest(F.lit(0.0), p["py"] - c("maxy"), c("miny") - p["py"])
+        return F.struct((dx * dx + dy * dy).alias("d2"), p["pid"].alias("pid"), p["px"].alias("px"), p["py"].alias("py"))
+
+    # One row per geometry and leaf goes on, not one per point: the aggregate of a struct sorts its rows.
+    if distance_sq is None:
+        found = found.select(*key, F.array_min(F.transform("points", measured)).alias("best"))
+    else:
+        found = found.select("*", F.inline("points")).select(*key, F.struct(distance_sq().alias("d2"), c("pid"), c("px"), c("py")).alias("best"))
+    best = spread_by(found, *key).groupBy(*key).agg(F.min("best").alias("best"))
     return left.join(best.select(*key, "best.pid", "best.px", "best.py", "best.d2"), key, "left")
 
 

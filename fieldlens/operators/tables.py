@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlens.session import spread_by
+
 
 def collapse_batch(batch: DataFrame, key: list[str], update_cols: list[str], pos: str) -> DataFrame:
     """One row per key: inserted columns from its first occurrence, updated columns from its last."""
@@ -108,11 +110,11 @@ def row_count(spark: SparkSession, name: str, path: str | None = None) -> DataFr
 
 def cascade_delete(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
     """Children whose parent still exists."""
-    return children.join(parents.select(*keys).distinct(), keys, "left_semi")
+    return spread_by(children, *keys).join(parents.select(*keys), keys, "left_semi")
 
 
 def null_missing_reference(children: DataFrame, parents: DataFrame, column: str) -> DataFrame:
     """Children with ``column`` set to null where the parent row is gone."""
     alive = parents.select(F.col(column).alias("__ref")).distinct()
-    joined = children.join(alive, F.col(column) == F.col("__ref"), "left")
+    joined = spread_by(children, column).join(alive, F.col(column) == F.col("__ref"), "left")
     return joined.withColumn(column, F.when(F.col("__ref").isNotNull(), F.col(column))).drop("__ref").select(children.columns)

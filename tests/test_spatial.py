@@ -142,3 +142,31 @@ def test_latest_by(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 3, 2), ("a", 3, 4), ("b", 2, 0)], "k string, ts long, v long")
     assert {r.k: r.v for r in K.latest_by(df, ["k"], "ts", ["v"]).collect()} == {"a": 4, "b": 0}
     assert K.latest_by(df, [], "ts", ["v"]).first().v == 4
+
+
+def test_nearest_point_gives_out_no_row_per_point(spark):
+    """One row per geometry and leaf reaches the sort of the aggregate, however many points a leaf holds."""
+    pts = spark.range(60).selectExpr("'a' AS aoi", "id AS pid", "cast(id AS double) AS px", "cast(id % 7 AS double) AS py")
+    left = spark.range(500).selectExpr("'a' AS aoi", "id AS lid", "id / 10D AS minx", "2D AS miny", "id / 10D + 1 AS maxx", "3D AS maxy")
+    near = SP.nearest_point(left, pts, ["aoi"], ["lid"])
+    assert near.count() == 500
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan.split("Repartition", 1)[0] and "array_min" in plan
+
+
+def test_nearest_point_in_a_leaf_of_very_many_points(spark):
+    """Points so close that no level parts them are dealt out to rows of bounded size."""
+    pts = spark.range(2000).selectExpr("'a' AS aoi", "2000 - id AS pid", "cast(id AS double) * 1e-12D AS px", "0D AS py")
+    pts = pts.unionByName(spark.createDataFrame([("a", 9999, 1000.0, 1000.0)], "aoi string, pid long, px double, py double"))
+    left = spark.createDataFrame([("a", 1, -2.0, 0.0, -1.0, 0.0), ("a", 2, 1.0, 0.0, 2.0, 0.0)], "aoi string, lid long, minx double, miny double, maxx double, maxy double")
+    _, held, _, _, _ = SP._point_tree(pts, ["aoi"], 64)
+    assert held.selectExpr("max(size(points)) AS n").first().n < 200
+    assert {r.lid: r.pid for r in SP.nearest_point(left, pts, ["aoi"], ["lid"]).collect()} == {1: 2000, 2: 1}
+
+
+def test_partitions_of_pairs_are_kept(spark):
+    """Rows that compress well are not merged to a few large tasks after the shuffle."""
+    box = spark.range(20000).selectExpr("'a' AS aoi", "id AS lid", "id % 100 * 10D AS minx", "id div 100 * 10D AS miny", "id % 100 * 10D + 3 AS maxx", "id div 100 * 10D + 3 AS maxy")
+    found = SP.candidate_pairs(box, box.withColumnRenamed("lid", "rid"), ["aoi"], 10.0)
+    assert found.count() == 20000
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
