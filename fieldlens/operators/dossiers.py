@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions.scalars import confidence_class, corroborated, fixed
 from fieldlens.operators import wording as T
 from fieldlens.operators.ranking import top_per_group
+from fieldlens.session import spread_by
 
 
 def candidates(flagged: DataFrame, detections: DataFrame, limit: int = 12) -> DataFrame:
@@ -17,7 +18,7 @@ def candidates(flagged: DataFrame, detections: DataFrame, limit: int = 12) -> Da
     best = top_per_group(flagged, key, [F.desc_nulls_first("overlap_area_m2"), F.asc("parcel_id")], 1)
     taken = {c.lower() for c in best.columns}
     extra = [c for c in detections.columns if c.lower() not in taken]
-    joined = best.join(detections.select(*key, *extra), key)
+    joined = spread_by(best, *key).join(detections.select(*key, *extra), key)
     order = [F.desc(F.coalesce("confidence", F.lit(0.0))), F.asc("detection_id")]
     return top_per_group(joined, ["run_id", "aoi"], order, limit, "worklist_pos")
 

@@ -14,6 +14,7 @@ from fieldlens.operators import spatial as SP
 from fieldlens.plans import inputs as I
 from fieldlens.plans import oracle_inputs as O
 from fieldlens.plans.registry import query
+from fieldlens.session import spread_by
 from fieldlens.sources.parcels import farmland_stats, grid_parcels
 
 CRS = "EPSG:3826"
@@ -53,7 +54,7 @@ def flagged(spark, d):
     near = nearest(spark, d).select(
         "detection_id", F.col("pid").alias("matched_label_id"), local_distance().alias("distance_to_label_m")
     )
-    return pairs(spark, d).join(near, "detection_id", "left").select(
+    return spread_by(pairs(spark, d), "detection_id").join(near, "detection_id", "left").select(
         "run_id", "aoi", "detection_id", "parcel_id", "landcode", "sectname", "is_farmland", "confidence",
         "overlap_area_m2", "matched_label_id", "distance_to_label_m", "l_minx", "l_miny", "l_maxx", "l_maxy",
     )
