@@ -302,3 +302,18 @@ def test_products_of_a_block_equal_the_definition():
         RT._add_products(z, m, idf, np.cumsum(np.bincount(own, minlength=n)), cols, tf[own, cols])
         RT._PRODUCTS = kept
         assert np.allclose(z, a.T @ (a @ m), atol=1e-12)
+
+
+def test_only_a_piece_of_a_batch_is_made_to_strings(monkeypatch):
+    """Texts are made Python objects piece by piece, so a worker's memory does not grow with the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(RT, "_PIECE_CHARS", 100_000)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(400)), "text": ["農" + "x" * 19_999] * 400})
+    tracemalloc.start()
+    assert sum(len(own) for _, own in RT._pieces([batch], "text")) == 400
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2_000_000  # all texts at once: 16 MB
