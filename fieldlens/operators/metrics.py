@@ -24,10 +24,11 @@ def precision_recall(
     unrounded values; all three are rounded half to even.
     """
     key = ["run_id", "aoi"]
-    hit = F.when(corroborated(F.col("distance_to_label_m"), radius_m), F.col("detection_id"))
-    f = flagged.groupBy(*key).agg(
-        F.count_distinct("detection_id").alias("n_flagged_detections"),
-        F.count_distinct(hit).alias("n_true_positive_detections"),
+    # Once per detection first: two distinct counts would double the rows and shuffle them all.
+    hit = F.coalesce(corroborated(F.col("distance_to_label_m"), radius_m), F.lit(False))
+    each = flagged.where("detection_id IS NOT NULL").groupBy(*key, "detection_id").agg(F.max(hit).alias("hit"))
+    f = each.groupBy(*key).agg(
+        F.count("*").alias("n_flagged_detections"), F.count_if("hit").alias("n_true_positive_detections")
     )
     d = detections.groupBy(*key).agg(F.count("*").alias("n_detections"))
     lab = labels.groupBy("aoi").agg(F.count("*").alias("n_labels"))

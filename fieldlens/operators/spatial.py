@@ -185,7 +185,8 @@ def _point_tree(points: DataFrame, on: list[str], leaf: int):
     # The points of a leaf in one row; only leaves of the last level hold more than ``leaf`` and are cut into parts.
     held = placed.join(nodes.where("is_leaf").select(*cell, "n"), cell)
     part = F.pmod(F.xxhash64("px", "py"), F.greatest(F.lit(1), F.expr(f"n div {leaf}")))
-    held = held.groupBy(*cell, part.alias("part")).agg(F.collect_list(F.struct("pid", "px", "py")).alias("points")).drop("part")
+    held = held.groupBy(*cell, part.alias("part")).agg(F.sort_array(F.collect_list(F.struct("pid", "px", "py"))).alias("points")).drop("part")
+    held = held.withColumns({"xs": F.transform("points", lambda p: p["px"]), "ys": F.transform("points", lambda p: p["py"])})
     return nodes, held, stats, (box.x0, box.y0), sizes
 
 
@@ -210,6 +211,8 @@ def nearest_point(
     key = list(dict.fromkeys([*on, *left_key]))
     small = stats.n * 96 <= BROADCAST_LIMIT_BYTES
     extra = [c for c in left.columns if c not in (*key, *BOX)] if distance_sq is not None else []
+    # A broadcast tree leaves the rows where they are: dealt out by key once, they need no shuffle for the rounds, the fold and the last join.
+    left = spread_by(left, *key) if small else left
     slim = left.select(*key, *BOX, *extra)
     c = F.col
 
@@ -226,36 +229,36 @@ def nearest_point(
         ).withColumn("limit", F.min("far").over(Window.partitionBy(*key)))
         return bounded.where("near <= limit").drop("near", "far", "limit")
 
-    def level(n: int, names: list[str]) -> DataFrame:
-        at = nodes.where(c("level") == n).select(*on, *names)
-        return F.broadcast(at) if small else at
-
-    frontier = slim.join(level(0, ["level", "ix", "iy", "is_leaf"]), on) if on else slim.crossJoin(
-        F.broadcast(nodes.where("level = 0").select("level", "ix", "iy", "is_leaf"))
-    )
+    root = nodes.where("level = 0").select(*on, "level", "ix", "iy", "is_leaf")
+    frontier = slim.join(F.broadcast(root) if small else root, on) if on else slim.crossJoin(F.broadcast(root))
     for n in range(1, (stats.depth or 0) + 1):
-        below = level(n, ["level", "ix", "iy", "is_leaf", "up_x", "up_y"])
-        opened = (
-            frontier.where(f"level = {n - 1} AND NOT is_leaf")
-            .select(*key, *BOX, *extra, c("ix").alias("up_x"), c("iy").alias("up_y"))
-            .join(below, [*on, "up_x", "up_y"])
-            .drop("up_x", "up_y")
+        # A left join opens the cells of the level above and keeps the others: a union would read the rows twice a round.
+        below = nodes.where(c("level") == n).select(
+            *on, (c("level") - 1).alias("level"), c("up_x").alias("ix"), c("up_y").alias("iy"),
+            c("ix").alias("sub_x"), c("iy").alias("sub_y"), c("is_leaf").alias("sub_leaf"),
+        )
+        opened = frontier.join(F.broadcast(below) if small else below, [*on, "level", "ix", "iy"], "left").select(
+            *key, *BOX, *extra, F.when(c("sub_x").isNull(), c("level")).otherwise(n).alias("level"),
+            F.coalesce("sub_x", "ix").alias("ix"), F.coalesce("sub_y", "iy").alias("iy"), F.coalesce("sub_leaf", "is_leaf").alias("is_leaf"),
         )
-        frontier = pruned(frontier.where(f"NOT (level = {n - 1} AND NOT is_leaf)").unionByName(opened))
+        frontier = pruned(opened)
     found = frontier.join(F.broadcast(held) if small else held, [*on, "level", "ix", "iy"])
 
-    def measured(p: Column) -> Column:
-        dx = F.greatest(F.lit(0.0), p["px"] - c("maxx"), c("minx") - p["px"])
-        dy = F.greatest(F.lit(0.0), p["py"] - c("maxy"), c("miny") - p["py"])
-        return F.struct((dx * dx + dy * dy).alias("d2"), p["pid"].alias("pid"), p["px"].alias("px"), p["py"].alias("py"))
+    def gap(low: str, high: str):
+        return lambda v: F.greatest(F.lit(0.0), v - c(high), c(low) - v)
 
-    # One row per geometry and leaf goes on, not one per point: the aggregate of a struct sorts its rows.
+    # One row per geometry and leaf goes on, not one per point: the aggregate of a struct sorts its rows. Each gap is worked out once a point;
+    # points are in order of their id, so the first at the least distance is the one of the smallest id.
     if distance_sq is None:
-        found = found.select(*key, F.array_min(F.transform("points", measured)).alias("best"))
+        gaps = F.zip_with(F.transform("xs", gap("minx", "maxx")), F.transform("ys", gap("miny", "maxy")), lambda a, b: a * a + b * b)
+        found = found.select(*key, "points", gaps.alias("gaps")).withColumn("d2", F.array_min("gaps"))
+        first = F.element_at("points", F.array_position("gaps", c("d2")).cast("int"))
+        found = found.select(*key, F.struct("d2", first.alias("p")).alias("best"))
     else:
-        found = found.select("*", F.inline("points")).select(*key, F.struct(distance_sq().alias("d2"), c("pid"), c("px"), c("py")).alias("best"))
-    best = spread_by(found, *key).groupBy(*key).agg(F.min("best").alias("best"))
-    return left.join(best.select(*key, "best.pid", "best.px", "best.py", "best.d2"), key, "left")
+        at = F.struct("pid", "px", "py").alias("p")
+        found = found.drop("xs", "ys").select("*", F.inline("points")).select(*key, F.struct(distance_sq().alias("d2"), at).alias("best"))
+    best = (found if small else spread_by(found, *key)).groupBy(*key).agg(F.min("best").alias("best"))
+    return left.join(best.select(*key, "best.p.pid", "best.p.px", "best.p.py", "best.d2"), key, "left")
 
 
 # ------------------------------------------------------------ within radius
@@ -270,21 +273,24 @@ def points_within(
     """Points of ``px, py`` with at least one shape within ``radius`` (inclusive), as a semi-join.
 
     Shapes carry a bounding box and, when they are not boxes, a ``ring`` in the same metric plane. They are
-    spread over cells of the radius; a point looks into its own cell only. Equal shapes count once. A
-    semi-join cannot split its right side, so a cell with more than ``hot_rows`` shapes is cut into parts
-    and its points look into each part; the list of such cells has at most rows / ``hot_rows`` entries.
-    Rows of ``points`` are distinct (they carry an id).
+    spread over the cells they touch, of twice the radius; a point looks into the (at most four) cells within
+    the radius, so the many shapes are multiplied little and the few points a bounded number of times. Equal
+    shapes count once. A semi-join cannot split its right side, so a cell with more than ``hot_rows`` shapes
+    is cut into parts and its points look into each part; the list of such cells has at most
+    rows / ``hot_rows`` entries. Rows of ``points`` are distinct (they carry an id).
     """
-    near = cover(shapes.dropDuplicates(), radius, radius)
+    side = 2 * radius
+    near = cover(shapes.dropDuplicates(), side)
     cell = [*on, "cx", "cy"]
     hot = near.groupBy(*cell).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
     hot = F.broadcast(hot.select(*cell, F.ceil(F.col("n") / hot_rows).cast("int").alias("parts")))
     near = near.join(hot, cell, "left").withColumn(
         "part", F.pmod(F.xxhash64(*shapes.columns), F.coalesce("parts", F.lit(1))).cast("int")
     )
-    at = points.withColumns(
-        {"cx": F.floor(F.col("px") / radius).cast("long"), "cy": F.floor(F.col("py") / radius).cast("long")}
-    ).join(hot, cell, "left")
+    # A little more than the radius, so that rounding of the sum hides no cell; the distance decides.
+    reach = F.lit(radius * (1 + 1e-6))
+    at = points.withColumn("cx", F.explode(_cells(F.col("px") - reach, F.col("px") + reach, side)))
+    at = at.withColumn("cy", F.explode(_cells(F.col("py") - reach, F.col("py") + reach, side))).join(hot, cell, "left")
     at = at.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
     at, near = at.alias("p"), near.alias("s")
     c = F.col

@@ -37,8 +37,11 @@ def pairs(spark, d, crs=None):
 
 
 def nearest(spark, d):
-    slim = boxes(spark, d).select("aoi", "run_id", "detection_id", "minx", "miny", "maxx", "maxy")
-    return SP.nearest_point(slim, I.sites(spark, d), ["aoi"], ["detection_id"])
+    return SP.nearest_point(_slim(boxes(spark, d)), I.sites(spark, d), ["aoi"], ["detection_id"])
+
+
+def _slim(det):
+    return det.select("aoi", "run_id", "detection_id", "minx", "miny", "maxx", "maxy")
 
 
 def local_distance():
@@ -49,12 +52,19 @@ def local_distance():
     return F.sqrt(gx * gx + gy * gy)
 
 
+def chosen_label(spark, d, det):
+    """Label of each detection (with an area and an id) and its distance (local metric)."""
+    known = _slim(det).where("aoi IS NOT NULL AND detection_id IS NOT NULL")
+    return SP.nearest_point(known, I.sites(spark, d), ["aoi"], ["detection_id"]).select(
+        "aoi", "detection_id", F.col("pid").alias("matched_label_id"), local_distance().alias("distance_to_label_m")
+    )
+
+
 def flagged(spark, d):
     """Flagged pairs with the chosen label and its distance (local metric)."""
-    near = nearest(spark, d).select(
-        "detection_id", F.col("pid").alias("matched_label_id"), local_distance().alias("distance_to_label_m")
-    )
-    return spread_by(pairs(spark, d), "detection_id").join(near, "detection_id", "left").select(
+    # The labels are dealt out by the same two columns, so only the pairs are shuffled here.
+    key = ["aoi", "detection_id"]
+    return spread_by(pairs(spark, d), *key).join(chosen_label(spark, d, boxes(spark, d)), key, "left").select(
         "run_id", "aoi", "detection_id", "parcel_id", "landcode", "sectname", "is_farmland", "confidence",
         "overlap_area_m2", "matched_label_id", "distance_to_label_m", "l_minx", "l_miny", "l_maxx", "l_maxy",
     )

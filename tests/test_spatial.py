@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geometry as G
+from fieldlens.operators import metrics as M
 from fieldlens.operators import ranking as K
 from fieldlens.operators import spatial as SP
 
@@ -170,3 +171,51 @@ def test_partitions_of_pairs_are_kept(spark):
     found = SP.candidate_pairs(box, box.withColumnRenamed("lid", "rid"), ["aoi"], 10.0)
     assert found.count() == 20000
     assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_points_within_multiplies_shapes_little(spark, monkeypatch):
+    """Shapes go to the cells they touch, not to all cells within the radius, and corners and edges are still met."""
+    made = []
+    cover = SP.cover
+    monkeypatch.setattr(SP, "cover", lambda df, cell, grow=0.0: made.append(cover(df, cell, grow)) or made[-1])
+    shapes = spark.range(1000).selectExpr("'a' AS aoi", "id * 7D AS minx", "id % 31 * 5D AS miny", "id * 7D + 3 AS maxx", "id % 31 * 5D + 3 AS maxy")
+    pts = spark.createDataFrame(
+        [("a", 1, -8.0, 0.0), ("a", 2, -8.0001, 0.0), ("a", 3, 3.0 + 8.0, -8.0), ("a", 4, 6996.0 + 4.8, 21.0), ("a", 5, None, 0.0)],
+        "aoi string, pid long, px double, py double",
+    )
+    got = {r.pid for r in SP.points_within(pts, shapes, 8.0, ["aoi"]).collect()}
+    held = [(r.minx, r.miny, r.maxx, r.maxy) for r in shapes.collect()]
+    want = {
+        r.pid for r in pts.where("px IS NOT NULL").collect()
+        if any(max(0, r.px - x1, x0 - r.px) ** 2 + max(0, r.py - y1, y0 - r.py) ** 2 <= 64 for x0, y0, x1, y1 in held)
+    }
+    assert got == want and 1 in got and 2 not in got
+    assert made[0].count() < 2 * 1000
+
+
+def test_nearest_point_shuffles_geometries_once(spark):
+    """With a broadcast tree the fold and the last join need no further shuffle of the geometries."""
+    pts = spark.range(60).selectExpr("'a' AS aoi", "100 - id AS pid", "cast(id % 10 AS double) AS px", "cast(id % 7 AS double) AS py")
+    left = spark.range(500).selectExpr("'a' AS aoi", "id AS lid", "id / 10D AS minx", "2D AS miny", "id / 10D + 1 AS maxx", "3D AS maxy")
+    near = SP.nearest_point(left, pts, ["aoi"], ["lid"])
+    rows = near.collect()
+    all_pts = [(r.pid, r.px, r.py) for r in pts.collect()]
+    for r in rows:
+        best = min((max(0, x - r.maxx, r.minx - x) ** 2 + max(0, y - r.maxy, r.miny - y) ** 2, p) for p, x, y in all_pts)
+        assert (r.d2, r.pid) == best
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert len(rows) == 500 and plan.count("RepartitionByExpression") == 2  # the same rows, on both sides of the last join
+
+
+def test_precision_recall_counts_each_detection_once(spark):
+    """Pairs are folded per detection; nothing is doubled for two distinct counts."""
+    flagged = spark.createDataFrame(
+        [("r", "a", 1, 5.0), ("r", "a", 1, 5.0), ("r", "a", 2, None), ("r", "a", 3, 80.0), ("r", "a", 4, 81.0), ("r", "a", None, 1.0)],
+        "run_id string, aoi string, detection_id long, distance_to_label_m double",
+    )
+    sites = spark.createDataFrame([("a", 1), ("a", 2)], "aoi string, pid long")
+    matched = spark.createDataFrame([("r", "a", 1)], "run_id string, aoi string, n_labels_matched long")
+    got = M.precision_recall(flagged, flagged, flagged, sites, matched, 80.0)
+    row = got.first()
+    assert (row.n_flagged_detections, row.n_true_positive_detections, row.precision) == (4, 2, 0.5)
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
