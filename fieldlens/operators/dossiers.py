@@ -8,19 +8,31 @@ from pyspark.sql import functions as F
 from fieldlens.functions.scalars import confidence_class, corroborated, fixed
 from fieldlens.operators import wording as T
 from fieldlens.operators.ranking import top_per_group
-from fieldlens.session import spread_by
+from fieldlens.session import BROADCAST_LIMIT_BYTES, cut_lineage, spread_by
+
+
+# Bytes reckoned for one key of the worklist when it is broadcast.
+KEY_BYTES = 96
 
 
 def candidates(flagged: DataFrame, detections: DataFrame, limit: int = 12) -> DataFrame:
     """Worklist: per detection the parcel with the largest overlap, then the first ``limit`` by confidence
-    per (run_id, aoi). A null overlap sorts first, as a descending order does in the reference tables."""
+    per (run_id, aoi). A null overlap sorts first, as a descending order does in the reference tables.
+
+    The list is cut on the rows of ``flagged`` (with ``confidence``) that have a detection, before the columns
+    of the detections come in; the second cut counts where a detection is held more than once.
+    """
     key = ["run_id", "aoi", "detection_id"]
-    best = top_per_group(flagged, key, [F.desc_nulls_first("overlap_area_m2"), F.asc("parcel_id")], 1)
+    best = top_per_group(spread_by(flagged, *key), key, [F.desc_nulls_first("overlap_area_m2"), F.asc("parcel_id")], 1)
     taken = {c.lower() for c in best.columns}
     extra = [c for c in detections.columns if c.lower() not in taken]
-    joined = spread_by(best, *key).join(detections.select(*key, *extra), key)
     order = [F.desc(F.coalesce("confidence", F.lit(0.0))), F.asc("detection_id")]
-    return top_per_group(joined, ["run_id", "aoi"], order, limit, "worklist_pos")
+    known = best.join(detections.select(*key), key, "left_semi")
+    first = cut_lineage(top_per_group(known, ["run_id", "aoi"], order, limit))
+    wide = detections.select(*key, *extra)
+    if first.count() * KEY_BYTES <= BROADCAST_LIMIT_BYTES:
+        wide = wide.join(F.broadcast(first.select(*key)), key, "left_semi")
+    return top_per_group(first.join(wide, key), ["run_id", "aoi"], order, limit, "worklist_pos")
 
 
 def _text(c: str) -> Column:

@@ -90,8 +90,13 @@ def candidates(spark, d):
             "lat": (c("miny") + c("maxy")) / 2 * F.lit(UNIT),
         }
     )
-    found = DO.candidates(flagged(spark, d), det, I.WORKLIST)
-    return found.withColumns(
+    # The worklist does not depend on the labels, so they are looked up for its rows only.
+    hits = pairs(spark, d).select(
+        "run_id", "aoi", "detection_id", "parcel_id", "landcode", "sectname", "is_farmland", "confidence", "overlap_area_m2"
+    )
+    found = DO.candidates(hits, det, I.WORKLIST)
+    label = chosen_label(spark, d, found.dropDuplicates(["aoi", "detection_id"]))
+    return found.join(label, ["aoi", "detection_id"], "left").withColumns(
         {
             "display_name": F.concat(F.lit("Area "), c("aoi")), "county": F.lit("County "), "township": c("aoi"),
             "detector": F.lit("spectral"),

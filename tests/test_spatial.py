@@ -4,9 +4,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geometry as G
+from fieldlens.operators import dossiers as DO
 from fieldlens.operators import metrics as M
 from fieldlens.operators import ranking as K
 from fieldlens.operators import spatial as SP
+from fieldlens.plans import catalogue_spatial as Q
 
 
 def boxes(spark, rows, ident):
@@ -219,3 +221,39 @@ def test_precision_recall_counts_each_detection_once(spark):
     row = got.first()
     assert (row.n_flagged_detections, row.n_true_positive_detections, row.precision) == (4, 2, 0.5)
     assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_worklist_is_cut_before_the_detections_come_in(spark):
+    """The cut equals that of the joined rows, also where detections repeat or are missing; no wide row is shuffled for it."""
+    flagged = spark.range(400).selectExpr(
+        "concat('r', id % 2) AS run_id", "'a' AS aoi", "CASE WHEN id = 7 THEN NULL ELSE id div 4 END AS detection_id", "concat('p', id % 3) AS parcel_id",
+        "cast(id % 5 AS double) AS overlap_area_m2", "CASE WHEN id div 4 % 9 = 0 THEN NULL ELSE (id div 4 * 37 % 50) / 50D END AS confidence",
+    )
+    det = spark.range(100).where("id % 13 <> 5").selectExpr("explode(array('r0', 'r1')) AS run_id", "'a' AS aoi", "id AS detection_id", "id * 2 AS wide")
+    det = det.unionByName(det.where("detection_id % 10 = 4"))
+    got = DO.candidates(flagged, det, 6)
+    best, conf = {}, {}
+    for r in flagged.where("detection_id IS NOT NULL").collect():
+        k, one = (r.run_id, r.detection_id), (-r.overlap_area_m2, r.parcel_id)
+        best[k] = min(best.get(k, one), one)
+        conf[k] = -(r.confidence or 0.0)
+    held = [(r.run_id, r.detection_id) for r in det.collect()]
+    for run in ("r0", "r1"):
+        want = sorted((conf[k], k[1]) for k in held if k[0] == run and k in conf)[:6]
+        rows = sorted(got.where(f"run_id = '{run}'").collect(), key=lambda r: r.worklist_pos)
+        assert [(-(r.confidence or 0.0), r.detection_id, r.wide) for r in rows] == [(a, i, 2 * i) for a, i in want]
+        assert all((-r.overlap_area_m2, r.parcel_id) == best[run, r.detection_id] for r in rows)
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_labels_are_looked_up_for_the_worklist_only(spark, tmp_path, monkeypatch):
+    d = str(tmp_path)
+    spark.range(2000).selectExpr("id AS o_orderkey", "timestamp'1996-01-01' AS o_orderdate").write.parquet(f"{d}/orders.parquet")
+    spark.range(800).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type").write.parquet(f"{d}/part.parquet")
+    spark.range(40).selectExpr("id AS s_suppkey").write.parquet(f"{d}/supplier.parquet")
+    asked, nearest = [], SP.nearest_point
+    monkeypatch.setattr(SP, "nearest_point", lambda left, *a, **k: asked.append(left) or nearest(left, *a, **k))
+    key = ["run_id", "detection_id", "parcel_id", "matched_label_id", "distance_to_label_m"]
+    rows = {tuple(r) for r in Q.candidates(spark, d).select(*key).collect()}
+    assert len(rows) == 4 * Q.I.WORKLIST and asked[0].count() == len(rows)
+    assert rows <= {tuple(r) for r in Q.flagged(spark, d).select(*key).collect()}
