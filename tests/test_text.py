@@ -317,3 +317,53 @@ def test_only_a_piece_of_a_batch_is_made_to_strings(monkeypatch):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 2_000_000  # all texts at once: 16 MB
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of an executed query wrote."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("shuffleRecordsWritten").get().value() if name == "ShuffleExchangeExec" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_rows_of_frequent_terms_are_not_shuffled(spark):
+    rng = np.random.default_rng(21)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(60)]
+    df = docs(spark, [" ".join(rng.choice(words, 30)) for _ in range(200)]).repartition(4).localCheckpoint()
+    weights = RT.joined_weights(df, "id", "text", RT.vocabulary(df, "text", None))
+    assert len(weights.collect()) > 200 * 60 > 5 * shuffled_rows(weights)
+
+
+@pytest.mark.parametrize("hot", [1, 40, 1 << 19])
+def test_texts_of_one_key_share_a_norm(spark, monkeypatch, hot):
+    """Repeated and missing keys; null and empty texts have no rows."""
+    monkeypatch.setattr(RT, "HOT_TERMS", hot)
+    rows = [(1, "aa bb"), (1, "bb ccc"), (1, "bb ccc"), (None, "aa"), (None, "ddd a"), (2, None), (3, ""), (4, "aa ddd ddd")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    idf = {r.term: r.idf for r in RT.vocabulary(df, "text", None).collect()}
+    w = [(i, g, k * idf[g]) for i, t in rows for g, k in grams_by_definition(t or "").items()]
+    norm = {i: sum(x * x for j, _, x in w if j == i) ** 0.5 for i, _, _ in w}
+    want = sorted((str(i), g, round(x / norm[i], 9)) for i, g, x in w)
+    got = RT.joined_weights(df, "id", "text", RT.vocabulary(df, "text", None)).collect()
+    assert sorted((str(r.id), r.term, round(r.weight, 9)) for r in got) == want
+
+
+@pytest.mark.parametrize("places", [1, 1 << 22])
+def test_grams_of_a_block_equal_definition(monkeypatch, places):
+    """Keys in a table or hashed, long texts counted and short ones ordered."""
+    monkeypatch.setattr(RT, "_PLACES", places)
+    rng = np.random.default_rng(3)
+    long = [" ".join("".join(rng.choice(list("abc農\U0001D518."), rng.integers(1, 7))) for _ in range(400)) for _ in range(6)]
+    short = [None, "", " ", "a", "a\u2003b\x1cc\x85 ", "İ ß", *["".join(rng.choice(list("abcdefghij "), 4)) for _ in range(300)]]
+    for texts in (long, short, [*long, *short], [None, ""], []):
+        grams, ends, ids, tf = RT.gram_block(texts)
+        got = list(RT._per_text(ends, ids, tf))
+        assert [{grams[i]: k for i, k in zip(*r)} for r in got] == [grams_by_definition(t or "") for t in texts]
+        assert len(set(grams)) == len(grams) and all((np.diff(i) > 0).all() for i, _ in got)
