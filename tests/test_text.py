@@ -367,3 +367,37 @@ def test_grams_of_a_block_equal_definition(monkeypatch, places):
         got = list(RT._per_text(ends, ids, tf))
         assert [{grams[i]: k for i, k in zip(*r)} for r in got] == [grams_by_definition(t or "") for t in texts]
         assert len(set(grams)) == len(grams) and all((np.diff(i) > 0).all() for i, _ in got)
+
+
+def test_texts_are_counted_once_for_the_fit(spark, monkeypatch):
+    """The vocabulary and the rows of the fit come from the same stored counts, in blocks of a few texts here."""
+    monkeypatch.setattr(RT, "_BLOCK_ENTRIES", 50)
+    monkeypatch.setattr(RT, "_PIECE_CHARS", 100)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    df = docs(spark, [*CORPUS * 3, None, ""])
+    model = RT.fit_lsa(df.withColumn("text", seen.asNondeterministic()("text")), "text", dim=3, max_features=60)
+    assert read.value == 14
+    plain = RT.fit_tfidf(df, "text", 60)
+    assert model.tfidf.index == plain.index and np.allclose(model.tfidf.idf, plain.idf, rtol=1e-14)
+
+
+@pytest.mark.parametrize("cells", [1, 1 << 20])
+def test_products_of_frequent_and_rare_columns(monkeypatch, cells):
+    monkeypatch.setattr(RT, "_DENSE_CELLS", cells)
+    rng = np.random.default_rng(13)
+    n, terms, width = 700, 90, 6
+    tf = rng.integers(1, 4, (n, terms)) * (rng.random((n, terms)) < np.linspace(0.001, 0.9, terms) ** 2)
+    tf[[0, 5, n - 1]] = 0
+    idf, m = 1 + rng.random(terms), rng.normal(size=(terms, width))
+    a = tf * idf
+    a = a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
+    own, cols = np.nonzero(tf)
+    z = np.zeros((terms, width))
+    RT._add_products(z, m, idf, np.cumsum(np.bincount(own, minlength=n)), cols, tf[own, cols])
+    assert np.allclose(z, a.T @ (a @ m), atol=1e-11)
