@@ -401,3 +401,13 @@ def test_products_of_frequent_and_rare_columns(monkeypatch, cells):
     z = np.zeros((terms, width))
     RT._add_products(z, m, idf, np.cumsum(np.bincount(own, minlength=n)), cols, tf[own, cols])
     assert np.allclose(z, a.T @ (a @ m), atol=1e-11)
+
+
+def test_texts_are_projected_once(spark):
+    """A filter on the vectors does not project the texts again."""
+    df = docs(spark, CORPUS)
+    model = RT.LsaModel(RT.TfidfModel({"農地": 0, "on": 1}, np.ones(2)), np.eye(2), 2)
+    kept = RT.encode(df, "text", model, "vector").where("vector IS NOT NULL AND size(vector) > 0").select("id", "vector")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert sum("EvalPython [" in line for line in plan.splitlines()) == 1 and plan.count("project(text") == 1
+    assert kept.count() == 4
